@@ -1,0 +1,56 @@
+"""The tagging job: catalog + source + store -> a new store version.
+
+``plan`` builds one lazy DataFrame: the source scan, the match (a projection or a
+broadcast join), and a single full/left outer join of the stored snapshot with the
+new tags that merges and upserts in the same pass.  ``run`` writes it as a new
+snapshot - one action, nothing collected but the one level-4 rule.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Mapping
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from tagweave.operators.lookup import source_spec_of, value_rules
+from tagweave.operators.merge import merged_tag
+from tagweave.plans.models import TagModel
+from tagweave.schemas import TAG_COL, USER_KEY
+from tagweave.sources.reader import load_source
+from tagweave.sources.store import TagStore, upsert_frame
+
+STORE_SCHEMA = f"{USER_KEY} STRING, {TAG_COL} STRING"
+
+
+def new_tags(model: TagModel, catalog: DataFrame,
+             tables: Mapping[str, DataFrame] | None = None) -> DataFrame:
+    """``(userId, tagIds)`` computed by ``model`` from the source its rule names."""
+    spark = catalog.sparkSession
+    spec = source_spec_of(catalog, model.tag_id, model.spec_default)
+    source = load_source(spark, spec, tables)
+    out = model.compute(value_rules(catalog, model.tag_id), source)
+    return out.select(F.col(USER_KEY).cast("string").alias(USER_KEY),
+                      F.col(TAG_COL).cast("string").alias(TAG_COL))
+
+
+def snapshot_after(model: TagModel, old: DataFrame, new: DataFrame) -> DataFrame:
+    """The store snapshot after writing ``new`` with the model's merge rule."""
+    if model.merge == "replace":
+        return upsert_frame(old, new, USER_KEY, fields=[TAG_COL])
+    combine = {TAG_COL: lambda o, n: merged_tag(o, n, model.order, model.blank)}
+    return upsert_frame(old, new, USER_KEY, fields=[TAG_COL], combine=combine,
+                        insert_new=model.merge == "left")
+
+
+def plan(model: TagModel, catalog: DataFrame, old: DataFrame,
+         tables: Mapping[str, DataFrame] | None = None) -> DataFrame:
+    return snapshot_after(model, old, new_tags(model, catalog, tables))
+
+
+def run(model: TagModel, catalog: DataFrame, store: TagStore,
+        tables: Mapping[str, DataFrame] | None = None) -> int:
+    """Compute, merge and publish a new store version; returns the version number."""
+    base = store.latest_version()
+    old = store.read(base, schema=STORE_SCHEMA)
+    return store.commit(plan(model, catalog, old, tables), base)
