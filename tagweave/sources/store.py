@@ -112,7 +112,15 @@ class TagStore:
     def commit(self, snapshot: DataFrame, base_version: int | None) -> int:
         """Write ``snapshot`` as version ``base + 1`` and publish it."""
         version = (base_version or 0) + 1
-        snapshot.write.mode("errorifexists").parquet(self.snapshot_path(version))
+        if self.latest_version() != base_version:
+            raise ConcurrentUpdateError(
+                f"{self.path}: base version {base_version} is no longer the latest")
+        try:
+            snapshot.write.mode("errorifexists").parquet(self.snapshot_path(version))
+        except AnalysisException as exc:
+            if "PATH_ALREADY_EXISTS" in str(exc):
+                raise ConcurrentUpdateError(f"{self.path}: version {version} is being written") from exc
+            raise
         if self.latest_version() != base_version:
             raise ConcurrentUpdateError(
                 f"{self.path}: base version {base_version} is no longer the latest")

@@ -1,0 +1,64 @@
+import tempfile
+
+from conftest import SF_SMALL, rows
+from tagweave.plans import models as M
+from tagweave.plans import testbed as T
+from tagweave.plans.pipeline import STORE_SCHEMA, plan, run
+from tagweave.sources.store import TagStore
+
+RULE = "inType=cells##hbaseTable=users##family=detail##selectFields=id,job##rowKey=id"
+
+
+def _setup(spark):
+    from tagweave.schemas import TAG_CATALOG
+    cat = spark.createDataFrame([(64, 3, 4, "job", RULE, None, None)] + [
+        (64 + i, 64, 5, f"v{i}", str(i), None, None) for i in range(1, 7)], TAG_CATALOG)
+    users = spark.createDataFrame([("1", "3"), ("10", "5"), ("100", "3"), ("101", "1"), ("7", "9")],
+                                  "id STRING, job STRING")
+    from pyspark.sql import functions as F
+    from tagweave.sources.cells import to_cells
+    import datetime as dt
+    cells = to_cells(users, "id", "detail", ts=F.lit(dt.datetime(2020, 1, 1)))
+    return cat, {"users": cells}
+
+
+def test_job_pipeline_inner_merge(spark):
+    cat, tables = _setup(spark)
+    store = TagStore(spark, tempfile.mkdtemp(prefix="tagweave-run-", dir="/tmp"))
+    hist = spark.createDataFrame([("1", "34"), ("10", ""), ("100", "67,65"), ("555", "1")], STORE_SCHEMA)
+    store.commit(hist, None)
+    v = run(M.job_tag(), cat, store, tables)
+    assert v == 2
+    # inner: user 101 and 7 have no history -> not written; 555 kept
+    assert rows(store.read()) == [("1", "34,67"), ("10", "69"), ("100", "67,65"), ("555", "1")]
+
+
+def test_job_model_left_new_first(spark):
+    cat, tables = _setup(spark)
+    model = M.TagModel("m", 64, M.value_case("job", {"3": 262, "1": 260}), merge="left", order="new_first")
+    hist = spark.createDataFrame([("1", "301,260"), ("101", "  ")], STORE_SCHEMA)
+    out = plan(model, cat, hist, tables)
+    assert rows(out) == [("1", "262,301,260"), ("10", None), ("100", "262"), ("101", "260"), ("7", None)]
+
+
+def test_replace_keeps_old_when_no_tag(spark):
+    cat, tables = _setup(spark)
+    model = M.TagModel("g", 64, M.value_case("job", {"3": 257}), merge="replace")
+    hist = spark.createDataFrame([("1", "258,9"), ("10", "258")], STORE_SCHEMA)
+    out = plan(model, cat, hist, tables)
+    assert rows(out) == [("1", "257"), ("10", "258"), ("100", "257"), ("101", None), ("7", None)]
+
+
+def test_missing_tag_raises(spark):
+    import pytest
+    cat, tables = _setup(spark)
+    with pytest.raises(LookupError):
+        plan(M.TagModel("x", 999, M.rule_match("job")), cat, spark.createDataFrame([], STORE_SCHEMA), tables)
+
+
+def test_user_count_kept(spark):
+    cat = T.base_catalog(spark, SF_SMALL)
+    users = T.users(spark, SF_SMALL)
+    out = plan(M.age_model(), cat, T.history(spark, SF_SMALL), {T.USERS_TABLE: T.user_cells(spark, SF_SMALL)})
+    assert out.count() == users.count()
+    assert out.select("userId").distinct().count() == out.count()

@@ -1,0 +1,70 @@
+import datetime as dt
+import tempfile
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import rows
+from tagweave.sources.cells import fields_schema, read_cells, to_cells
+from tagweave.sources.store import ConcurrentUpdateError, TagStore, upsert_frame
+
+
+def test_schema_from_fields():
+    s = fields_schema("id,job")
+    assert [f.name for f in s.fields] == ["id", "job"]
+    assert all(f.nullable and f.dataType.simpleString() == "string" for f in s.fields)
+
+
+def _cells(spark):
+    t1, t2 = dt.datetime(2020, 1, 1), dt.datetime(2020, 1, 2)
+    return spark.createDataFrame([
+        ("u1", "detail", "job", "3", t1), ("u1", "detail", "job", "5", t2), ("u1", "detail", "gender", "1", t1),
+        ("u2", "detail", "gender", "2", t1), ("u3", "other", "x", "9", t1), ("u4", "detail", "job", None, t2),
+        ("u4", "detail", "job", "4", t1)], "rowkey STRING, family STRING, qualifier STRING, value STRING, ts TIMESTAMP")
+
+
+def test_cells_latest_and_every_rowkey(spark):
+    out = read_cells(_cells(spark), "detail", "id,job", rowkey_as="id")
+    assert out.columns == ["id", "job"]
+    assert rows(out) == [("u1", "5"), ("u2", None), ("u3", None), ("u4", None)]
+    only = read_cells(_cells(spark), "detail", "id,job", rowkey_as="id", only_rows_with_cells=True)
+    assert rows(only) == [("u1", "5"), ("u4", None)]
+
+
+def test_cells_pushdown(spark, tmp_path):
+    path = str(tmp_path / "cells")
+    _cells(spark).write.parquet(path)
+    out = read_cells(spark.read.parquet(path), "detail", ["job"], rowkey_as="id", only_rows_with_cells=True)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters" in plan and "family" in plan
+
+
+def test_cells_roundtrip(spark):
+    df = spark.createDataFrame([("1", "a", None), ("2", "b", "x")], "id STRING, job STRING, g STRING")
+    back = read_cells(to_cells(df, "id", "d", ts=F.lit(dt.datetime(2020, 1, 1))), "d", "id,job,g", rowkey_as="id")
+    assert rows(back) == rows(df)
+
+
+def test_upsert_frame_cell_by_cell(spark):
+    old = spark.createDataFrame([("1", "65", "a"), ("2", "66", "b")], "userId STRING, tagIds STRING, other STRING")
+    new = spark.createDataFrame([("2", None, "n"), ("3", "70", "m")], "userId STRING, tagIds STRING, extra STRING")
+    out = upsert_frame(old, new, "userId")
+    assert out.columns == ["userId", "tagIds", "other", "extra"]
+    assert rows(out) == [("1", "65", "a", None), ("2", "66", "b", "n"), ("3", "70", None, "m")]
+    only_existing = upsert_frame(old, new, "userId", fields=["tagIds"], insert_new=False)
+    assert rows(only_existing) == [("1", "65", "a"), ("2", "66", "b")]
+
+
+def test_store_versions_and_conflict(spark):
+    base = tempfile.mkdtemp(prefix="tagweave-store-", dir="/tmp")
+    store = TagStore(spark, base)
+    assert store.latest_version() is None
+    first = spark.createDataFrame([("1", "65"), ("2", "66")], "userId STRING, tagIds STRING")
+    assert store.upsert(first) == 1
+    second = spark.createDataFrame([("2", "67"), ("3", "68")], "userId STRING, tagIds STRING")
+    assert store.upsert(second) == 2
+    assert rows(store.read()) == [("1", "65"), ("2", "67"), ("3", "68")]
+    assert rows(store.read(1)) == [("1", "65"), ("2", "66")]
+    with pytest.raises(ConcurrentUpdateError):
+        store.commit(store.read(), base_version=1)
+    assert store.latest_version() == 2
