@@ -9,13 +9,16 @@ from pyspark.sql import functions as F
 DEFAULT_BROADCAST_ROWS = 200_000
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
+                      bound_by: DataFrame | None = None) -> DataFrame:
     """Mark ``df`` for broadcast when it has at most ``max_rows`` rows.
 
     The bound is proven with ``limit(max_rows + 1).count()`` (a tiny job that stops
-    early), not guessed from file statistics.  Above the bound the side is returned
-    unmarked and the join shuffles (AQE can still switch to a broadcast from the
-    actual shuffle sizes at run time).
+    early), not guessed from file statistics.  ``bound_by`` may name a cheaper frame
+    with at least as many rows (e.g. the input of a deduplication), so the check needs
+    no shuffle.  Above the bound the side is returned unmarked and the join shuffles
+    (AQE can still switch to a broadcast from the actual shuffle sizes at run time).
     """
-    n = df.limit(max_rows + 1).count()
+    probe = bound_by if bound_by is not None else df
+    n = probe.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df

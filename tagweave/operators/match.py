@@ -44,7 +44,7 @@ def match_rules(source: DataFrame, rules: DataFrame, value_col: str, *, key_col:
     is many-to-one and keeps the source row count; the deduplicated rules are broadcast
     when their row count is proven small, so the (large) source is never shuffled.
     """
-    small = bounded_broadcast(dedupe_rules(rules), max_broadcast_rows)
+    small = bounded_broadcast(dedupe_rules(rules), max_broadcast_rows, bound_by=rules)
     src = source.select(_col(key_col).alias("_key"), _col(value_col).cast("string").alias("_v"))
     joined = src.join(small, src["_v"] == small["rule"], "left")
     tag = F.col("_tag") if default is None else F.coalesce(F.col("_tag"), F.lit(default))

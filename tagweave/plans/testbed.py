@@ -16,6 +16,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tagweave.frames import literal_frame
 from tagweave.functions.rules import format_rule
 from tagweave.operators.catalog_ops import add_model_tags
 from tagweave.plans import models as M
@@ -104,8 +105,9 @@ def line_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     among its rows (a map-side combined aggregate).
     """
     li = table(spark, sf_dir, "lineitem")
-    per_key = li.groupBy("l_orderkey", "l_linenumber").agg(F.max("l_returnflag").alias("flag"))
-    flag = F.col("flag")
+    # max over the flag's code point keeps a hash aggregate (a string max would sort)
+    per_key = li.groupBy("l_orderkey", "l_linenumber").agg(F.max(F.ascii("l_returnflag")).alias("code"))
+    flag = F.chr(F.col("code"))
     return per_key.select(
         _line_key().alias("id"),
         F.when(flag == "A", "AUTOMOBILE").when(flag == "N", "BUILDING").otherwise("HOUSEHOLD")
@@ -155,15 +157,13 @@ def base_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     nat_rules = nation.select(
         (F.col("n_nationkey") + NATIONALITY_RULE_BASE).alias("id"), F.lit(M.NATIONALITY_TAG_ID).alias("pid"),
         F.lit(5).alias("level"), F.col("n_name").alias("name"), F.col("n_nationkey").cast("string").alias("rule"))
-    fixed = spark.createDataFrame(FIXED_TAGS, "id LONG, pid LONG, level INT, name STRING, rule STRING")
-    age_rules = spark.createDataFrame(
-        [(tag, M.AGE_TAG_ID, 5, f"{lo}-{hi}", f"{lo}-{hi}") for lo, hi, tag in M.AGE_RANGES],
+    fixed = literal_frame(
+        spark,
+        FIXED_TAGS
+        + [(tag, M.AGE_TAG_ID, 5, f"{lo}-{hi}", f"{lo}-{hi}") for lo, hi, tag in M.AGE_RANGES]
+        + [(tag, M.JOB_MODEL_TAG_ID, 5, f"code {v}", v) for v, tag in M.JOB_VALUES.items()],
         "id LONG, pid LONG, level INT, name STRING, rule STRING")
-    job_rules = spark.createDataFrame(
-        [(tag, M.JOB_MODEL_TAG_ID, 5, f"code {v}", v) for v, tag in M.JOB_VALUES.items()],
-        "id LONG, pid LONG, level INT, name STRING, rule STRING")
-    allrows = regions.unionByName(nations).unionByName(nat_rules).unionByName(fixed) \
-        .unionByName(age_rules).unionByName(job_rules)
+    allrows = regions.unionByName(nations).unionByName(nat_rules).unionByName(fixed)
     return conform(allrows.withColumn("ctime", t).withColumn("utime", t), TAG_CATALOG)
 
 
@@ -188,7 +188,7 @@ def model_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def empty_models(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([], MODEL_CATALOG)
+    return literal_frame(spark, [], MODEL_CATALOG)
 
 
 def catalogs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:

@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType, TimestampType
 
+from tagweave.frames import literal_frame
 from tagweave.schemas import USER_KEY
 
 Combine = Callable[[Column, Column], Column]
@@ -95,7 +96,7 @@ class TagStore:
         try:
             return self.spark.read.schema(_MANIFEST).parquet(self.manifest_path)
         except AnalysisException:
-            return self.spark.createDataFrame([], _MANIFEST)
+            return literal_frame(self.spark, [], _MANIFEST)
 
     def latest_version(self) -> int | None:
         row = self.versions().agg(F.max("version").alias("v")).first()
@@ -106,7 +107,7 @@ class TagStore:
         DataFrame with ``schema`` (default ``key STRING``)."""
         v = self.latest_version() if version is None else version
         if v is None:
-            return self.spark.createDataFrame([], schema or f"{self.key} STRING")
+            return literal_frame(self.spark, [], schema or f"{self.key} STRING")
         return self.spark.read.parquet(self.snapshot_path(v))
 
     def commit(self, snapshot: DataFrame, base_version: int | None) -> int:
@@ -125,7 +126,7 @@ class TagStore:
             raise ConcurrentUpdateError(
                 f"{self.path}: base version {base_version} is no longer the latest")
         now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-        (self.spark.createDataFrame([(version, base_version, now)], _MANIFEST)
+        (literal_frame(self.spark, [(version, base_version, now)], _MANIFEST)
          .coalesce(1).write.mode("append").parquet(self.manifest_path))
         return version
 
