@@ -127,8 +127,10 @@ def add_model_tags(catalog: DataFrame, models: DataFrame, requests: DataFrame,
     tag's id and the packed schedule.  Returns ``(new_tags, new_models)``.
     """
     stamp = _now(now)
-    with_ids = with_sequential_id(requests, order, _max_id(catalog) + 1, "_tag_id")
-    with_ids = with_sequential_id(with_ids, order, _max_id(models) + 1, "_model_id")
+    tag_start, model_start = _max_id(catalog) + 1, _max_id(models) + 1
+    # both id columns follow the same order, so one numbering serves both
+    with_ids = with_sequential_id(requests, order, tag_start, "_tag_id")
+    with_ids = with_ids.withColumn("_model_id", F.col("_tag_id") - F.lit(tag_start) + F.lit(model_start))
     tags = prepare_tags(with_ids.select(F.col("_tag_id").alias("id"), "pid", F.lit(4).alias("level"),
                                         "name", "rule"), now)
     new_models = conform(with_ids.select(

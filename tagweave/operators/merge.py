@@ -8,10 +8,10 @@ function is the stand-alone form.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagweave.functions.tags import merge_tags
+from tagweave.functions.tags import merge_tags, register_sql_functions
 from tagweave.schemas import TAG_COL, USER_KEY
 
 JOINS = ("inner", "left")
@@ -41,3 +41,14 @@ def merge_with_history(new: DataFrame, old: DataFrame, *, key: str = USER_KEY, t
     out_key = F.coalesce(F.col("_ok"), F.col("_nk")) if join == "inner" else F.col("_nk")
     return j.select(out_key.alias(key),
                     merged_tag(F.col("_ot"), F.col("_nt"), order, blank).alias(tag))
+
+
+def merge_with_history_sql(spark: SparkSession, new: DataFrame, old: DataFrame) -> DataFrame:
+    """The SQL form: ``new LEFT JOIN old`` with the registered ``merge_tags(old, new)``
+    (blank-aware, old first).  Catalyst plans it exactly like :func:`merge_with_history`."""
+    register_sql_functions(spark)
+    return spark.sql(
+        f"SELECT n.{USER_KEY} AS {USER_KEY}, "
+        f"merge_tags(CAST(o.{TAG_COL} AS STRING), CAST(n.{TAG_COL} AS STRING)) AS {TAG_COL} "
+        f"FROM {{new}} n LEFT JOIN {{old}} o ON o.{USER_KEY} = n.{USER_KEY}",
+        new=new, old=old)

@@ -17,7 +17,7 @@ from tagweave.functions.schedule import decode_schedule, encode_schedule, schedu
 from tagweave.operators import catalog_ops as C
 from tagweave.operators.lookup import value_rules
 from tagweave.operators.match import date_digits, match_ranges, match_rules, match_values
-from tagweave.operators.merge import merge_with_history
+from tagweave.operators.merge import merge_with_history, merge_with_history_sql
 from tagweave.plans import models as M
 from tagweave.plans import testbed as T
 from tagweave.plans.pipeline import plan
@@ -86,6 +86,10 @@ def q_merge_left(spark, d):
                               order="old_first", blank="blank")
 
 
+def q_merge_left_sql(spark, d):
+    return merge_with_history_sql(spark, q_match_age_range(spark, d), T.history(spark, d))
+
+
 def q_merge_left_new_first(spark, d):
     return merge_with_history(q_match_case_job(spark, d), T.history(spark, d), join="left",
                               order="new_first", blank="blank")
@@ -227,6 +231,7 @@ QUERIES: dict[str, Query] = {
     "match_age_range_join": q_match_age_range_join,
     "merge_inner": q_merge_inner,
     "merge_left": q_merge_left,
+    "merge_left_sql": q_merge_left_sql,
     "merge_left_new_first": q_merge_left_new_first,
     "cells_latest": q_cells_latest,
     "user_cells": q_user_cells,
@@ -436,6 +441,7 @@ ORACLE: dict[str, str] = {
     "match_age_range_join": f"WITH {USERS_SQL} SELECT id AS userId, {_age_sql('birthday')} AS tagIds FROM users",
     "merge_inner": _merge_join_sql("job", "inner", "old", "empty", M.JOB_TAG_ID),
     "merge_left": _merge_join_sql("age", "left", "old", "blank"),
+    "merge_left_sql": _merge_join_sql("age", "left", "old", "blank"),
     "merge_left_new_first": _merge_join_sql("job_code", "left", "new", "blank"),
     "cells_latest": CELLS_SQL,
     "user_cells": f"WITH {USERS_SQL} SELECT {', '.join(_USER_FIELDS)} FROM users",

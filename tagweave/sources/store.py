@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import datetime as _dt
 from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -54,7 +55,10 @@ def upsert_frame(old: DataFrame, new: DataFrame, key: str = USER_KEY, *,
     fields = list(fields) if fields is not None else [c for c in new.columns if c != key]
     combine = dict(combine or {})
     o = old.select(*[F.col(c).alias(f"_o_{c}") for c in old.columns])
-    n = new.select(F.col(key).alias(f"_n_{key}"), *[F.col(c).alias(f"_n_{c}") for c in fields])
+    # a row without a key cannot be stored; dropping it also keeps null keys from
+    # piling into one hot partition of the join
+    n = (new.where(F.col(key).isNotNull())
+         .select(F.col(key).alias(f"_n_{key}"), *[F.col(c).alias(f"_n_{c}") for c in fields]))
     how = "full_outer" if insert_new else "left_outer"
     j = o.join(n, o[f"_o_{key}"] == n[f"_n_{key}"], how)
     cols = [F.coalesce(F.col(f"_o_{key}"), F.col(f"_n_{key}")).alias(key)]
@@ -77,13 +81,38 @@ def upsert_frame(old: DataFrame, new: DataFrame, key: str = USER_KEY, *,
     return j.select(*cols)
 
 
+@dataclass(frozen=True)
+class StoreSpec:
+    """Where results go: folder, key column, and written fields (None = all)."""
+
+    path: str
+    key: str = USER_KEY
+    fields: tuple[str, ...] | None = None
+
+    @classmethod
+    def from_options(cls, options: Mapping[str, str]) -> "StoreSpec":
+        """From plain options: ``path`` (or ``hbaseTable``), ``rowKey``, ``selectFields``."""
+        path = options.get("path") or options.get("hbaseTable")
+        if not path:
+            raise ValueError("store options need 'path'")
+        fields = options.get("selectFields")
+        key = options.get("rowKey") or USER_KEY
+        written = tuple(f for f in fields.split(",") if f and f != key) if fields else None
+        return cls(path=path, key=key, fields=written)
+
+    def open(self, spark: SparkSession) -> "TagStore":
+        return TagStore(spark, self.path, self.key, self.fields)
+
+
 class TagStore:
     """Versioned snapshots of a keyed table under ``path``."""
 
-    def __init__(self, spark: SparkSession, path: str, key: str = USER_KEY):
+    def __init__(self, spark: SparkSession, path: str, key: str = USER_KEY,
+                 fields: Sequence[str] | None = None):
         self.spark = spark
         self.path = path.rstrip("/")
         self.key = key
+        self.fields = list(fields) if fields is not None else None
 
     @property
     def manifest_path(self) -> str:
@@ -134,6 +163,8 @@ class TagStore:
                combine: Mapping[str, Combine] | None = None, insert_new: bool = True) -> int:
         """Write ``new`` over the latest snapshot (see :func:`upsert_frame`)."""
         base = self.latest_version()
-        old = self.read(base, schema=new.schema)
+        fields = fields if fields is not None else self.fields
+        written = list(fields) if fields is not None else [c for c in new.columns if c != self.key]
+        old = self.read(base, schema=new.select(self.key, *written).schema)
         return self.commit(upsert_frame(old, new, self.key, fields=fields, combine=combine,
                                         insert_new=insert_new), base)

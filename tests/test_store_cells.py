@@ -68,3 +68,15 @@ def test_store_versions_and_conflict(spark):
     with pytest.raises(ConcurrentUpdateError):
         store.commit(store.read(), base_version=1)
     assert store.latest_version() == 2
+
+
+def test_store_spec_from_options(spark):
+    from tagweave.sources.store import StoreSpec
+    base = tempfile.mkdtemp(prefix="tagweave-spec-", dir="/tmp")
+    spec = StoreSpec.from_options({"hbaseTable": base, "rowKey": "userId", "selectFields": "userId,tagIds"})
+    assert spec.key == "userId" and spec.fields == ("tagIds",)
+    store = spec.open(spark)
+    new = spark.createDataFrame([("1", "65", "x"), (None, "66", "y")], "userId STRING, tagIds STRING, extra STRING")
+    store.upsert(new)
+    assert store.read().columns == ["userId", "tagIds"]
+    assert rows(store.read()) == [("1", "65")]

@@ -53,3 +53,13 @@ def test_merge_idempotent_and_distinct(spark, pairs):
         assert r["m"] == r["m2"]
         items = [x for x in (r["m"] or "").split(",") if x]
         assert len(items) == len(set(items))
+
+
+def test_sql_form_of_merge(spark):
+    from conftest import rows
+    from tagweave.operators.merge import merge_with_history, merge_with_history_sql
+    new = spark.createDataFrame([("1", 43), ("2", 65), ("3", None)], "userId STRING, tagIds INT")
+    old = spark.createDataFrame([("1", "34"), ("2", " "), ("9", "1")], "userId STRING, tagIds STRING")
+    sql = merge_with_history_sql(spark, new, old)
+    api = merge_with_history(new, old, join="left", order="old_first", blank="blank")
+    assert rows(sql) == rows(api) == [("1", "34,43"), ("2", "65"), ("3", None)]
