@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -84,28 +85,36 @@ def upsert_paths(catalog: DataFrame, paths: DataFrame, levels: list[str],
     (null-safe; the oldest id wins if several match) or inserted, and its id becomes
     the ``pid`` of the next level.  Level-1 parents are ``-1``.  New ids continue after
     the catalog's maximum, ordered by ``(pid, name)``.  Running the same paths twice
-    inserts nothing the second time.
+    inserts nothing the second time.  New ids are frozen by a reliable checkpoint
+    (see :func:`with_sequential_id`), so the returned frames can be re-evaluated.
 
     Returns ``(catalog_after, inserted)``.
     """
     cols = list(levels)
-    distinct_paths = paths.select(*[F.col(c).cast("string").alias(c) for c in cols]).distinct()
+    # one timestamp for the whole run, so re-evaluating a lazy result gives the same rows
+    now = now or datetime.now()
+    distinct_paths = (paths.select(*[F.col(c).cast("string").alias(c) for c in cols]).distinct()
+                      .persist(StorageLevel.MEMORY_AND_DISK))
     current = catalog
     inserted_all = None
     parent = F.lit(-1).cast("long")
     resolved = distinct_paths.withColumn("_pid", parent)
     next_id = _max_id(catalog) + 1
     for depth, col in enumerate(cols, start=1):
-        nodes = (resolved.where(F.col(col).isNotNull())
+        added = None
+        nodes = (resolved.where(F.col(col).isNotNull() & F.col("_pid").isNotNull())
                  .select(F.col(col).alias("name"), F.col("_pid").alias("pid")).distinct())
         existing = (current.where(F.col("level") == depth)
                     .groupBy("name", "pid").agg(F.min("id").alias("id")))
         missing = nodes.join(existing, ["name", "pid"], "left_anti")
-        fresh = with_sequential_id(missing, ["pid", "name"], next_id)
+        if missing.isEmpty():
+            fresh, added = missing.withColumn("id", F.lit(None).cast("long")), 0
+        else:
+            fresh = with_sequential_id(missing, ["pid", "name"], next_id)
         fresh = prepare_tags(fresh.withColumn("level", F.lit(depth))
                              .withColumn("rule", F.lit(None).cast("string")), now)
-        fresh = fresh.checkpoint(eager=True)
-        added = fresh.count()
+        if added is None:
+            added = fresh.count()
         next_id += added
         inserted_all = fresh if inserted_all is None else inserted_all.unionByName(fresh)
         current = current.unionByName(fresh)

@@ -9,6 +9,7 @@ partition, so it is bounded by the partition count and safe to broadcast.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -24,7 +25,11 @@ def with_sequential_id(df: DataFrame, order: list[Column | str], start: int,
     cols = [F.col(c) if isinstance(c, str) else c for c in order]
     ranged = (df.repartitionByRange(*cols).sortWithinPartitions(*cols)
               .withColumn("_mid", F.monotonically_increasing_id()))
-    ranged = ranged.checkpoint(eager=True)
+    # persisted first, so writing the checkpoint does not recompute the sort
+    ranged = ranged.persist(StorageLevel.MEMORY_AND_DISK)
+    frozen = ranged.checkpoint(eager=True)
+    ranged.unpersist()
+    ranged = frozen
     ranged = (ranged.withColumn("_part", F.shiftright("_mid", _POS_BITS))
               .withColumn("_pos", F.col("_mid").bitwiseAND((1 << _POS_BITS) - 1)))
     counts = ranged.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))

@@ -84,13 +84,18 @@ def match_ranges(source: DataFrame, value: Column, ranges: Sequence[tuple[int, i
 
     A list of ``(lo, hi, tag)`` becomes a CASE chain (first range wins).  A DataFrame
     ``(lo, hi, id)`` of non-overlapping ranges becomes a broadcast range join, which
-    keeps one row per source row; overlapping ranges raise ``ValueError``.
+    keeps one row per source row; overlapping ranges, or more rules than
+    ``max_broadcast_rows``, raise ``ValueError``.
     """
     if not isinstance(ranges, DataFrame):
         return source.select(_col(key_col).alias(out_key), range_column(value, ranges).alias(out_tag))
     r = ranges.select(F.col("lo").cast("bigint").alias("_lo"), F.col("hi").cast("bigint").alias("_hi"),
                       F.col("id").cast("int").alias("_tag"))
-    small = bounded_broadcast(r, max_broadcast_rows)
+    if r.limit(max_broadcast_rows + 1).count() > max_broadcast_rows:
+        # a non-equi join needs the rule side broadcast; a shuffled form would be a
+        # nested loop over both sides
+        raise ValueError(f"more than {max_broadcast_rows} range rules; a range join needs them broadcast")
+    small = F.broadcast(r)
     _check_disjoint(r)
     src = source.select(_col(key_col).alias("_key"), value.alias("_v"))
     joined = src.join(small, (src["_v"] >= small["_lo"]) & (src["_v"] <= small["_hi"]), "left")
@@ -98,7 +103,8 @@ def match_ranges(source: DataFrame, value: Column, ranges: Sequence[tuple[int, i
 
 
 def _check_disjoint(r: DataFrame) -> None:
-    """Raise if two ranges overlap (a small sort + lag over the rule rows)."""
+    """Raise if two ranges overlap (a sort + running max over the rule rows, which are
+    proven to be at most ``max_broadcast_rows``)."""
     from pyspark.sql import Window
     w = Window.orderBy("_lo", "_hi")
     bad = (r.withColumn("_prev_hi", F.max("_hi").over(w.rowsBetween(Window.unboundedPreceding, -1)))
