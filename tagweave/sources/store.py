@@ -139,9 +139,15 @@ class TagStore:
             return literal_frame(self.spark, [], schema or f"{self.key} STRING")
         return self.spark.read.parquet(self.snapshot_path(v))
 
-    def commit(self, snapshot: DataFrame, base_version: int | None) -> int:
-        """Write ``snapshot`` as version ``base + 1`` and publish it."""
+    def commit(self, snapshot: DataFrame, base_version: int | None, sort_by_key: bool = True) -> int:
+        """Write ``snapshot`` as version ``base + 1`` and publish it.
+
+        Each file is sorted by key (a per-partition sort, no shuffle), so Parquet
+        row-group statistics let a lookup by key skip most of a file.
+        """
         version = (base_version or 0) + 1
+        if sort_by_key:
+            snapshot = snapshot.sortWithinPartitions(self.key)
         if self.latest_version() != base_version:
             raise ConcurrentUpdateError(
                 f"{self.path}: base version {base_version} is no longer the latest")

@@ -88,3 +88,25 @@ def test_value_tags(spark):
     req = spark.createDataFrame([("nurse", 64, "3")], "name STRING, pid LONG, rule STRING")
     out = C.add_value_tags(cat, req, ["name"], now=NOW).first()
     assert (out["id"], out["level"], out["pid"], out["rule"]) == (67, 5, 64, "3")
+
+
+def test_catalog_scans_from_parquet_conform(spark, tmp_path):
+    from tagweave.sources.catalog import load_model_catalog, load_tag_catalog
+    raw = spark.createDataFrame([(1, -1, 1, "a", None), (2, 1, 2, "b", "x=1")],
+                                "id INT, pid INT, level LONG, name STRING, rule STRING")
+    path = str(tmp_path / "tags")
+    raw.write.parquet(path)
+    tags = load_tag_catalog(spark, path)
+    assert tags.schema == TAG_CATALOG
+    assert rows(tags, "id", "level") == [(1, 1), (2, 2)]
+    models = load_model_catalog(spark, spark.createDataFrame([(1, 2)], "id INT, tag_id INT"))
+    assert models.schema == MODEL_CATALOG and models.first()["state"] is None
+
+
+def test_duplicate_tag_id_is_an_error(spark):
+    import pytest
+    from tagweave.operators.lookup import source_spec_of
+    cat = _catalog(spark, BASE + [(64, 3, 4, "job again", "inType=parquet")])
+    with pytest.raises(LookupError):
+        source_spec_of(cat, 64)
+    assert source_spec_of(_catalog(spark, BASE), 64)["selectFields"] == "id,job"

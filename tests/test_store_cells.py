@@ -80,3 +80,15 @@ def test_store_spec_from_options(spark):
     store.upsert(new)
     assert store.read().columns == ["userId", "tagIds"]
     assert rows(store.read()) == [("1", "65")]
+
+
+def test_store_files_sorted_for_point_lookups(spark):
+    base = tempfile.mkdtemp(prefix="tagweave-sorted-", dir="/tmp")
+    store = TagStore(spark, base)
+    data = spark.range(0, 20000).select(F.format_string("u%06d", (F.col("id") * 7919) % 20000).alias("userId"),
+                                        F.lit("65").alias("tagIds")).repartition(4)
+    store.commit(data, None)
+    lookup = store.read().where(F.col("userId") == "u000123")
+    plan = lookup._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(userId), EqualTo(userId,u000123)]" in plan
+    assert rows(lookup) == [("u000123", "65")]
