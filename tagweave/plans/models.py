@@ -13,7 +13,6 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 
 from tagweave.operators.match import date_digits, match_ranges, match_rules, match_values
-from pyspark.sql import functions as F
 
 Compute = Callable[[DataFrame, DataFrame], DataFrame]
 MERGES = ("inner", "left", "replace")

@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagweave.functions.rules import parse_rule, rule_entries, source_spec
+from tagweave.functions.rules import parse_rule, source_spec
 from tagweave.functions.schedule import decode_schedule, encode_schedule, scheduler_time
 from tagweave.operators import catalog_ops as C
 from tagweave.operators.lookup import value_rules
@@ -20,7 +20,7 @@ from tagweave.operators.match import date_digits, match_ranges, match_rules, mat
 from tagweave.operators.merge import merge_with_history, merge_with_history_sql
 from tagweave.plans import models as M
 from tagweave.plans import testbed as T
-from tagweave.plans.pipeline import plan
+from tagweave.plans.pipeline import plan, snapshot_after
 from tagweave.schemas import SOURCE_KEYS
 from tagweave.sources.cells import read_cells
 from tagweave.sources.store import upsert_frame
@@ -216,7 +216,6 @@ def q_merge_left_lineitem(spark, d):
 
 
 def q_upsert_merge_lineitem(spark, d):
-    from tagweave.plans.pipeline import snapshot_after
     new = q_match_lookup_lineitem(spark, d).select("userId", F.col("tagIds").cast("string").alias("tagIds"))
     return snapshot_after(M.age_model(), T.line_history(spark, d), new)
 

@@ -1,9 +1,7 @@
-from pyspark.sql import functions as F
-
 from tagweave.functions.rules import format_rule, parse_rule, source_spec
 from tagweave.schemas import SOURCE_KEYS
 
-RULE = "inType=HBase##zkHosts=192.168.10.20##zkPort=2181##hbaseTable=tbl_users##family=detail##selectFields=id,gender"
+RULE = "inType=HBase##zkHosts=zk-host-1##zkPort=2181##hbaseTable=tbl_users##family=detail##selectFields=id,gender"
 
 
 def _parse(spark, text):
@@ -13,7 +11,7 @@ def _parse(spark, text):
 
 def test_golden_rule_string(spark):
     m = _parse(spark, RULE)
-    assert m == {"inType": "HBase", "zkHosts": "192.168.10.20", "zkPort": "2181",
+    assert m == {"inType": "HBase", "zkHosts": "zk-host-1", "zkPort": "2181",
                  "hbaseTable": "tbl_users", "family": "detail", "selectFields": "id,gender"}
 
 

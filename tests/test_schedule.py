@@ -1,6 +1,5 @@
 import datetime as dt
 
-from pyspark.sql import functions as F
 
 from tagweave.functions.schedule import decode_schedule, encode_schedule, scheduler_time
 

@@ -1,7 +1,5 @@
 """One key holding a third of all rows must not change results or load one task."""
 
-import datetime as dt
-
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F

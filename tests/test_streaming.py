@@ -1,8 +1,6 @@
 import datetime as dt
 import tempfile
 
-from pyspark.sql import functions as F
-
 from conftest import rows
 from tagweave.plans import models as M
 from tagweave.plans.pipeline import STORE_SCHEMA, plan
