@@ -328,11 +328,12 @@ BASE_SQL = (
 )
 RULE_PREFIX = "inType=parquet##hbaseTable=orders##selectFields=o_orderkey,o_orderstatus##rowKey="
 FULL_SQL = (
-    BASE_SQL + ", mx AS (SELECT max(id) AS m FROM base), "
-    "req AS (SELECT *, row_number() OVER (ORDER BY o_orderkey) AS rn FROM orders), "
+    BASE_SQL + ", "
+    "req AS (SELECT *, (SELECT max(id) FROM base) AS m, row_number() OVER (ORDER BY o_orderkey) AS rn "
+    "FROM orders), "
     f"order_tags AS (SELECT CAST(m + rn AS BIGINT) AS id, CAST({T.PROFILE_NODE} AS BIGINT) AS pid, 4 AS level, "
     f"'model-' || CAST(o_orderkey AS VARCHAR) AS name, '{RULE_PREFIX}' || CAST(o_orderkey AS VARCHAR) AS rule "
-    "FROM req, mx), "
+    "FROM req), "
     "tags AS (SELECT * FROM base UNION ALL SELECT * FROM order_tags), "
     "models AS (SELECT CAST(rn AS BIGINT) AS id, CAST(m + rn AS BIGINT) AS tag_id, "
     "'model-' || CAST(o_orderkey AS VARCHAR) AS model_name, 'tagweave.plans.models' AS model_main, "
@@ -340,7 +341,7 @@ FULL_SQL = (
     "CAST(1 + o_orderkey % 5 AS VARCHAR) || ',' || strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') || ',' || "
     "strftime(o_orderdate + INTERVAL 30 DAY, '%Y-%m-%d %H:%M:%S') AS sche_time, 1 AS state, "
     "o_orderstatus AS args, o_orderdate AS start_time, o_orderdate + INTERVAL 30 DAY AS end_time, "
-    "CAST(1 + o_orderkey % 5 AS INTEGER) AS frequency FROM req, mx)"
+    "CAST(1 + o_orderkey % 5 AS INTEGER) AS frequency FROM req)"
 )
 
 
