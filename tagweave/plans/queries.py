@@ -133,6 +133,12 @@ def q_source_spec(spark, d):
     return r.select("id", source_spec(parse_rule("rule"), "").alias("s")).select("id", "s.*")
 
 
+def q_catalog_specs(spark, d):
+    """Every level-4 rule of the catalog as a source spec (missing keys null)."""
+    tags = _full(spark, d)[0].where(F.col("level") == 4)
+    return tags.select("id", source_spec(parse_rule("rule"), None).alias("s")).select("id", "s.*")
+
+
 def q_schedule_roundtrip(spark, d):
     o = T.table(spark, d, "orders")
     packed = encode_schedule((F.lit(1) + F.col("o_orderkey") % 5).cast("int"), F.col("o_orderdate"),
@@ -238,6 +244,7 @@ QUERIES: dict[str, Query] = {
     "store_replace": q_store_replace,
     "rule_parse": q_rule_parse,
     "source_spec": q_source_spec,
+    "catalog_specs": q_catalog_specs,
     "schedule_roundtrip": q_schedule_roundtrip,
     "tags_by_level": q_tags_by_level,
     "tags_by_parent": q_tags_by_parent,
@@ -418,10 +425,7 @@ _EV = ", ".join(
 CELLS_SQL = f"SELECT CAST(user_id AS VARCHAR) AS userId, {_EV} FROM events GROUP BY user_id"
 _USER_FIELDS = T.USER_FIELDS.split(",")
 
-CUSTOMER_RULES_SQL = (
-    "crules AS (SELECT c_custkey AS id, 'inType=HBase##hbaseTable=tbl_users##family=detail##selectFields=id,' "
-    "|| lower(c_mktsegment) || '####rowKey=id##note=' || c_name || '=x##family=' || c_mktsegment || "
-    "'##flag##' AS rule FROM customer), "
+PARSE_RULES_SQL = (
     "items AS (SELECT id, item, pos FROM (SELECT id, unnest(string_split(rule, '##')) AS item, "
     "generate_subscripts(string_split(rule, '##'), 1) AS pos FROM crules) WHERE item <> ''), "
     "kv AS (SELECT id, split_part(item, '=', 1) AS key, "
@@ -429,7 +433,13 @@ CUSTOMER_RULES_SQL = (
     "kv_last AS (SELECT id, key, value FROM (SELECT *, row_number() OVER (PARTITION BY id, key "
     "ORDER BY pos DESC) AS rn FROM kv) WHERE rn = 1)"
 )
+CUSTOMER_RULES_SQL = (
+    "crules AS (SELECT c_custkey AS id, 'inType=HBase##hbaseTable=tbl_users##family=detail##selectFields=id,' "
+    "|| lower(c_mktsegment) || '####rowKey=id##note=' || c_name || '=x##family=' || c_mktsegment || "
+    "'##flag##' AS rule FROM customer), " + PARSE_RULES_SQL
+)
 _SPEC = ", ".join(f"COALESCE(max(value) FILTER (WHERE key = '{k}'), '') AS \"{k}\"" for k in SOURCE_KEYS)
+_SPEC_NULL = ", ".join(f"max(value) FILTER (WHERE key = '{k}') AS \"{k}\"" for k in SOURCE_KEYS)
 
 ORACLE: dict[str, str] = {
     "match_lookup": _match_sql(M.JOB_TAG_ID, "job"),
@@ -451,6 +461,9 @@ ORACLE: dict[str, str] = {
     "store_replace": _pipeline_sql("gender", "replace").replace("WITH ", "WITH ", 1),
     "rule_parse": f"WITH {CUSTOMER_RULES_SQL} SELECT id, key, value FROM kv_last",
     "source_spec": f"WITH {CUSTOMER_RULES_SQL} SELECT id, {_SPEC} FROM kv_last GROUP BY id",
+    "catalog_specs": (f"WITH {FULL_SQL}, crules AS (SELECT id, rule FROM tags WHERE level = 4), {PARSE_RULES_SQL} "
+                      f"SELECT c.id AS id, {', '.join(f's.{chr(34)}{k}{chr(34)} AS {chr(34)}{k}{chr(34)}' for k in SOURCE_KEYS)} "
+                      f"FROM crules c LEFT JOIN (SELECT id, {_SPEC_NULL} FROM kv_last GROUP BY id) s ON s.id = c.id"),
     "schedule_roundtrip": (
         "SELECT o_orderkey, CAST(1 + o_orderkey % 5 AS VARCHAR) || ',' || strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') "
         "|| ',' || strftime(o_orderdate + INTERVAL 30 DAY, '%Y-%m-%d %H:%M:%S') AS sche_time, "
