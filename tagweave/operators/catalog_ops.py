@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tagweave.functions.schedule import decode_schedule, encode_schedule
-from tagweave.operators.ids import with_sequential_id
+from tagweave.operators.ids import sequential_ids, with_sequential_id
 from tagweave.sources.catalog import conform
 from tagweave.schemas import MODEL_CATALOG, TAG_CATALOG
 
@@ -101,20 +101,18 @@ def upsert_paths(catalog: DataFrame, paths: DataFrame, levels: list[str],
     resolved = distinct_paths.withColumn("_pid", parent)
     next_id = _max_id(catalog) + 1
     for depth, col in enumerate(cols, start=1):
-        added = None
         nodes = (resolved.where(F.col(col).isNotNull() & F.col("_pid").isNotNull())
                  .select(F.col(col).alias("name"), F.col("_pid").alias("pid")).distinct())
         existing = (current.where(F.col("level") == depth)
                     .groupBy("name", "pid").agg(F.min("id").alias("id")))
-        missing = nodes.join(existing, ["name", "pid"], "left_anti")
+        missing = nodes.join(existing, ["name", "pid"], "left_anti").persist(StorageLevel.MEMORY_AND_DISK)
         if missing.isEmpty():
             fresh, added = missing.withColumn("id", F.lit(None).cast("long")), 0
         else:
-            fresh = with_sequential_id(missing, ["pid", "name"], next_id)
+            fresh, added = sequential_ids(missing, ["pid", "name"], next_id)
+        missing.unpersist()
         fresh = prepare_tags(fresh.withColumn("level", F.lit(depth))
                              .withColumn("rule", F.lit(None).cast("string")), now)
-        if added is None:
-            added = fresh.count()
         next_id += added
         inserted_all = fresh if inserted_all is None else inserted_all.unionByName(fresh)
         current = current.unionByName(fresh)
