@@ -5,22 +5,25 @@ An upsert is one full outer join of the latest snapshot with the new rows on the
 in place, so a job may read the snapshot it is replacing, a failed job leaves the
 published version untouched, and a lost executor only recomputes from files.
 
-Versions are published in a small append-only ``manifest`` table.  Before publishing,
-the writer re-reads the manifest and refuses to publish when another writer published
-since its base version (optimistic concurrency; the unpublished folder is left for
-clean-up).
+Versions are published in a small append-only ``manifest`` table that records each
+version's folder.  Every write attempt gets its own folder, so a job that died half way
+leaves only an unpublished folder behind and a retry simply writes a new one.  Before
+and after publishing, the writer re-reads the manifest: if another writer published
+the same version first, this writer's update is reported (``ConcurrentUpdateError``),
+never silently lost; readers take the first published row of each version.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType, TimestampType
+from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampType
 
 from tagweave.frames import literal_frame
 from tagweave.schemas import USER_KEY
@@ -31,6 +34,7 @@ _MANIFEST = StructType([
     StructField("version", LongType(), False),
     StructField("base_version", LongType(), True),
     StructField("committed_at", TimestampType(), False),
+    StructField("path", StringType(), False),
 ])
 
 
@@ -118,26 +122,42 @@ class TagStore:
     def manifest_path(self) -> str:
         return f"{self.path}/manifest"
 
-    def snapshot_path(self, version: int) -> str:
-        return f"{self.path}/snapshots/v{version:010d}"
+    def _new_snapshot_path(self, version: int) -> str:
+        return f"{self.path}/snapshots/v{version:010d}-{uuid.uuid4().hex}"
 
     def versions(self) -> DataFrame:
+        """Published versions: the first published row of each version number."""
         try:
-            return self.spark.read.schema(_MANIFEST).parquet(self.manifest_path)
+            m = self.spark.read.schema(_MANIFEST).parquet(self.manifest_path)
         except AnalysisException:
             return literal_frame(self.spark, [], _MANIFEST)
+        first = m.groupBy("version").agg(
+            F.min_by(F.struct("base_version", "committed_at", "path"),
+                     F.struct("committed_at", "path")).alias("r"))
+        return first.select("version", "r.base_version", "r.committed_at", "r.path")
+
+    def _latest(self):
+        return self.versions().orderBy(F.col("version").desc()).limit(1).collect()
 
     def latest_version(self) -> int | None:
-        row = self.versions().agg(F.max("version").alias("v")).first()
-        return None if row is None or row["v"] is None else int(row["v"])
+        rows = self._latest()
+        return int(rows[0]["version"]) if rows else None
+
+    def _path_of(self, version: int) -> str:
+        rows = self.versions().where(F.col("version") == version).select("path").collect()
+        if not rows:
+            raise LookupError(f"{self.path}: version {version} is not published")
+        return rows[0]["path"]
 
     def read(self, version: int | None = None, schema: StructType | str | None = None) -> DataFrame:
         """A published snapshot (default: the latest).  An empty store gives an empty
         DataFrame with ``schema`` (default ``key STRING``)."""
-        v = self.latest_version() if version is None else version
-        if v is None:
-            return literal_frame(self.spark, [], schema or f"{self.key} STRING")
-        return self.spark.read.parquet(self.snapshot_path(v))
+        if version is None:
+            rows = self._latest()
+            if not rows:
+                return literal_frame(self.spark, [], schema or f"{self.key} STRING")
+            return self.spark.read.parquet(rows[0]["path"])
+        return self.spark.read.parquet(self._path_of(version))
 
     def commit(self, snapshot: DataFrame, base_version: int | None, sort_by_key: bool = True) -> int:
         """Write ``snapshot`` as version ``base + 1`` and publish it.
@@ -146,23 +166,21 @@ class TagStore:
         row-group statistics let a lookup by key skip most of a file.
         """
         version = (base_version or 0) + 1
-        if sort_by_key:
-            snapshot = snapshot.sortWithinPartitions(self.key)
         if self.latest_version() != base_version:
             raise ConcurrentUpdateError(
                 f"{self.path}: base version {base_version} is no longer the latest")
-        try:
-            snapshot.write.mode("errorifexists").parquet(self.snapshot_path(version))
-        except AnalysisException as exc:
-            if "PATH_ALREADY_EXISTS" in str(exc):
-                raise ConcurrentUpdateError(f"{self.path}: version {version} is being written") from exc
-            raise
+        if sort_by_key:
+            snapshot = snapshot.sortWithinPartitions(self.key)
+        folder = self._new_snapshot_path(version)
+        snapshot.write.mode("errorifexists").parquet(folder)
         if self.latest_version() != base_version:
             raise ConcurrentUpdateError(
                 f"{self.path}: base version {base_version} is no longer the latest")
         now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-        (literal_frame(self.spark, [(version, base_version, now)], _MANIFEST)
+        (literal_frame(self.spark, [(version, base_version, now, folder)], _MANIFEST)
          .coalesce(1).write.mode("append").parquet(self.manifest_path))
+        if self._path_of(version) != folder:
+            raise ConcurrentUpdateError(f"{self.path}: another writer published version {version} first")
         return version
 
     def upsert(self, new: DataFrame, *, fields: Sequence[str] | None = None,

@@ -92,3 +92,33 @@ def test_store_files_sorted_for_point_lookups(spark):
     plan = lookup._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(userId), EqualTo(userId,u000123)]" in plan
     assert rows(lookup) == [("u000123", "65")]
+
+
+def test_failed_attempt_leaves_nothing_published_and_retry_works(spark):
+    base = tempfile.mkdtemp(prefix="tagweave-retry-", dir="/tmp")
+    store = TagStore(spark, base)
+    store.commit(spark.createDataFrame([("1", "65")], "userId STRING, tagIds STRING"), None)
+    # a job that wrote part of version 2 and died before publishing
+    spark.createDataFrame([("1", "broken")], "userId STRING, tagIds STRING").write.parquet(
+        f"{base}/snapshots/v0000000002-deadjob")
+    assert store.latest_version() == 1 and rows(store.read()) == [("1", "65")]
+    assert store.upsert(spark.createDataFrame([("2", "66")], "userId STRING, tagIds STRING")) == 2
+    assert rows(store.read()) == [("1", "65"), ("2", "66")]
+
+
+def test_lost_race_is_reported(spark):
+    base = tempfile.mkdtemp(prefix="tagweave-race-", dir="/tmp")
+    store = TagStore(spark, base)
+    store.commit(spark.createDataFrame([("1", "65")], "userId STRING, tagIds STRING"), None)
+    winner = TagStore(spark, base)
+    winner.commit(spark.createDataFrame([("1", "70")], "userId STRING, tagIds STRING"), 1)
+
+    class Blind(TagStore):
+        """A writer whose checks ran before the winner published."""
+        def latest_version(self):
+            return 1
+
+    loser = Blind(spark, base)
+    with pytest.raises(ConcurrentUpdateError):
+        loser.commit(spark.createDataFrame([("1", "99")], "userId STRING, tagIds STRING"), 1)
+    assert store.latest_version() == 2 and rows(store.read()) == [("1", "70")]
