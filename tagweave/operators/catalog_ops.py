@@ -11,7 +11,6 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -76,52 +75,76 @@ def _max_id(df: DataFrame) -> int:
     return int(row["m"]) if row and row["m"] is not None else 0
 
 
+_KEY_ITEM = "struct<c:int,e:bigint,n:string>"
+
+
+def _key_item(c: int, e: Column, n: Column) -> Column:
+    return F.struct(F.lit(c).alias("c"), e.cast("bigint").alias("e"), n.cast("string").alias("n"))
+
+
 def upsert_paths(catalog: DataFrame, paths: DataFrame, levels: list[str],
                  now: datetime | None = None) -> tuple[DataFrame, DataFrame]:
     """Insert the category paths that are not in the catalog yet.
 
     ``paths`` has one column per level, named by ``levels`` (level 1 first); a null
-    ends a path early.  Level by level, a node is found by ``(name, level, pid)``
-    (null-safe; the oldest id wins if several match) or inserted, and its id becomes
-    the ``pid`` of the next level.  Level-1 parents are ``-1``.  New ids continue after
-    the catalog's maximum, ordered by ``(pid, name)``.  Running the same paths twice
-    inserts nothing the second time.  New ids are frozen by a reliable checkpoint
-    (see :func:`with_sequential_id`), so the returned frames can be re-evaluated.
+    ends a path.  A node is found by ``(name, level, pid)`` (the oldest id wins if
+    several match) or inserted; level-1 parents are ``-1``.  New ids continue after the
+    catalog's maximum, level by level, each level ordered by ``(pid, name)`` - the
+    order in which inserting one level at a time would number them.  Running the
+    same paths twice inserts nothing the second time.
+
+    All levels are resolved in one lazy plan: a node under a *new* parent is new, so
+    existence never needs new ids.  Each new node carries an order key - its level,
+    then its parent (an existing parent's id, or the new parent's own key, which
+    sorts after every existing id), then its name - so one parallel numbering over all
+    new nodes gives the level-by-level ids, and one join on the parent path fills in
+    new parents' ids.
 
     Returns ``(catalog_after, inserted)``.
     """
     cols = list(levels)
     # one timestamp for the whole run, so re-evaluating a lazy result gives the same rows
     now = now or datetime.now()
-    distinct_paths = (paths.select(*[F.col(c).cast("string").alias(c) for c in cols]).distinct()
-                      .persist(StorageLevel.MEMORY_AND_DISK))
-    current = catalog
-    inserted_all = None
-    parent = F.lit(-1).cast("long")
-    resolved = distinct_paths.withColumn("_pid", parent)
-    next_id = _max_id(catalog) + 1
+    distinct_paths = paths.select(*[F.col(c).cast("string").alias(c) for c in cols]).distinct()
+    no_key = F.lit(None).cast(f"array<{_KEY_ITEM}>")
+    previous = None
+    new_parts = []
     for depth, col in enumerate(cols, start=1):
-        nodes = (resolved.where(F.col(col).isNotNull() & F.col("_pid").isNotNull())
-                 .select(F.col(col).alias("name"), F.col("_pid").alias("pid")).distinct())
-        existing = (current.where(F.col("level") == depth)
-                    .groupBy("name", "pid").agg(F.min("id").alias("id")))
-        missing = nodes.join(existing, ["name", "pid"], "left_anti").persist(StorageLevel.MEMORY_AND_DISK)
-        if missing.isEmpty():
-            fresh, added = missing.withColumn("id", F.lit(None).cast("long")), 0
+        prefix = cols[:depth]
+        nodes = (distinct_paths.where(F.col(col).isNotNull()).select(*prefix).distinct())
+        if previous is None:
+            nodes = nodes.select(*prefix, F.lit(-1).cast("long").alias("_parent_id"),
+                                 no_key.alias("_parent_key"))
         else:
-            fresh, added = sequential_ids(missing, ["pid", "name"], next_id)
-        missing.unpersist()
-        fresh = prepare_tags(fresh.withColumn("level", F.lit(depth))
-                             .withColumn("rule", F.lit(None).cast("string")), now)
-        next_id += added
-        inserted_all = fresh if inserted_all is None else inserted_all.unionByName(fresh)
-        current = current.unionByName(fresh)
-        ids = (existing.unionByName(fresh.select("name", "pid", "id"))
-               .withColumnRenamed("name", col).withColumnRenamed("pid", "_pid")
-               .withColumnRenamed("id", "_id"))
-        resolved = (resolved.join(ids, [col, "_pid"], "left")
-                    .withColumn("_pid", F.col("_id")).drop("_id"))
-    return current, inserted_all
+            parent = previous.select(*cols[:depth - 1], F.col("_id").alias("_parent_id"),
+                                     F.col("_key").alias("_parent_key"))
+            nodes = nodes.join(parent, cols[:depth - 1], "inner")
+        existing = (catalog.where(F.col("level") == depth)
+                    .groupBy(F.col("name").alias("_ename"), F.col("pid").alias("_epid"))
+                    .agg(F.min("id").alias("_eid")))
+        nodes = nodes.join(existing, (F.col(col) == F.col("_ename")) & (F.col("_parent_id") == F.col("_epid")),
+                           "left")
+        name_item = F.array(_key_item(2, F.lit(0), F.col(col)))
+        key = F.when(F.col("_parent_id").isNotNull(),
+                     F.concat(F.array(_key_item(0, F.col("_parent_id"), F.lit(""))), name_item)) \
+            .otherwise(F.concat(F.array(_key_item(1, F.lit(0), F.lit(""))), F.col("_parent_key"), name_item))
+        previous = nodes.select(*prefix, F.col("_eid").alias("_id"),
+                                F.when(F.col("_eid").isNull(), key).alias("_key"), "_parent_id")
+        new_parts.append(previous.where(F.col("_id").isNull()).select(
+            F.lit(depth).alias("level"), F.col(col).alias("name"),
+            F.array(*[F.col(c) for c in prefix]).alias("_path"),
+            F.array(*[F.col(c) for c in cols[:depth - 1]]).cast("array<string>").alias("_parent_path"),
+            "_parent_id", "_key"))
+    new_nodes = new_parts[0]
+    for part in new_parts[1:]:
+        new_nodes = new_nodes.unionByName(part)
+    numbered, _ = sequential_ids(new_nodes, ["level", "_key"], _max_id(catalog) + 1)
+    parents = numbered.select(F.col("_path").alias("_pp"), F.col("id").alias("_new_pid"))
+    linked = numbered.join(parents, numbered["_parent_path"] == parents["_pp"], "left")
+    inserted = prepare_tags(linked.select(
+        "id", F.coalesce(F.col("_parent_id"), F.col("_new_pid")).alias("pid"), "level", "name",
+        F.lit(None).cast("string").alias("rule")), now)
+    return catalog.unionByName(inserted), inserted
 
 
 def add_model_tags(catalog: DataFrame, models: DataFrame, requests: DataFrame,
