@@ -63,3 +63,45 @@ def test_parse_matches_model(spark, rules):
     got = [r["m"] for r in df.select(parse_rule("rule").alias("m")).collect()]
     for text, m in zip(rules, got):
         assert m == parse_model(text), text
+
+
+def upsert_paths_model(catalog, paths, depth):
+    """Level by level: find (name, level, pid) or insert; new ids by (pid, name)."""
+    nodes = {(lvl, name, pid): i for i, pid, lvl, name in sorted(catalog, reverse=True)}  # oldest id wins
+    next_id = max((c[0] for c in catalog), default=0) + 1
+    inserted = []
+    resolved = {(): -1}
+    for level in range(1, depth + 1):
+        wanted = set()
+        for p in paths:
+            prefix = tuple(p[:level])
+            if None in prefix or prefix[:-1] not in resolved:
+                continue
+            wanted.add((prefix, resolved[prefix[:-1]]))
+        new = sorted({(pid, prefix[-1]) for prefix, pid in wanted if (level, prefix[-1], pid) not in nodes})
+        for pid, name in new:
+            nodes[(level, name, pid)] = next_id
+            inserted.append((next_id, pid, level, name))
+            next_id += 1
+        for prefix, pid in wanted:
+            resolved[prefix] = nodes[(level, prefix[-1], pid)]
+    return sorted(inserted)
+
+
+names = st.sampled_from(["a", "b", "c"])
+path = st.lists(st.one_of(names, st.none()), min_size=4, max_size=4)
+existing = st.lists(st.tuples(st.integers(1, 3), names, st.sampled_from([-1, 1, 2, 3, 4])), max_size=6)
+
+
+@settings(max_examples=6, deadline=None)
+@given(existing, st.lists(path, min_size=1, max_size=8))
+def test_path_upsert_matches_model(spark, rows_, paths):
+    import datetime as dt
+    from tagweave.operators.catalog_ops import upsert_paths
+    from tagweave.schemas import TAG_CATALOG
+    catalog = [(i + 1, pid, lvl, name) for i, (lvl, name, pid) in enumerate(rows_)]
+    cat = spark.createDataFrame([(i, p, lv, n, None, None, None) for i, p, lv, n in catalog], TAG_CATALOG)
+    pdf = spark.createDataFrame(paths, "l1 STRING, l2 STRING, l3 STRING, l4 STRING")
+    _, inserted = upsert_paths(cat, pdf, ["l1", "l2", "l3", "l4"], now=dt.datetime(2020, 1, 1))
+    got = sorted((r["id"], r["pid"], r["level"], r["name"]) for r in inserted.collect())
+    assert got == upsert_paths_model(catalog, paths, 4)
