@@ -22,7 +22,7 @@ NOTES = {
                              "the history's date filter is pushed into the scan.",
     "cells_latest": "One aggregate per row key with a max_by per qualifier; partial_max_by runs before the "
                     "shuffle, so a hot row key shrinks to one row per task.",
-    "pipeline_job": "End to end: cells pivot -> broadcast rule match -> left outer join with the stored "
+    "tagging_job": "End to end: cells pivot -> broadcast rule match -> left outer join with the stored "
                     "tags (inner-merge model). AQE turns the join into a broadcast when the new side is "
                     "small at run time.",
     "model_state": "Latest change per tag with a map-side combined max_by, then a join with the model table; "

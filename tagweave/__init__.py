@@ -9,7 +9,7 @@ Layout:
   sources/    catalog scans, the wide-column ("cells") source, the versioned tag store
   functions/  column expressions: rule strings, schedules, tag lists
   operators/  lookups, matching, merging, id assignment, catalog maintenance jobs
-  plans/      tag-model specs and the end-to-end ``run()`` pipeline
+  plans/      tag-model specs and the end-to-end ``run()`` job
   streaming/  the scheduled (micro-batch) form of ``run()``
 """
 

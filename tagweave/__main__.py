@@ -17,7 +17,7 @@ import argparse
 from pyspark.sql import SparkSession
 
 from tagweave.plans import models as M
-from tagweave.plans.pipeline import run
+from tagweave.plans.runner import run
 from tagweave.session import ensure_checkpoint_dir
 from tagweave.sources.catalog import load_tag_catalog
 from tagweave.sources.store import TagStore

@@ -2,7 +2,7 @@
 
 Both sides are keyed by user id (unique per side), so the join is a sort-merge join
 on the key with no hot key by construction.  In the end-to-end job the merge is folded
-into the store upsert instead (one full outer join, see ``plans.pipeline``); this
+into the store upsert instead (one full outer join, see ``plans.runner``); this
 function is the stand-alone form.
 """
 

@@ -20,7 +20,7 @@ from tagweave.operators.match import date_digits, match_ranges, match_rules, mat
 from tagweave.operators.merge import merge_with_history, merge_with_history_sql
 from tagweave.plans import models as M
 from tagweave.plans import testbed as T
-from tagweave.plans.pipeline import plan, snapshot_after
+from tagweave.plans.runner import plan, snapshot_after
 from tagweave.schemas import SOURCE_KEYS
 from tagweave.sources.cells import read_cells
 from tagweave.sources.store import upsert_frame
@@ -206,7 +206,7 @@ def q_add_value_tag(spark, d):
     return C.tag_view(C.add_value_tags(_catalog(spark, d), req, ["name"], now=T.NOW))
 
 
-def _pipeline(model):
+def _tagging(model):
     def q(spark, d):
         return plan(model, _catalog(spark, d), T.history(spark, d), _tables(spark, d))
     return q
@@ -254,12 +254,12 @@ QUERIES: dict[str, Query] = {
     "model_state": q_model_state,
     "path_upsert": q_path_upsert,
     "add_value_tag": q_add_value_tag,
-    "pipeline_job": _pipeline(M.job_tag()),
-    "pipeline_blacklist": _pipeline(M.blacklist_tag()),
-    "pipeline_nationality": _pipeline(M.nationality_tag()),
-    "pipeline_gender": _pipeline(M.gender_model()),
-    "pipeline_job_model": _pipeline(M.job_model("job_code")),
-    "pipeline_age": _pipeline(M.age_model()),
+    "tagging_job": _tagging(M.job_tag()),
+    "tagging_blacklist": _tagging(M.blacklist_tag()),
+    "tagging_nationality": _tagging(M.nationality_tag()),
+    "tagging_gender": _tagging(M.gender_model()),
+    "tagging_job_model": _tagging(M.job_model("job_code")),
+    "tagging_age": _tagging(M.age_model()),
     "match_lookup_lineitem": q_match_lookup_lineitem,
     "merge_left_lineitem": q_merge_left_lineitem,
     "upsert_merge_lineitem": q_upsert_merge_lineitem,
@@ -403,7 +403,7 @@ def _merge_join_sql(kind: str, join: str, first: str, blank: str, rules_pid: int
             f"FROM new n {how} history o ON o.userId = n.userId")
 
 
-def _pipeline_sql(kind: str, merge: str, first: str = "old", blank: str = "blank",
+def _tagging_sql(kind: str, merge: str, first: str = "old", blank: str = "blank",
                   rules_pid: int | None = None) -> str:
     rules = f", {BASE_SQL}, {_rules_sql(rules_pid)}" if rules_pid is not None else ""
     head = f"WITH {USERS_SQL}, {HISTORY_SQL}{rules}, {_new_sql(kind)} "
@@ -458,7 +458,7 @@ ORACLE: dict[str, str] = {
     "store_upsert": (f"WITH {HISTORY_SQL}, cells AS ({CELLS_SQL}) SELECT COALESCE(o.userId, n.userId) AS userId, "
                      "o.tagIds AS tagIds, n.click AS click, n.purchase AS purchase "
                      "FROM history o FULL OUTER JOIN cells n ON o.userId = n.userId"),
-    "store_replace": _pipeline_sql("gender", "replace").replace("WITH ", "WITH ", 1),
+    "store_replace": _tagging_sql("gender", "replace").replace("WITH ", "WITH ", 1),
     "rule_parse": f"WITH {CUSTOMER_RULES_SQL} SELECT id, key, value FROM kv_last",
     "source_spec": f"WITH {CUSTOMER_RULES_SQL} SELECT id, {_SPEC} FROM kv_last GROUP BY id",
     "catalog_specs": (f"WITH {FULL_SQL}, crules AS (SELECT id, rule FROM tags WHERE level = 4), {PARSE_RULES_SQL} "
@@ -517,12 +517,12 @@ ORACLE: dict[str, str] = {
         f"WITH {BASE_SQL}, seg AS (SELECT DISTINCT c_mktsegment FROM customer) "
         "SELECT CAST((SELECT max(id) FROM base) + row_number() OVER (ORDER BY lower(c_mktsegment)) AS BIGINT) AS id, "
         f"CAST({M.JOB_TAG_ID} AS BIGINT) AS pid, 5 AS level, lower(c_mktsegment) AS name, c_mktsegment AS rule FROM seg"),
-    "pipeline_job": _pipeline_sql("job", "inner", "old", "empty", M.JOB_TAG_ID),
-    "pipeline_blacklist": _pipeline_sql("blacklist", "inner", "old", "empty", M.BLACKLIST_TAG_ID),
-    "pipeline_nationality": _pipeline_sql("nationality", "inner", "old", "empty", M.NATIONALITY_TAG_ID),
-    "pipeline_gender": _pipeline_sql("gender", "replace"),
-    "pipeline_job_model": _pipeline_sql("job_code", "left", "new", "blank"),
-    "pipeline_age": _pipeline_sql("age", "left", "old", "blank"),
+    "tagging_job": _tagging_sql("job", "inner", "old", "empty", M.JOB_TAG_ID),
+    "tagging_blacklist": _tagging_sql("blacklist", "inner", "old", "empty", M.BLACKLIST_TAG_ID),
+    "tagging_nationality": _tagging_sql("nationality", "inner", "old", "empty", M.NATIONALITY_TAG_ID),
+    "tagging_gender": _tagging_sql("gender", "replace"),
+    "tagging_job_model": _tagging_sql("job_code", "left", "new", "blank"),
+    "tagging_age": _tagging_sql("age", "left", "old", "blank"),
     "match_lookup_lineitem": (
         f"WITH {LINE_USERS_SQL}, {BASE_SQL}, {_rules_sql(M.JOB_TAG_ID)} SELECT u.id AS userId, "
         "CAST(COALESCE(r.id, 0) AS INTEGER) AS tagIds FROM line_users u LEFT JOIN rules r ON r.rule = u.job"),

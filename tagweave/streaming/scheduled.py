@@ -5,7 +5,7 @@ Streaming query over the cell folder: each micro-batch holds the cells written s
 the last one.  Every row key touched by a batch (a cell of the model's family and
 fields) is re-tagged from **all** its cells - a semi join of the cell table with the
 batch's keys - so the result equals a full re-run for those users.  The store then
-gets a new version through the same merge/upsert as ``pipeline.run``.  Users whose
+gets a new version through the same merge/upsert as ``runner.run``.  Users whose
 cells did not change are not re-tagged; a full re-run would merge the same tag again
 (a no-op), except for row keys with no selected cell at all, which a full run tags
 with the model's default.
@@ -23,7 +23,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tagweave.operators.lookup import source_spec_of
 from tagweave.plans.models import TagModel
-from tagweave.plans.pipeline import STORE_SCHEMA, plan
+from tagweave.plans.runner import STORE_SCHEMA, plan
 from tagweave.schemas import CELLS
 from tagweave.sources.cells import parse_fields
 from tagweave.sources.store import TagStore

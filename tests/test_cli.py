@@ -4,7 +4,7 @@ from conftest import SF_SMALL, rows
 from tagweave.__main__ import main
 from tagweave.plans import models as M
 from tagweave.plans import testbed as T
-from tagweave.plans.pipeline import plan
+from tagweave.plans.runner import plan
 from tagweave.sources.store import TagStore
 
 

@@ -3,7 +3,7 @@ import tempfile
 from conftest import SF_SMALL, rows
 from tagweave.plans import models as M
 from tagweave.plans import testbed as T
-from tagweave.plans.pipeline import STORE_SCHEMA, plan, run
+from tagweave.plans.runner import STORE_SCHEMA, plan, run
 from tagweave.sources.store import TagStore
 
 RULE = "inType=cells##hbaseTable=users##family=detail##selectFields=id,job##rowKey=id"
@@ -22,7 +22,7 @@ def _setup(spark):
     return cat, {"users": cells}
 
 
-def test_job_pipeline_inner_merge(spark):
+def test_job_tag_inner_merge(spark):
     cat, tables = _setup(spark)
     store = TagStore(spark, tempfile.mkdtemp(prefix="tagweave-run-", dir="/tmp"))
     hist = spark.createDataFrame([("1", "34"), ("10", ""), ("100", "67,65"), ("555", "1")], STORE_SCHEMA)

@@ -3,7 +3,7 @@ import tempfile
 
 from conftest import rows
 from tagweave.plans import models as M
-from tagweave.plans.pipeline import STORE_SCHEMA, plan
+from tagweave.plans.runner import STORE_SCHEMA, plan
 from tagweave.schemas import CELLS, TAG_CATALOG
 from tagweave.sources.store import TagStore
 from tagweave.streaming import scheduled
