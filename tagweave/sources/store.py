@@ -23,7 +23,8 @@ from dataclasses import dataclass
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampType
+from pyspark.sql.types import (IntegerType, LongType, StringType, StructField, StructType,
+                               TimestampType)
 
 from tagweave.frames import literal_frame
 from tagweave.schemas import USER_KEY
@@ -35,6 +36,7 @@ _MANIFEST = StructType([
     StructField("base_version", LongType(), True),
     StructField("committed_at", TimestampType(), False),
     StructField("path", StringType(), False),
+    StructField("buckets", IntegerType(), True),
 ])
 
 
@@ -87,11 +89,12 @@ def upsert_frame(old: DataFrame, new: DataFrame, key: str = USER_KEY, *,
 
 @dataclass(frozen=True)
 class StoreSpec:
-    """Where results go: folder, key column, and written fields (None = all)."""
+    """Where results go: folder, key column, written fields (None = all), buckets."""
 
     path: str
     key: str = USER_KEY
     fields: tuple[str, ...] | None = None
+    buckets: int | None = None
 
     @classmethod
     def from_options(cls, options: Mapping[str, str]) -> "StoreSpec":
@@ -102,21 +105,23 @@ class StoreSpec:
         fields = options.get("selectFields")
         key = options.get("rowKey") or USER_KEY
         written = tuple(f for f in fields.split(",") if f and f != key) if fields else None
-        return cls(path=path, key=key, fields=written)
+        buckets = int(options["buckets"]) if options.get("buckets") else None
+        return cls(path=path, key=key, fields=written, buckets=buckets)
 
     def open(self, spark: SparkSession) -> "TagStore":
-        return TagStore(spark, self.path, self.key, self.fields)
+        return TagStore(spark, self.path, self.key, self.fields, self.buckets)
 
 
 class TagStore:
     """Versioned snapshots of a keyed table under ``path``."""
 
     def __init__(self, spark: SparkSession, path: str, key: str = USER_KEY,
-                 fields: Sequence[str] | None = None):
+                 fields: Sequence[str] | None = None, buckets: int | None = None):
         self.spark = spark
         self.path = path.rstrip("/")
         self.key = key
         self.fields = list(fields) if fields is not None else None
+        self.buckets = buckets
 
     @property
     def manifest_path(self) -> str:
@@ -132,9 +137,9 @@ class TagStore:
         except AnalysisException:
             return literal_frame(self.spark, [], _MANIFEST)
         first = m.groupBy("version").agg(
-            F.min_by(F.struct("base_version", "committed_at", "path"),
+            F.min_by(F.struct("base_version", "committed_at", "path", "buckets"),
                      F.struct("committed_at", "path")).alias("r"))
-        return first.select("version", "r.base_version", "r.committed_at", "r.path")
+        return first.select("version", "r.base_version", "r.committed_at", "r.path", "r.buckets")
 
     def _latest(self):
         return self.versions().orderBy(F.col("version").desc()).limit(1).collect()
@@ -143,11 +148,33 @@ class TagStore:
         rows = self._latest()
         return int(rows[0]["version"]) if rows else None
 
-    def _path_of(self, version: int) -> str:
-        rows = self.versions().where(F.col("version") == version).select("path").collect()
+    def _row_of(self, version: int):
+        rows = self.versions().where(F.col("version") == version).select("path", "buckets").collect()
         if not rows:
             raise LookupError(f"{self.path}: version {version} is not published")
-        return rows[0]["path"]
+        return rows[0]
+
+    def _path_of(self, version: int) -> str:
+        return self._row_of(version)["path"]
+
+    @staticmethod
+    def _table_name(folder: str) -> str:
+        return "tagweave_snapshot_" + folder.rsplit("-", 1)[-1]
+
+    def _open(self, folder: str, buckets: int | None) -> DataFrame:
+        """A snapshot folder; a bucketed one is registered with its bucket spec so joins
+        on the key reuse its partitioning."""
+        if not buckets:
+            return self.spark.read.parquet(folder)
+        name = self._table_name(folder)
+        if not self.spark.catalog.tableExists(name):
+            schema = self.spark.read.parquet(folder).schema
+            cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+            self.spark.sql(
+                f"CREATE TABLE IF NOT EXISTS {name} ({cols}) USING parquet "
+                f"CLUSTERED BY (`{self.key}`) SORTED BY (`{self.key}`) INTO {int(buckets)} BUCKETS "
+                f"LOCATION '{folder}'")
+        return self.spark.table(name)
 
     def read(self, version: int | None = None, schema: StructType | str | None = None) -> DataFrame:
         """A published snapshot (default: the latest).  An empty store gives an empty
@@ -156,28 +183,37 @@ class TagStore:
             rows = self._latest()
             if not rows:
                 return literal_frame(self.spark, [], schema or f"{self.key} STRING")
-            return self.spark.read.parquet(rows[0]["path"])
-        return self.spark.read.parquet(self._path_of(version))
+            row = rows[0]
+        else:
+            row = self._row_of(version)
+        return self._open(row["path"], row["buckets"])
 
     def commit(self, snapshot: DataFrame, base_version: int | None, sort_by_key: bool = True) -> int:
         """Write ``snapshot`` as version ``base + 1`` and publish it.
 
         Each file is sorted by key (a per-partition sort, no shuffle), so Parquet
-        row-group statistics let a lookup by key skip most of a file.
+        row-group statistics let a lookup by key skip most of a file.  With
+        ``buckets`` the snapshot is written hash-bucketed by key; a join of the next
+        run's new rows with it then shuffles only the new rows (keep ``buckets`` at or
+        above ``spark.sql.shuffle.partitions``).
         """
         version = (base_version or 0) + 1
         if self.latest_version() != base_version:
             raise ConcurrentUpdateError(
                 f"{self.path}: base version {base_version} is no longer the latest")
-        if sort_by_key:
-            snapshot = snapshot.sortWithinPartitions(self.key)
         folder = self._new_snapshot_path(version)
-        snapshot.write.mode("errorifexists").parquet(folder)
+        if self.buckets:
+            (snapshot.write.format("parquet").bucketBy(self.buckets, self.key).sortBy(self.key)
+             .option("path", folder).mode("errorifexists").saveAsTable(self._table_name(folder)))
+        else:
+            if sort_by_key:
+                snapshot = snapshot.sortWithinPartitions(self.key)
+            snapshot.write.mode("errorifexists").parquet(folder)
         if self.latest_version() != base_version:
             raise ConcurrentUpdateError(
                 f"{self.path}: base version {base_version} is no longer the latest")
         now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-        (literal_frame(self.spark, [(version, base_version, now, folder)], _MANIFEST)
+        (literal_frame(self.spark, [(version, base_version, now, folder, self.buckets)], _MANIFEST)
          .coalesce(1).write.mode("append").parquet(self.manifest_path))
         if self._path_of(version) != folder:
             raise ConcurrentUpdateError(f"{self.path}: another writer published version {version} first")

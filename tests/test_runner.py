@@ -62,3 +62,20 @@ def test_user_count_kept(spark):
     out = plan(M.age_model(), cat, T.history(spark, SF_SMALL), {T.USERS_TABLE: T.user_cells(spark, SF_SMALL)})
     assert out.count() == users.count()
     assert out.select("userId").distinct().count() == out.count()
+
+
+def test_bucketed_store_runs_match_plain_store(spark):
+    cat, tables = _setup(spark)
+    n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    hist = spark.createDataFrame([("1", "34"), ("10", ""), ("555", "1")], STORE_SCHEMA)
+    results = []
+    for buckets in (None, n_parts):
+        store = TagStore(spark, tempfile.mkdtemp(prefix="tagweave-bk-", dir="/tmp"), buckets=buckets)
+        store.commit(hist, None)
+        run(M.TagModel("codes", 64, M.value_case("job", {"3": 262, "1": 260}), merge="left",
+                       order="new_first"), cat, store, tables)
+        run(M.TagModel("rules", 64, M.rule_match("job"), merge="inner", blank="empty"), cat, store, tables)
+        results.append(rows(store.read()))
+    assert results[0] == results[1]
+    assert dict(results[0]) == {"1": "262,34,67", "10": "69", "100": "262,67", "101": "260,65",
+                                "555": "1", "7": "0"}

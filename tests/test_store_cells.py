@@ -122,3 +122,22 @@ def test_lost_race_is_reported(spark):
     with pytest.raises(ConcurrentUpdateError):
         loser.commit(spark.createDataFrame([("1", "99")], "userId STRING, tagIds STRING"), 1)
     assert store.latest_version() == 2 and rows(store.read()) == [("1", "70")]
+
+
+def test_bucketed_store_join_shuffles_only_new_rows(spark):
+    base = tempfile.mkdtemp(prefix="tagweave-bucketed-", dir="/tmp")
+    n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    store = TagStore(spark, base, buckets=n_parts)
+    first = spark.range(0, 5000).select(F.format_string("u%05d", "id").alias("userId"), F.lit("65").alias("tagIds"))
+    store.commit(first, None)
+    new = spark.range(0, 8000, 2).select(F.format_string("u%05d", "id").alias("userId"), F.lit("70").alias("tagIds"))
+    snap = upsert_frame(store.read(), new, "userId")
+    plan = snap._jdf.queryExecution().executedPlan().toString()
+    assert "Bucketed: true" in plan
+    assert plan.count("Exchange hashpartitioning") == 1  # only the new rows move
+    assert store.upsert(new) == 2
+    got = dict(rows(store.read()))
+    assert len(got) == 6500 and got["u00002"] == "70" and got["u00001"] == "65" and got["u07998"] == "70"
+    # a reader without the table in its catalog registers the folder again
+    spark.sql(f"DROP TABLE {TagStore._table_name(store._path_of(2))}")
+    assert dict(rows(TagStore(spark, base).read())) == got
