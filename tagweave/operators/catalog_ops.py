@@ -100,6 +100,10 @@ def upsert_paths(catalog: DataFrame, paths: DataFrame, levels: list[str],
     new nodes gives the level-by-level ids, and one join on the parent path fills in
     new parents' ids.
 
+    The catalog must be a consistent tree: every ``pid`` names an existing tag (or is
+    ``-1``).  New ids are above the current maximum, so no existing tag can sit under a
+    new one.
+
     Returns ``(catalog_after, inserted)``.
     """
     cols = list(levels)

@@ -90,7 +90,18 @@ def upsert_paths_model(catalog, paths, depth):
 
 names = st.sampled_from(["a", "b", "c"])
 path = st.lists(st.one_of(names, st.none()), min_size=4, max_size=4)
-existing = st.lists(st.tuples(st.integers(1, 3), names, st.sampled_from([-1, 1, 2, 3, 4])), max_size=6)
+# a consistent tree: each node's parent is an earlier node (one level up) or the root
+existing = st.lists(st.tuples(names, st.integers(0, 10)), max_size=6)
+
+
+def _tree(rows_):
+    catalog = []
+    for name, pick in rows_:
+        parents = [(-1, 0)] + [(i, lvl) for i, _, lvl, _ in catalog]
+        pid, plevel = parents[pick % len(parents)]
+        if plevel < 4:
+            catalog.append((len(catalog) + 1, pid, plevel + 1, name))
+    return catalog
 
 
 @settings(max_examples=6, deadline=None)
@@ -99,7 +110,7 @@ def test_path_upsert_matches_model(spark, rows_, paths):
     import datetime as dt
     from tagweave.operators.catalog_ops import upsert_paths
     from tagweave.schemas import TAG_CATALOG
-    catalog = [(i + 1, pid, lvl, name) for i, (lvl, name, pid) in enumerate(rows_)]
+    catalog = _tree(rows_)
     cat = spark.createDataFrame([(i, p, lv, n, None, None, None) for i, p, lv, n in catalog], TAG_CATALOG)
     pdf = spark.createDataFrame(paths, "l1 STRING, l2 STRING, l3 STRING, l4 STRING")
     _, inserted = upsert_paths(cat, pdf, ["l1", "l2", "l3", "l4"], now=dt.datetime(2020, 1, 1))
