@@ -37,6 +37,7 @@ def main(argv: list[str] | None = None) -> int:
     r.add_argument("--catalog", required=True)
     r.add_argument("--store", required=True)
     r.add_argument("--table", action="append", default=[], metavar="NAME=PATH")
+    r.add_argument("--check-unique", action="store_true", help="fail if a user id repeats in the source")
     args = parser.parse_args(argv)
 
     spark = SparkSession.builder.appName(f"tagweave-{args.model}").getOrCreate()
@@ -46,7 +47,8 @@ def main(argv: list[str] | None = None) -> int:
     for item in args.table:
         name, _, path = item.partition("=")
         tables[name] = spark.read.parquet(path)
-    version = run(model, load_tag_catalog(spark, args.catalog), TagStore(spark, args.store), tables)
+    version = run(model, load_tag_catalog(spark, args.catalog), TagStore(spark, args.store), tables,
+                  check_unique=args.check_unique)
     print(version)
     return 0
 

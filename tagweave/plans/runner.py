@@ -48,9 +48,27 @@ def plan(model: TagModel, catalog: DataFrame, old: DataFrame,
     return snapshot_after(model, old, new_tags(model, catalog, tables))
 
 
+class DuplicateKeyError(ValueError):
+    """The source produced more than one row for a user id."""
+
+
+def check_unique_keys(df: DataFrame, key: str = USER_KEY) -> None:
+    """Raise if ``key`` repeats (one aggregate, combined map-side; stops at the first hit)."""
+    dup = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1).limit(1).collect()
+    if dup:
+        raise DuplicateKeyError(f"{key} {dup[0][key]!r} appears {dup[0]['_n']} times")
+
+
 def run(model: TagModel, catalog: DataFrame, store: TagStore,
-        tables: Mapping[str, DataFrame] | None = None) -> int:
-    """Compute, merge and publish a new store version; returns the version number."""
+        tables: Mapping[str, DataFrame] | None = None, check_unique: bool = False) -> int:
+    """Compute, merge and publish a new store version; returns the version number.
+
+    Keys must be unique in the computed tags (else the merge join multiplies rows);
+    ``check_unique=True`` verifies it first at the cost of one extra aggregation.
+    """
     base = store.latest_version()
     old = store.read(base, schema=STORE_SCHEMA)
-    return store.commit(plan(model, catalog, old, tables), base)
+    new = new_tags(model, catalog, tables)
+    if check_unique:
+        check_unique_keys(new)
+    return store.commit(snapshot_after(model, old, new), base)

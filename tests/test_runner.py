@@ -79,3 +79,17 @@ def test_bucketed_store_runs_match_plain_store(spark):
     assert results[0] == results[1]
     assert dict(results[0]) == {"1": "262,34,67", "10": "69", "100": "262,67", "101": "260,65",
                                 "555": "1", "7": "0"}
+
+
+def test_duplicate_user_ids_are_reported(spark):
+    import pytest
+    from tagweave.plans.runner import DuplicateKeyError
+    cat, _ = _setup(spark)
+    users = spark.createDataFrame([("1", "3"), ("1", "5"), ("2", "1")], "id STRING, job STRING")
+    store = TagStore(spark, tempfile.mkdtemp(prefix="tagweave-dup-", dir="/tmp"))
+    rule = "inType=table##hbaseTable=u##selectFields=id,job"
+    cat2 = cat.where("id <> 64").unionByName(cat.where("id = 64").selectExpr(
+        "id", "pid", "level", "name", f"'{rule}' AS rule", "ctime", "utime"))
+    with pytest.raises(DuplicateKeyError):
+        run(M.TagModel("j", 64, M.rule_match("job")), cat2, store, {"u": users}, check_unique=True)
+    assert store.latest_version() is None
