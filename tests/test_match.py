@@ -65,3 +65,16 @@ def test_overlapping_range_rules_rejected(spark):
     ranges = spark.createDataFrame([(1, 10, 1), (5, 20, 2)], "lo LONG, hi LONG, id INT")
     with pytest.raises(ValueError):
         match_ranges(src, F.col("v").cast("bigint"), ranges)
+
+
+def test_broadcast_guard_bounds_rows_and_bytes(spark):
+    from tagweave.operators.joins import bounded_broadcast
+    small = spark.createDataFrame([(1, "x" * 10)] * 5, "id INT, rule STRING")
+
+    def hinted(df):
+        return "broadcast" in df._jdf.queryExecution().analyzed().toString().lower()
+
+    assert hinted(bounded_broadcast(small, max_rows=5))
+    assert not hinted(bounded_broadcast(small, max_rows=4))
+    assert not hinted(bounded_broadcast(small, max_rows=5, max_bytes=50))  # 5 * (8 + 10) = 90 bytes
+    assert hinted(bounded_broadcast(small, max_rows=5, max_bytes=90))
