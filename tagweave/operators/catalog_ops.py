@@ -185,12 +185,13 @@ def apply_state_changes(models: DataFrame, changes: DataFrame,
                         order: Column | None = None) -> DataFrame:
     """Models after a log of state changes ``(tag_id, state, changed_at)``.
 
-    The latest change per tag wins (``order`` default: ``changed_at``); ``max_by`` is
-    combined map-side, so a tag with a flood of changes does not load one task.
+    The latest change per tag wins (``order`` default: ``changed_at``, then the higher
+    state on a tie, so the pick is repeatable); ``max_by`` is combined map-side, so a
+    tag with a flood of changes does not load one task.
     Changes for a tag without a model are ignored.  Starting or stopping the
     scheduled job is not part of this function.
     """
-    key = order if order is not None else F.col("changed_at")
+    key = order if order is not None else F.struct(F.col("changed_at"), F.col("state"))
     latest = (changes.groupBy(F.col("tag_id").alias("_tid"))
               .agg(F.max_by(F.col("state"), key).alias("_state")))
     j = models.join(latest, models["tag_id"] == latest["_tid"], "left")

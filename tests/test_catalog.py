@@ -110,3 +110,11 @@ def test_duplicate_tag_id_is_an_error(spark):
     with pytest.raises(LookupError):
         source_spec_of(cat, 64)
     assert source_spec_of(_catalog(spark, BASE), 64)["selectFields"] == "id,job"
+
+
+def test_state_change_ties_are_repeatable(spark):
+    models = spark.createDataFrame([(1, 67, "m", "M", "/p", None, None, None, 1, "")], MODEL_CATALOG)
+    t = dt.datetime(2020, 1, 1)
+    for order in ([(67, 2, t), (67, 4, t), (67, 3, t)], [(67, 4, t), (67, 3, t), (67, 2, t)]):
+        changes = spark.createDataFrame(order, "tag_id LONG, state INT, changed_at TIMESTAMP").repartition(3)
+        assert C.apply_state_changes(models, changes).first()["state"] == 4
