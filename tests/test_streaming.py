@@ -11,7 +11,11 @@ from tagweave.streaming import scheduled
 RULE = "inType=cells##hbaseTable=users##family=detail##selectFields=id,job##rowKey=id"
 
 
-def test_stream_batches_equal_full_run(spark):
+import pytest
+
+
+@pytest.mark.parametrize("bucketed", [False, True])
+def test_stream_batches_equal_full_run(spark, bucketed):
     root = tempfile.mkdtemp(prefix="tagweave-stream-", dir="/tmp")
     cells_path = f"{root}/cells"
     cat = spark.createDataFrame([(64, 3, 4, "job", RULE, None, None)] + [
@@ -22,7 +26,8 @@ def test_stream_batches_equal_full_run(spark):
     second = spark.createDataFrame([("1", "detail", "job", "1", t2), ("3", "detail", "gender", "2", t2),
                                     ("4", "detail", "job", "2", t2)], CELLS)
     model = M.TagModel("job", 64, M.rule_match("job"), merge="left", order="old_first")
-    store = TagStore(spark, f"{root}/store")
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions")) if bucketed else None
+    store = TagStore(spark, f"{root}/store", buckets=buckets)
     store.commit(spark.createDataFrame([("2", "99"), ("9", "98")], STORE_SCHEMA), None)
     hist = store.read()
 
