@@ -25,6 +25,9 @@ NOTES = {
     "tagging_job": "End to end: cells pivot -> broadcast rule match -> left outer join with the stored "
                     "tags (inner-merge model). AQE turns the join into a broadcast when the new side is "
                     "small at run time.",
+    "path_upsert": "All levels resolved in one lazy plan; new nodes were numbered once from a reliable "
+                   "checkpoint (the scan of the checkpointed rows below), joined with the bounded "
+                   "per-partition offsets (broadcast) and once more with themselves to link new parents.",
     "model_state": "Latest change per tag with a map-side combined max_by, then a join with the model table; "
                    "model ids come from the parallel id assignment (checkpointed scan).",
 }
