@@ -12,9 +12,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark import StorageLevel
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tagweave.frames import literal_frame
 from tagweave.operators.joins import DEFAULT_BROADCAST_ROWS, bounded_broadcast
 from tagweave.schemas import TAG_COL, USER_KEY
 
@@ -84,28 +86,75 @@ def match_ranges(source: DataFrame, value: Column, ranges: Sequence[tuple[int, i
 
     A list of ``(lo, hi, tag)`` becomes a CASE chain (first range wins).  A DataFrame
     ``(lo, hi, id)`` of non-overlapping ranges becomes a broadcast range join, which
-    keeps one row per source row; overlapping ranges, or more rules than
-    ``max_broadcast_rows``, raise ``ValueError``.
+    keeps one row per source row; above ``max_broadcast_rows`` rules it becomes an
+    exact sort-based lookup (:func:`_floor_lookup`) with no broadcast.  Overlapping
+    ranges raise ``ValueError``.
     """
     if not isinstance(ranges, DataFrame):
         return source.select(_col(key_col).alias(out_key), range_column(value, ranges).alias(out_tag))
     r = ranges.select(F.col("lo").cast("bigint").alias("_lo"), F.col("hi").cast("bigint").alias("_hi"),
                       F.col("id").cast("int").alias("_tag"))
+    src = source.select(_col(key_col).alias("_key"), value.alias("_v"))
     if r.limit(max_broadcast_rows + 1).count() > max_broadcast_rows:
-        # a non-equi join needs the rule side broadcast; a shuffled form would be a
-        # nested loop over both sides
-        raise ValueError(f"more than {max_broadcast_rows} range rules; a range join needs them broadcast")
+        lookup = _floor_lookup(src.select("_v").where(F.col("_v").isNotNull()).distinct(), r)
+        joined = src.join(lookup, "_v", "left")
+        return joined.select(F.col("_key").alias(out_key), F.col("_tag").alias(out_tag))
     small = F.broadcast(r)
     _check_disjoint(r)
-    src = source.select(_col(key_col).alias("_key"), value.alias("_v"))
     joined = src.join(small, (src["_v"] >= small["_lo"]) & (src["_v"] <= small["_hi"]), "left")
     return joined.select(F.col("_key").alias(out_key), F.col("_tag").alias(out_tag))
 
 
+def _floor_lookup(values: DataFrame, ranges: DataFrame) -> DataFrame:
+    """``(_v, _tag)`` for distinct values against many non-overlapping ranges, exactly.
+
+    Values and range starts are sorted together in one range-partitioned global
+    order (a start sorts before an equal value) and checkpointed.  Inside each
+    partition a window carries the latest start forward; each partition is seeded
+    with the last start of the partitions before it (one row per partition reaches
+    the driver).  A value takes that range's tag when it is not past the range's end.
+    Values are distinct, so no value can load one partition; overlapping ranges are
+    detected in the same pass and raise ``ValueError``.
+    """
+    rng = F.struct(F.col("_lo").alias("lo"), F.col("_hi").alias("hi"), F.col("_tag").alias("tag"))
+    items = (values.select(F.col("_v").alias("_pos"), F.lit(1).alias("_kind"),
+                           F.lit(None).cast("struct<lo:bigint,hi:bigint,tag:int>").alias("_r"))
+             .unionByName(ranges.select(F.col("_lo").alias("_pos"), F.lit(0).alias("_kind"), rng.alias("_r"))))
+    ranged = (items.repartitionByRange("_pos", "_kind").sortWithinPartitions("_pos", "_kind")
+              .withColumn("_mid", F.monotonically_increasing_id())).persist(StorageLevel.MEMORY_AND_DISK)
+    frozen = ranged.checkpoint(eager=True)
+    ranged.unpersist()
+    frozen = frozen.withColumn("_part", F.shiftright("_mid", 33))
+    is_start = F.col("_kind") == 0
+    lasts = (frozen.groupBy("_part")  # one row per partition: bounded by the partition count
+             .agg(F.max_by(F.when(is_start, F.col("_r")), F.when(is_start, F.col("_mid"))).alias("_last"))
+             .collect())
+    carry_rows, carried = [], None
+    for row in sorted(lasts, key=lambda r: r["_part"]):
+        if carried is not None:
+            carry_rows.append((row["_part"], carried["lo"], carried["hi"], carried["tag"]))
+        if row["_last"] is not None:
+            carried = row["_last"]
+    carry = literal_frame(values.sparkSession, carry_rows, "_part LONG, _clo LONG, _chi LONG, _ctag INT")
+    w = Window.partitionBy("_part").orderBy("_mid")
+    seen = frozen.join(F.broadcast(carry), "_part", "left").select(
+        "_pos", "_kind", "_r",
+        F.coalesce(F.last("_r", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1)),
+                   F.struct(F.col("_clo").alias("lo"), F.col("_chi").alias("hi"), F.col("_ctag").alias("tag")))
+        .alias("_prev"),
+        F.coalesce(F.last("_r", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)),
+                   F.struct(F.col("_clo").alias("lo"), F.col("_chi").alias("hi"), F.col("_ctag").alias("tag")))
+        .alias("_cur"))
+    if seen.where((F.col("_kind") == 0) & (F.col("_prev.hi") >= F.col("_r.lo"))).limit(1).count():
+        raise ValueError("range rules overlap; use a list of ranges for first-match order")
+    hit = F.col("_cur.hi").isNotNull() & (F.col("_pos") <= F.col("_cur.hi"))
+    return seen.where(F.col("_kind") == 1).select(
+        F.col("_pos").alias("_v"), F.when(hit, F.col("_cur.tag")).alias("_tag"))
+
+
 def _check_disjoint(r: DataFrame) -> None:
     """Raise if two ranges overlap (a sort + running max over the rule rows, which are
     proven to be at most ``max_broadcast_rows``)."""
-    from pyspark.sql import Window
     w = Window.orderBy("_lo", "_hi")
     bad = (r.withColumn("_prev_hi", F.max("_hi").over(w.rowsBetween(Window.unboundedPreceding, -1)))
            .where(F.col("_prev_hi") >= F.col("_lo")).limit(1).count())

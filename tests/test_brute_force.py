@@ -116,3 +116,26 @@ def test_path_upsert_matches_model(spark, rows_, paths):
     _, inserted = upsert_paths(cat, pdf, ["l1", "l2", "l3", "l4"], now=dt.datetime(2020, 1, 1))
     got = sorted((r["id"], r["pid"], r["level"], r["name"]) for r in inserted.collect())
     assert got == upsert_paths_model(catalog, paths, 4)
+
+
+def _ranges_from(cuts):
+    """Non-overlapping inclusive ranges from sorted distinct cut points (some gaps)."""
+    pts = sorted(set(cuts))
+    return [(pts[i], pts[i + 1] - 1 - (i % 3 == 2), 300 + i) for i in range(len(pts) - 1)
+            if pts[i] <= pts[i + 1] - 1 - (i % 3 == 2)]
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.lists(st.integers(0, 200), min_size=2, max_size=30),
+       st.lists(st.one_of(st.none(), st.integers(-5, 210)), min_size=1, max_size=60))
+def test_large_range_path_matches_case_path(spark, cuts, values):
+    from pyspark.sql import functions as F
+    from tagweave.operators.match import match_ranges
+    ranges = _ranges_from(cuts)
+    if not ranges:
+        return
+    src = spark.createDataFrame([(str(i), v) for i, v in enumerate(values)], "id STRING, v BIGINT")
+    rules = spark.createDataFrame(ranges, "lo LONG, hi LONG, id INT")
+    big = match_ranges(src, F.col("v"), rules, max_broadcast_rows=1)   # forces the sort-based path
+    case = match_ranges(src, F.col("v"), ranges)
+    assert sorted(big.collect()) == sorted(case.collect())

@@ -78,3 +78,24 @@ def test_broadcast_guard_bounds_rows_and_bytes(spark):
     assert not hinted(bounded_broadcast(small, max_rows=4))
     assert not hinted(bounded_broadcast(small, max_rows=5, max_bytes=50))  # 5 * (8 + 10) = 90 bytes
     assert hinted(bounded_broadcast(small, max_rows=5, max_bytes=90))
+
+
+def test_large_range_path_across_partitions(spark):
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")  # keep many range partitions so the carry between them is used
+    try:
+        ranges = [(lo, lo + 6, 1000 + lo) for lo in range(0, 3000, 10)]  # gaps of 3 after each range
+        src = spark.range(0, 3000).select(F.col("id").cast("string").alias("id"),
+                                          (F.col("id") * 7 % 3003).alias("v"))
+        rules = spark.createDataFrame(ranges, "lo LONG, hi LONG, id INT")
+        big = match_ranges(src, F.col("v"), rules, max_broadcast_rows=10)
+        want = {str(i): (1000 + (v // 10) * 10 if v % 10 <= 6 and v < 3000 else None)
+                for i, v in ((i, i * 7 % 3003) for i in range(3000))}
+        assert dict(rows(big)) == want
+        import pytest
+        overlapping = spark.createDataFrame(ranges + [(5, 12, 9)], "lo LONG, hi LONG, id INT")
+        with pytest.raises(ValueError):
+            match_ranges(src, F.col("v"), overlapping, max_broadcast_rows=10)
+    finally:
+        spark.conf.set(key, before)
