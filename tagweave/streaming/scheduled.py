@@ -36,6 +36,9 @@ def start(model: TagModel, catalog: DataFrame, cells_path: str, store: TagStore,
     (``availableNow``); e.g. ``"5 minutes"`` keeps running on that interval."""
     spark = catalog.sparkSession
     spec = source_spec_of(catalog, model.tag_id, model.spec_default)
+    if (spec.get("inType") or "").lower() not in ("hbase", "cells"):
+        raise ValueError(f"tag {model.tag_id}: the scheduled job needs a cells source, "
+                         f"not inType={spec.get('inType')!r}")
     family = spec.get("family") or ""
     fields = [f for f in parse_fields(spec.get("selectFields") or "") if f != (spec.get("rowKey") or None)]
     table = spec.get("hbaseTable") or ""

@@ -46,3 +46,11 @@ def test_stream_batches_equal_full_run(spark, bucketed):
     # user 3 has no job cell: the stream never touches it, a full run tags it 0
     assert got == {k: v for k, v in want.items() if k != "3"}
     assert got["1"] == "67,65" and got["2"] == "99,69" and got["4"] == "66" and got["9"] == "98"
+
+
+def test_stream_needs_a_cells_source(spark):
+    cat = spark.createDataFrame([(64, 3, 4, "job", "inType=parquet##hbaseTable=/x##selectFields=id,job", None, None)],
+                                TAG_CATALOG)
+    with pytest.raises(ValueError):
+        scheduled.start(M.TagModel("job", 64, M.rule_match("job")), cat, "/tmp/none", TagStore(spark, "/tmp/none"),
+                        checkpoint_location="/tmp/none-ckpt")
