@@ -1,3 +1,4 @@
+import datetime as dt
 import tempfile
 
 from conftest import SF_SMALL, rows
@@ -93,3 +94,40 @@ def test_duplicate_user_ids_are_reported(spark):
     with pytest.raises(DuplicateKeyError):
         run(M.TagModel("j", 64, M.rule_match("job")), cat2, store, {"u": users}, check_unique=True)
     assert store.latest_version() is None
+
+
+def test_bucketed_cells_and_store_run_without_big_shuffles(spark):
+    """Cells bucketed by row key + store bucketed by user id: no large shuffle at all."""
+    import uuid
+    from pyspark.sql import functions as F
+    from tagweave.sources.cells import to_cells
+    confs = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k, None) for k in confs}
+    for k, v in confs.items():
+        spark.conf.set(k, v)
+    try:
+        n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        root = tempfile.mkdtemp(prefix="tagweave-cobucket-", dir="/tmp")
+        users = spark.range(0, 2000).select(F.col("id").cast("string").alias("id"),
+                                            (F.col("id") % 7).cast("string").alias("job"))
+        name = "cells_" + uuid.uuid4().hex
+        to_cells(users, "id", "detail", ts=F.lit(dt.datetime(2020, 1, 1))).write.bucketBy(n, "rowkey") \
+            .option("path", f"{root}/cells").saveAsTable(name)
+        cat, _ = _setup(spark)
+        store = TagStore(spark, f"{root}/store", buckets=n)
+        store.commit(spark.createDataFrame([(str(i), "1") for i in range(0, 3000, 3)], STORE_SCHEMA), None)
+        model = M.TagModel("j", 64, M.rule_match("job"), merge="left")
+        snap = plan(model, cat, store.read(schema=STORE_SCHEMA), {"users": spark.table(name)})
+        snap.write.format("noop").mode("overwrite").save()
+        p = snap._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in p and p.count("Bucketed: true") == 2
+        assert p.count("Exchange hashpartitioning") == 1  # only the tiny level-5 rule dedupe
+        got = dict(rows(snap))
+        assert len(got) == 2000 + len([i for i in range(2000, 3000) if i % 3 == 0])
+        assert got["3"] == "1,67" and got["1"] == "65" and got["7"] == "0" and got["2997"] == "1"
+    finally:
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
