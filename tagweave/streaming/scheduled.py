@@ -31,9 +31,12 @@ from tagweave.sources.store import TagStore
 
 def start(model: TagModel, catalog: DataFrame, cells_path: str, store: TagStore, *,
           checkpoint_location: str, processing_time: str | None = None,
-          max_files_per_trigger: int | None = None) -> StreamingQuery:
+          max_files_per_trigger: int | None = None, cells_table: str | None = None) -> StreamingQuery:
     """Start the scheduled job.  ``processing_time=None`` runs once over what is there
-    (``availableNow``); e.g. ``"5 minutes"`` keeps running on that interval."""
+    (``availableNow``); e.g. ``"5 minutes"`` keeps running on that interval.
+
+    ``cells_table`` names a table over the same folder (e.g. bucketed by ``rowkey``) to
+    read all cells of the touched keys from, so the semi join can use its layout."""
     spark = catalog.sparkSession
     spec = source_spec_of(catalog, model.tag_id, model.spec_default)
     if (spec.get("inType") or "").lower() not in ("hbase", "cells"):
@@ -46,7 +49,8 @@ def start(model: TagModel, catalog: DataFrame, cells_path: str, store: TagStore,
     def apply(batch: DataFrame, batch_id: int) -> None:
         touched = (batch.where((F.col("family") == family) & F.col("qualifier").isin(fields))
                    .select("rowkey").distinct())
-        cells = spark.read.schema(CELLS).parquet(cells_path).join(touched, "rowkey", "left_semi")
+        every_cell = spark.table(cells_table) if cells_table else spark.read.schema(CELLS).parquet(cells_path)
+        cells = every_cell.join(touched, "rowkey", "left_semi")
         base = store.latest_version()
         old = store.read(base, schema=STORE_SCHEMA)
         store.commit(plan(model, catalog, old, {table: cells}), base)

@@ -31,11 +31,24 @@ def test_stream_batches_equal_full_run(spark, bucketed):
     store.commit(spark.createDataFrame([("2", "99"), ("9", "98")], STORE_SCHEMA), None)
     hist = store.read()
 
-    first.write.mode("append").parquet(cells_path)
-    q = scheduled.start(model, cat, cells_path, store, checkpoint_location=f"{root}/ckpt")
+    table = None
+    if bucketed:
+        import uuid
+        table = "stream_cells_" + uuid.uuid4().hex
+        spark.sql(f"CREATE TABLE {table} (rowkey STRING, family STRING, qualifier STRING, value STRING, "
+                  f"ts TIMESTAMP) USING parquet CLUSTERED BY (rowkey) INTO {buckets} BUCKETS "
+                  f"LOCATION '{cells_path}'")
+    def append(df):  # a bucketed cell table must be written bucketed, through the table
+        if table:
+            df.write.insertInto(table)
+        else:
+            df.write.mode("append").parquet(cells_path)
+
+    append(first)
+    q = scheduled.start(model, cat, cells_path, store, checkpoint_location=f"{root}/ckpt", cells_table=table)
     q.awaitTermination(120)
-    second.write.mode("append").parquet(cells_path)
-    q = scheduled.start(model, cat, cells_path, store, checkpoint_location=f"{root}/ckpt")
+    append(second)
+    q = scheduled.start(model, cat, cells_path, store, checkpoint_location=f"{root}/ckpt", cells_table=table)
     q.awaitTermination(120)
 
     # the same two scheduled runs done as full re-runs over the cells present each time
