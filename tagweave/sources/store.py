@@ -1,7 +1,8 @@
 """The tag store: a keyed table kept as versioned Parquet snapshots.
 
 An upsert is one full outer join of the latest snapshot with the new rows on the key
-(one shuffle per side), written as a **new** snapshot folder.  Nothing is overwritten
+(one shuffle per side; with ``buckets`` the stored side is read in place, already
+hash-bucketed by key), written as a **new** snapshot folder.  Nothing is overwritten
 in place, so a job may read the snapshot it is replacing, a failed job leaves the
 published version untouched, and a lost executor only recomputes from files.
 
@@ -113,7 +114,7 @@ class StoreSpec:
 
 
 class TagStore:
-    """Versioned snapshots of a keyed table under ``path``."""
+    """Versioned snapshots of a keyed table under ``path`` (optionally key-bucketed)."""
 
     def __init__(self, spark: SparkSession, path: str, key: str = USER_KEY,
                  fields: Sequence[str] | None = None, buckets: int | None = None):
