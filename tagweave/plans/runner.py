@@ -18,7 +18,7 @@ from tagweave.operators.merge import merged_tag
 from tagweave.plans.models import TagModel
 from tagweave.schemas import TAG_COL, USER_KEY
 from tagweave.sources.reader import load_source
-from tagweave.sources.store import TagStore, upsert_frame
+from tagweave.sources.store import ConcurrentUpdateError, TagStore, upsert_frame
 
 STORE_SCHEMA = f"{USER_KEY} STRING, {TAG_COL} STRING"
 
@@ -60,15 +60,25 @@ def check_unique_keys(df: DataFrame, key: str = USER_KEY) -> None:
 
 
 def run(model: TagModel, catalog: DataFrame, store: TagStore,
-        tables: Mapping[str, DataFrame] | None = None, check_unique: bool = False) -> int:
+        tables: Mapping[str, DataFrame] | None = None, check_unique: bool = False,
+        retries: int = 2) -> int:
     """Compute, merge and publish a new store version; returns the version number.
 
     Keys must be unique in the computed tags (else the merge join multiplies rows);
     ``check_unique=True`` verifies it first at the cost of one extra aggregation.
+    When another job publishes first (``ConcurrentUpdateError``), the merge is redone
+    on top of the version it published, up to ``retries`` times, so neither job's
+    tags are lost.
     """
-    base = store.latest_version()
-    old = store.read(base, schema=STORE_SCHEMA)
     new = new_tags(model, catalog, tables)
     if check_unique:
         check_unique_keys(new)
-    return store.commit(snapshot_after(model, old, new), base)
+    for attempt in range(retries + 1):
+        base = store.latest_version()
+        old = store.read(base, schema=STORE_SCHEMA)
+        try:
+            return store.commit(snapshot_after(model, old, new), base)
+        except ConcurrentUpdateError:
+            if attempt == retries:
+                raise
+    raise AssertionError("unreachable")

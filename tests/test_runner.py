@@ -131,3 +131,34 @@ def test_bucketed_cells_and_store_run_without_big_shuffles(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_run_redoes_the_merge_after_a_concurrent_publish(spark):
+    from tagweave.sources.store import ConcurrentUpdateError
+    cat, tables = _setup(spark)
+    root = tempfile.mkdtemp(prefix="tagweave-retry-run-", dir="/tmp")
+
+    class Racing(TagStore):
+        """Another job publishes right before this job's first commit."""
+        raced = False
+
+        def commit(self, snapshot, base_version, sort_by_key=True):
+            if not self.raced:
+                self.raced = True
+                TagStore(self.spark, self.path).commit(
+                    self.spark.createDataFrame([("1", "999"), ("10", "34")], STORE_SCHEMA), base_version)
+            return super().commit(snapshot, base_version, sort_by_key)
+
+    store = Racing(spark, root)
+    store.raced = True  # seed without a race
+    store.commit(spark.createDataFrame([("1", "34")], STORE_SCHEMA), None)
+    store.raced = False
+    assert run(M.job_tag(), cat, store, tables) == 3  # version 2 was the other job's
+    assert dict(rows(store.read())) == {"1": "999,67", "10": "34,69"}
+    no_retry = Racing(spark, tempfile.mkdtemp(prefix="tagweave-retry-none-", dir="/tmp"))
+    no_retry.raced = True
+    no_retry.commit(spark.createDataFrame([("1", "34")], STORE_SCHEMA), None)
+    no_retry.raced = False
+    import pytest
+    with pytest.raises(ConcurrentUpdateError):
+        run(M.job_tag(), cat, no_retry, tables, retries=0)
