@@ -26,7 +26,7 @@ from tagweave.plans.models import TagModel
 from tagweave.plans.runner import STORE_SCHEMA, plan
 from tagweave.schemas import CELLS
 from tagweave.sources.cells import parse_fields
-from tagweave.sources.store import TagStore
+from tagweave.sources.store import ConcurrentUpdateError, TagStore
 
 
 def start(model: TagModel, catalog: DataFrame, cells_path: str, store: TagStore, *,
@@ -51,9 +51,15 @@ def start(model: TagModel, catalog: DataFrame, cells_path: str, store: TagStore,
                    .select("rowkey").distinct())
         every_cell = spark.table(cells_table) if cells_table else spark.read.schema(CELLS).parquet(cells_path)
         cells = every_cell.join(touched, "rowkey", "left_semi")
-        base = store.latest_version()
-        old = store.read(base, schema=STORE_SCHEMA)
-        store.commit(plan(model, catalog, old, {table: cells}), base)
+        for attempt in range(3):  # redo the merge on top of a concurrently published version
+            base = store.latest_version()
+            old = store.read(base, schema=STORE_SCHEMA)
+            try:
+                store.commit(plan(model, catalog, old, {table: cells}), base)
+                return
+            except ConcurrentUpdateError:
+                if attempt == 2:
+                    raise
 
     reader = spark.readStream.schema(CELLS)
     if max_files_per_trigger:
