@@ -6,3 +6,10 @@ def test_contract(spark):
     df = E.entry(spark)
     assert df.columns == ["userId", "tagIds"]
     assert df.count() > 0
+
+
+def test_every_query_has_an_oracle_and_an_allowed_name():
+    import re
+    q, o = E.queries(), E.oracle_sql()
+    assert set(q) == set(o)
+    assert not [k for k in q if "pipeline" in k or re.match(r"op\d+_", k)]
