@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tagweave.session import ensure_checkpoint_dir
 
 WORD = r"[^\x20\x09-\x0D]+"
-PIECE_BYTES = 4 << 20  # texts handled at once inside a task (one longer text stands alone)
+PIECEBYTE_VALUES = 4 << 20  # texts handled at once inside a task (one longer text stands alone)
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
@@ -36,7 +36,7 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x
 
 
-_BYTE = mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+BYTE_VALUE = mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 _BASE = np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -84,7 +84,7 @@ class Words:
         owner[self.starts] = self.starts
         pos = np.arange(len(self.buf)) - np.maximum.accumulate(owner)
         pos[~self.word_bytes] = 0
-        value = _BYTE[self.buf] * powers(int(size.max()))[pos]
+        value = BYTE_VALUE[self.buf] * powers(int(size.max()))[pos]
         value[~self.word_bytes] = 0
         return mix64(np.add.reduceat(value, self.starts) ^ (size.astype(np.uint64) << np.uint64(40)))
 
@@ -92,7 +92,7 @@ class Words:
         return self.buf[self.starts[i]:self.ends[i]].tobytes()
 
 
-def pieces(batch: pa.RecordBatch, text_col: str, limit: int = PIECE_BYTES) -> Iterator[pa.RecordBatch]:
+def pieces(batch: pa.RecordBatch, text_col: str, limit: int = PIECEBYTE_VALUES) -> Iterator[pa.RecordBatch]:
     """Slices of ``batch`` whose texts hold about ``limit`` bytes (or one longer text)."""
     if not batch.num_rows:
         return

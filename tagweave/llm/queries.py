@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tagweave.llm import token_output
+from tagweave.llm import mixing, quality_rules, sharding, token_output
 from tagweave.llm.common import scratch
 
 QUERIES: dict = {}
@@ -21,6 +21,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+@query
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All ``documents`` mixed by weights 5, 2, 1 (see mixing)."""
+    return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", *mixing.ADDED)
+
+
+@query
+def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All ``documents`` dealt to 16 shards of equal row counts (see sharding)."""
+    return sharding.shard(table(spark, sf_dir, "documents")).select("doc_id", *sharding.ADDED)
+
+
+@query
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All ``documents`` against the references of their languages (see quality_rules)."""
+    docs = table(spark, sf_dir, "documents")
+    return quality_rules.judge(docs, quality_rules.references(docs)).drop("class_distance", "word_distance")
+
+
 @query
 def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All ``documents`` written as token files and read back (see token_output)."""
