@@ -26,7 +26,7 @@ from tagweave.llm.common import WORD, stored
 
 WEIGHTS = (5, 2, 1)
 MAX_REPEAT = 3
-WINDOW = 4096  # budget left for the dynamic program
+WINDOW = 1 << 16  # budget left for the dynamic program
 BUCKET_BITS = 8
 
 ADDED = ["size", "source_size", "target", "copies", "taken"]

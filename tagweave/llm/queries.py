@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tagweave.llm import mixing, quality_rules, sharding, token_output
+from tagweave.llm import mixing, quality_rules, sharding, token_output, url_filter
 from tagweave.llm.common import scratch
 
 QUERIES: dict = {}
@@ -40,6 +40,14 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(docs, quality_rules.references(docs)).drop("class_distance", "word_distance")
 
 
+@query
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every ``pages`` url by the rules, else by the model (see url_filter)."""
+    weights = url_filter.train(url_filter.labelled_urls(spark))
+    return url_filter.judge(table(spark, sf_dir, "pages"), weights) \
+        .select("page_id", "host", "path", "rule", "verdict")
+
+
 @query
 def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All ``documents`` written as token files and read back (see token_output)."""
