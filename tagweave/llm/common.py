@@ -80,9 +80,10 @@ class Words:
             return np.zeros(0, np.uint64)
         size = self.ends - self.starts
         # position of each byte in its word
-        owner = np.zeros(len(self.buf), np.int64)
+        kind = np.int32 if len(self.buf) < 1 << 31 else np.int64
+        owner = np.zeros(len(self.buf), kind)
         owner[self.starts] = self.starts
-        pos = np.arange(len(self.buf)) - np.maximum.accumulate(owner)
+        pos = np.arange(len(self.buf), dtype=kind) - np.maximum.accumulate(owner)
         pos[~self.word_bytes] = 0
         value = BYTE_VALUE[self.buf] * powers(int(size.max()))[pos]
         value[~self.word_bytes] = 0

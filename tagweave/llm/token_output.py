@@ -27,6 +27,7 @@ import os
 import struct
 import zlib
 from collections.abc import Iterator
+from functools import partial
 from itertools import accumulate
 
 import numpy as np
@@ -42,6 +43,8 @@ MAGIC = b"TWP1"
 BLOCK = 4096
 WIDTH_PERCENTILE = 90
 SEGMENT_IDS = 1 << 19
+MAX_CACHED = 1_500_000
+_ENCODERS: dict = {}
 _HEAD = struct.Struct("<4sIQ")
 _BLOCK = struct.Struct("<IIHH")
 
@@ -104,29 +107,70 @@ def _load(tokenizer: str):
     return Tokenizer.from_file(tokenizer)
 
 
-def encode(tokenizer, texts: pa.Array, by_word: bool) -> tuple[np.ndarray, np.ndarray]:
-    """(all ids, ids per text).  ``by_word`` encodes each distinct word of the slice once.
+class WordCoder:
+    """Ids of words, each distinct word encoded once by the tokenizer and then remembered.
 
-    That equals encoding whole texts when the tokenizer drops white space before its model
-    runs, as ``drops_space`` checks.
+    Holds at most ``MAX_CACHED`` words (a memory bound; it starts anew beyond).
     """
-    if not by_word:
-        found = [e.ids for e in tokenizer.encode_batch_fast(
-            texts.fill_null("").to_pylist(), add_special_tokens=False)]
-        return (np.concatenate([np.array(x, np.uint32) for x in found]) if found else np.zeros(0, np.uint32),
-                np.array([len(x) for x in found], np.int64))
-    words = Words(texts)
-    _, first, which = np.unique(words.hashes(), return_index=True, return_inverse=True)
-    coded = [e.ids for e in tokenizer.encode_batch_fast(
-        [words.word(i).decode("utf-8") for i in first], add_special_tokens=False)]
-    size = np.array([len(x) for x in coded], np.int64)
-    flat = np.fromiter((i for x in coded for i in x), np.uint32, int(size.sum()))
-    begin = np.cumsum(size) - size
-    per_word = size[which] if len(which) else np.zeros(0, np.int64)
-    ends = np.concatenate([[0], np.cumsum(per_word)])
-    total = int(ends[-1])
-    at = np.arange(total) + np.repeat(begin[which] - ends[:-1], per_word) if total else np.zeros(0, np.int64)
-    return flat[at], np.diff(ends[words.offsets])
+
+    def __init__(self, tokenizer):
+        self.tokenizer = tokenizer
+        self.clear()
+
+    def clear(self) -> None:
+        self.keys = np.zeros(0, np.uint64)
+        self.begin = self.size = np.zeros(0, np.int64)
+        self.flat = np.zeros(0, np.uint32)
+
+    def _find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        at = np.searchsorted(self.keys, keys)
+        known = at < len(self.keys)
+        known[known] = self.keys[at[known]] == keys[known]
+        return at, known
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(all ids, ids per text)."""
+        words = Words(texts)
+        keys, first, which = np.unique(words.hashes(), return_index=True, return_inverse=True)
+        if len(self.keys) + len(keys) > MAX_CACHED:
+            self.clear()
+        at, known = self._find(keys)
+        if not known.all():
+            coded = [e.ids for e in self.tokenizer.encode_batch_fast(
+                [words.word(i).decode("utf-8") for i in first[~known]], add_special_tokens=False)]
+            size = np.array([len(x) for x in coded], np.int64)
+            ids = np.fromiter((i for x in coded for i in x), np.uint32, int(size.sum()))
+            begin = np.cumsum(size) - size + len(self.flat)
+            place = at[~known]
+            self.keys = np.insert(self.keys, place, keys[~known])
+            self.begin, self.size = np.insert(self.begin, place, begin), np.insert(self.size, place, size)
+            self.flat = np.concatenate([self.flat, ids])
+            at, _ = self._find(keys)
+        if not len(which):
+            return np.zeros(0, np.uint32), np.zeros(len(texts), np.int64)
+        entry = at[which]
+        per_word = self.size[entry]
+        ends = np.concatenate([[0], np.cumsum(per_word)])
+        where = np.arange(int(ends[-1])) + np.repeat(self.begin[entry] - ends[:-1], per_word)
+        return self.flat[where], np.diff(ends[words.offsets])
+
+
+def _encode_texts(tokenizer, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    found = [e.ids for e in tokenizer.encode_batch_fast(texts.fill_null("").to_pylist(), add_special_tokens=False)]
+    ids = [np.array(x, np.uint32) for x in found]
+    return np.concatenate([np.zeros(0, np.uint32), *ids]), np.array([len(x) for x in found], np.int64)
+
+
+def encoder(tokenizer: str):
+    """A function from texts to (all ids, ids per text); kept per worker process, so words
+    stay known between its tasks.
+
+    Words are encoded alone where ``drops_space`` finds that this equals encoding whole texts.
+    """
+    if tokenizer not in _ENCODERS:
+        loaded = _load(tokenizer)
+        _ENCODERS[tokenizer] = WordCoder(loaded).encode if drops_space(tokenizer) else partial(_encode_texts, loaded)
+    return _ENCODERS[tokenizer]
 
 
 def drops_space(tokenizer_path: str) -> bool:
@@ -167,7 +211,6 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int,
     order; only one count per partition reaches the driver.
     """
     spark = docs.sparkSession
-    by_word = drops_space(tokenizer)
     id_type = docs.schema[id_col].dataType
     order = [F.col("id").asc_nulls_last(), F.xxhash64("text")]
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
@@ -180,7 +223,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int,
         StructField("payload", BinaryType())])
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = _load(tokenizer)
+        encode = encoder(tokenizer)
         part, seg, first = 0, 0, 0
         ids, sizes, keys = [], [], []
 
@@ -200,7 +243,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int,
         for batch in batches:
             for piece in pieces(batch, "text"):
                 part = column(piece, "part")[0].as_py()
-                got, size = _with_end(*encode(coder, column(piece, "text"), by_word), end_id)
+                got, size = _with_end(*encode(column(piece, "text")), end_id)
                 ids.append(got)
                 sizes.append(size)
                 keys.append(column(piece, "id"))
