@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tagweave.llm import mixing, quality_rules, sharding, token_output, url_filter
+from tagweave.llm import mixing, page_diff, quality_rules, sharding, token_output, url_filter
 from tagweave.llm.common import scratch
 
 QUERIES: dict = {}
@@ -40,6 +40,12 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(docs, quality_rules.references(docs)).drop("class_distance", "word_distance")
 
 
+@query
+def op7_page_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of all ``pages`` (see page_diff)."""
+    return page_diff.extract(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
 @query
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every ``pages`` url by the rules, else by the model (see url_filter)."""
