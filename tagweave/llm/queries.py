@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tagweave.llm import mixing, page_diff, quality_rules, sharding, token_output, url_filter
+from tagweave.llm import katz, mixing, page_diff, quality_rules, sharding, token_output, url_filter
 from tagweave.llm.common import scratch
 
 QUERIES: dict = {}
@@ -54,6 +54,12 @@ def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select("page_id", "host", "path", "rule", "verdict")
 
 
+@query
+def op9_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All ``documents`` scored by a Katz backoff model of their training fold (see katz)."""
+    return katz.score(table(spark, sf_dir, "documents"))
+
+
 @query
 def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All ``documents`` written as token files and read back (see token_output)."""
