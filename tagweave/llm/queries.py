@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tagweave.llm import katz, mixing, page_diff, quality_rules, sharding, token_output, url_filter
+from tagweave.llm import jaccard_join, katz, mixing, page_diff, quality_rules, sharding, token_output, url_filter
 from tagweave.llm.common import scratch
 
 QUERIES: dict = {}
@@ -33,6 +33,12 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents")).select("doc_id", *sharding.ADDED)
 
 
+@query
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All ``documents`` joined on five-word shingles at Jaccard 0.8 (see jaccard_join)."""
+    return jaccard_join.jaccard_join(table(spark, sf_dir, "documents"))
+
+
 @query
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All ``documents`` against the references of their languages (see quality_rules)."""
