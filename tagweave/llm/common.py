@@ -23,6 +23,8 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
+_PLAIN = _LOWER.copy()  # ASCII other than letters and digits becomes a space
+_PLAIN[[b for b in range(128) if not chr(b).isalnum()]] = 0x20
 
 
 def mix64(x: np.ndarray) -> np.ndarray:
@@ -50,15 +52,15 @@ def powers(n: int) -> np.ndarray:
 class Words:
     """The words of a slice of texts: spans in ``buf`` and ``offsets`` (words before text i)."""
 
-    def __init__(self, texts: pa.Array, lower: bool = False):
+    def __init__(self, texts: pa.Array, lower: bool = False, plain: bool = False):
         arr = texts.cast(pa.large_string()).fill_null("")
         off = np.frombuffer(arr.buffers()[1], np.int64)[arr.offset:arr.offset + len(arr) + 1]
         data = arr.buffers()[2]
         buf = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
         self.buf = buf[off[0]:off[-1]] if len(arr) else buf[:0]
         self.bounds = off - off[0]
-        if lower:
-            self.buf = _LOWER[self.buf]
+        if lower or plain:  # A-Z lower-cased; plain: words are runs of letters, digits and non-ASCII
+            self.buf = (_PLAIN if plain else _LOWER)[self.buf]
         n = len(self.buf)
         word = ~_SPACE[self.buf]
         edge = np.zeros(n + 1, bool)

@@ -96,8 +96,8 @@ _SETS = StructType([
 
 
 def _sketches(rows: DataFrame, n_runs: int) -> DataFrame:
-    """``rows(id, th, text)`` with the set's name, size, sketch and paths; null without shingles."""
-    schema = StructType([rows.schema["id"], rows.schema["th"], *_SETS])
+    """``rows(id, th, row, text)`` with the set's name, size, sketch and paths; null without shingles."""
+    schema = StructType([rows.schema["id"], rows.schema["th"], rows.schema["row"], *_SETS])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -113,7 +113,7 @@ def _sketches(rows: DataFrame, n_runs: int) -> DataFrame:
                 back = np.full(piece.num_rows, -1)
                 back[some] = np.arange(len(some))
                 yield pa.RecordBatch.from_arrays([
-                    column(piece, "id"), column(piece, "th"),
+                    column(piece, "id"), column(piece, "th"), column(piece, "row"),
                     pa.array([name[k].view(np.int64) if k >= 0 else None for k in back], pa.int64()),
                     pa.array(size, pa.int32()),
                     pa.array([small[k].tobytes() if k >= 0 else None for k in back], pa.binary()),
@@ -272,9 +272,10 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 def _classes(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     n_runs = runs(THRESHOLD)
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("th"), text.alias("text"))
+    rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("th"),
+                       F.xxhash64(id_col, text).alias("row"), text.alias("text"))
     sketched = stored(_sketches(rows, n_runs), "join-sketches")
-    members = sketched.select("id", "th", "set")
+    members = sketched.select("id", "row", "set")
     sets = stored(sketched.where("set is not null").groupBy("set").agg(
         F.min("id").alias("copy_id"), F.count(F.lit(1)).alias("copies"), F.min("th").alias("th"),
         F.first("sketch").alias("sketch"), F.first("paths").alias("paths")), "join-sets")
@@ -300,7 +301,7 @@ def _classes(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                                                 (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
     linked = members.where("set is not null").join(info, "set")
     alone = members.where("set is null").select(
-        "set", "id", "th", F.col("id").alias("copy_id"), F.col("id").alias("class_id"), F.lit(None).cast("long").alias("component"),
+        "set", "id", "row", F.col("id").alias("copy_id"), F.col("id").alias("class_id"), F.lit(None).cast("long").alias("component"),
         F.lit(1).cast("long").alias("n_copies"), F.lit(0).cast("long").alias("n_links"))
     return linked.unionByName(alone)
 
@@ -311,11 +312,9 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     Rows without shingles stay; of repeated rows of one id and text one stays.
     """
     classes = stored(_classes(docs, id_col, text_col), "join-classes")
-    key = F.struct(F.col("id").isNull().alias("none"), F.col("id"), F.col("th"))
+    key = F.struct(F.col("id").isNull().alias("none"), F.col("id"), F.col("row"))
     first = classes.where("component is not null").groupBy("component").agg(F.min(key).alias("k")) \
-        .select(F.col("k.id").alias("_jj_id"), F.col("k.th").alias("_jj_th"))
+        .select(F.col("k.row").alias("_jj_row"))
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    rows = docs.withColumn("_jj_h", F.xxhash64(text))
-    found = rows.join(first, F.col(id_col).eqNullSafe(F.col("_jj_id")) & (F.col("_jj_h") == F.col("_jj_th")), "left_semi")
-    bare = docs.where(~text.rlike(r"[^\x20\x09-\x0D]"))
-    return found.dropDuplicates([id_col, "_jj_h"]).drop("_jj_h").unionByName(bare)
+    found = docs.withColumn("_jj_row", F.xxhash64(id_col, text)).join(first, "_jj_row", "left_semi")
+    return found.dropDuplicates(["_jj_row"]).select(docs.columns).unionByName(docs.where(~text.rlike(r"[^\x20\x09-\x0D]")))

@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
+from pyspark.sql.types import BooleanType, DoubleType, LongType, StructField, StructType
 
 from tagweave.llm.common import BYTE_VALUE, Words, column, mix64, pieces, powers, stored
 
@@ -192,62 +193,86 @@ def _common(counted: DataFrame) -> DataFrame:
     return top.unionByName(total).unionByName(counted.where("is_class"))
 
 
-def judge(docs: DataFrame, refs: dict[str, dict], id_col: str = "doc_id", text_col: str = "text",
-          lang_col: str = "lang") -> DataFrame:
-    """Per row: id, base counts, ``base_failed``, both distances and ``kept``."""
-    names = sorted(refs)
-    class_ref = [refs[k]["classes"] for k in names]
-    word_ref, lookup = [], []
-    for k in names:
-        listed = refs[k]["words"]
-        word_ref.append(np.array([n for _, n in listed] + [refs[k]["total"] - sum(n for _, n in listed)], float))
-        own = Words(pa.array([w for w, _ in listed], pa.string())).hashes()
-        order = np.argsort(own)
-        lookup.append((own[order], order))
-
-    def word_counts(hashes, owner, texts, k):
-        keys, place = lookup[k]
-        width = len(word_ref[k])
+class Judge:
+    """The references, ready to judge texts inside a task."""
+
+    def __init__(self, refs: dict[str, dict]):
+        self.names = sorted(refs)
+        self.classes = [refs[k]["classes"] for k in self.names]
+        self.words, self.lookup = [], []
+        for k in self.names:
+            listed = refs[k]["words"]
+            rest = refs[k]["total"] - sum(n for _, n in listed)
+            self.words.append(np.array([n for _, n in listed] + [rest], float))
+            own = Words(pa.array([w for w, _ in listed], pa.string())).hashes()
+            order = np.argsort(own)
+            self.lookup.append((own[order], order))
+
+    def word_counts(self, hashes: np.ndarray, owner: np.ndarray, texts: int, k: int) -> np.ndarray:
+        """(texts, common words and other) counts for language ``k``."""
+        keys, place = self.lookup[k]
+        width = len(self.words[k])
         at = np.minimum(np.searchsorted(keys, hashes), len(keys) - 1)
         item = np.where(keys[at] == hashes, place[at], width - 1) if len(keys) else np.zeros(len(hashes), int)
         return np.bincount(owner * width + item, minlength=texts * width).reshape(texts, width)
 
+    def verdicts(self, texts: pa.Array, langs: list[str | None]) -> dict[str, np.ndarray]:
+        """Base counts, ``base_failed``, both distances and ``kept`` of every text."""
+        words = Words(texts)
+        hashes = words.hashes()
+        out = base_counts(words, hashes)
+        classes, n = class_counts(words), len(langs)
+        owner = np.repeat(np.arange(n), out["n_words"])
+        own = np.array([self.names.index(x) if x in self.names else -1 for x in langs], int)
+        best = np.full((n, 2), np.inf)
+        for k in range(len(self.names)):
+            mine = np.flatnonzero((own == k) | (own == -1))
+            if not len(mine):
+                continue
+            back = np.full(n, -1)
+            back[mine] = np.arange(len(mine))
+            use = back[owner] >= 0
+            counts = self.word_counts(hashes[use], back[owner[use]], len(mine), k)
+            pair = np.stack([js_distance(classes[mine], self.classes[k]), js_distance(counts, self.words[k])], 1)
+            nearer = pair.sum(1) < best[mine].sum(1)
+            best[mine[nearer]] = pair[nearer]
+        best[np.isinf(best)] = 0
+        odd = (classes.sum(1) >= MIN_CHARS) & (best[:, 0] > MAX_CLASS_DISTANCE)
+        odd |= (out["n_words"] >= MIN_WORDS) & (best[:, 1] > MAX_WORD_DISTANCE)
+        failed = base_failed(out)
+        return out | {"base_failed": failed, "class_distance": best[:, 0], "word_distance": best[:, 1],
+                      "kept": ~failed & ~odd}
+
+
+def judge(docs: DataFrame, refs: dict[str, dict], id_col: str = "doc_id", text_col: str = "text",
+          lang_col: str = "lang") -> DataFrame:
+    """Per row: id, base counts, ``base_failed``, both distances and ``kept``."""
+    judge_ = Judge(refs)
+    schema = StructType([StructField("id", docs.schema[id_col].dataType), *[StructField(c, LongType()) for c in COUNTS],
+                         StructField("base_failed", BooleanType()), StructField("class_distance", DoubleType()),
+                         StructField("word_distance", DoubleType()), StructField("kept", BooleanType())])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in pieces(batch, "text"):
-                words = Words(column(piece, "text"))
-                hashes = words.hashes()
-                counts = base_counts(words, hashes)
-                failed = base_failed(counts)
-                classes = class_counts(words)
-                texts = len(failed)
-                owner = np.repeat(np.arange(texts), counts["n_words"])
-                lang = column(piece, "lang").to_pylist()
-                own = np.array([names.index(x) if x in refs else -1 for x in lang], int)
-                best = np.full((texts, 2), np.inf)
-                for k in range(len(names)):
-                    mine = np.flatnonzero((own == k) | (own == -1))
-                    if not len(mine):
-                        continue
-                    back = np.full(texts, -1)
-                    back[mine] = np.arange(len(mine))
-                    use = back[owner] >= 0
-                    pair = np.stack([js_distance(classes[mine], class_ref[k]),
-                                     js_distance(word_counts(hashes[use], back[owner[use]], len(mine), k),
-                                                 word_ref[k])], 1)
-                    nearer = pair.sum(1) < best[mine].sum(1)
-                    best[mine[nearer]] = pair[nearer]
-                best[np.isinf(best)] = 0
-                odd = (classes.sum(1) >= MIN_CHARS) & (best[:, 0] > MAX_CLASS_DISTANCE)
-                odd |= (counts["n_words"] >= MIN_WORDS) & (best[:, 1] > MAX_WORD_DISTANCE)
+                found = judge_.verdicts(column(piece, "text"), column(piece, "lang").to_pylist())
                 yield pa.RecordBatch.from_arrays(
-                    [column(piece, "id"), *(pa.array(counts[c], pa.int64()) for c in COUNTS), pa.array(failed),
-                     pa.array(best[:, 0]), pa.array(best[:, 1]), pa.array(~failed & ~odd)],
-                    names=["id", *COUNTS, "base_failed", "class_distance", "word_distance", "kept"])
+                    [column(piece, "id"), *[pa.array(found[c]).cast(pa.int64()) for c in COUNTS],
+                     *[pa.array(found[c]) for c in schema.names[len(COUNTS) + 1:]]], names=schema.names)
 
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"),
                        F.col(lang_col).cast("string").alias("lang"))
-    id_type = docs.schema[id_col].dataType.simpleString()
-    schema = f"id {id_type}, {', '.join(c + ' long' for c in COUNTS)}, base_failed boolean, " \
-        "class_distance double, word_distance double, kept boolean"
     return rows.mapInArrow(run, schema).withColumnRenamed("id", id_col)
+
+
+def keep(docs: DataFrame, refs: dict[str, dict], text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """The rows of ``docs`` that are kept, unchanged."""
+    judge_ = Judge(refs)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece in pieces(batch, text_col):
+                langs = column(piece, lang_col).cast(pa.string()).to_pylist()
+                yield piece.filter(pa.array(judge_.verdicts(column(piece, text_col), langs)["kept"]))
+
+    return docs.mapInArrow(run, docs.schema)

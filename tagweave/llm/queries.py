@@ -5,7 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tagweave.llm import jaccard_join, katz, mixing, page_diff, quality_rules, sharding, token_output, url_filter
+from tagweave.llm import (decontaminate, jaccard_join, katz, mixing, page_diff, quality_rules, sharding, site_quality,
+                          token_output, url_filter)
 from tagweave.llm.common import scratch
 
 QUERIES: dict = {}
@@ -39,6 +40,19 @@ def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_join(table(spark, sf_dir, "documents"))
 
 
+@query
+def op4_site_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All ``documents`` by text, host and path evidence (see site_quality)."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return site_quality.judge(docs, labels, site_quality.train(docs, labels))
+
+
+@query
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The items of ``benchmark`` that each of all ``documents`` holds (see decontaminate)."""
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All ``documents`` against the references of their languages (see quality_rules)."""
@@ -73,3 +87,10 @@ def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     token_output.write_token_files(table(spark, sf_dir, "documents"), path,
                                    public_tokenizers.path("word_bpe_49k.json"), end_id=2)
     return token_output.read_token_files(spark, path, digest=True)
+
+
+@query
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages of corpus_pipeline over ``documents``."""
+    import corpus_pipeline
+    return corpus_pipeline.run(spark, sf_dir)
