@@ -18,16 +18,18 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tagweave.llm.common import WORD, stored
+from tagweave.operators.joins import bounded_broadcast
 
 WEIGHTS = (5, 2, 1)
 MAX_REPEAT = 3
 WINDOW = 1 << 16  # budget left for the dynamic program
 BUCKET_BITS = 8
+SALTS = 32
 
 ADDED = ["size", "source_size", "target", "copies", "taken"]
 
@@ -131,18 +133,18 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, max_repeat: float
     some = plan.where("extra > 0 and extra < n").select("source", "size", "extra")
     same = [F.col("source").eqNullSafe(F.col("s")), F.col("size") == F.col("z")]
 
-    def of(right: DataFrame, left: DataFrame) -> DataFrame:
+    def of(right: DataFrame, left: DataFrame, *more: Column) -> DataFrame:
         renamed = right.withColumnRenamed("source", "s").withColumnRenamed("size", "z")
-        return left.join(renamed, same).drop("s", "z")
+        return left.join(renamed, [*same, *more]).drop("s", "z")
 
     running = W.partitionBy("source", "size").orderBy("bucket").rowsBetween(W.unboundedPreceding, 0)
     cut = (of(some, narrow.groupBy("source", "size", bucket.alias("bucket")).agg(F.count(F.lit(1)).alias("m")))
            .withColumn("upto", F.sum("m").over(running))
            .where("upto >= extra and upto - m < extra")
            .select("source", "size", "bucket", (F.col("extra") - F.col("upto") + F.col("m")).alias("inside")))
-    hashes = narrow.groupBy("source", "size", "h").agg(F.count(F.lit(1)).alias("m"))
+    hashes = narrow.groupBy("source", "size", "h").agg(F.count(F.lit(1)).alias("m")).withColumn("b", bucket)
     by_hash = W.partitionBy("source", "size").orderBy("h").rowsBetween(W.unboundedPreceding, 0)
-    limit = (of(cut, hashes).where(bucket == F.col("bucket"))
+    limit = (of(cut, hashes, F.col("b") == F.col("bucket"))
              .withColumn("upto", F.sum("m").over(by_hash))
              .groupBy("source", "size")
              .agg(F.max(F.when(F.col("upto") <= F.col("inside"), F.col("h"))).alias("last"),
@@ -155,7 +157,16 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, max_repeat: float
         F.col("whole").alias("_p_whole"), "extra", "n", "last")
     plan = plan.withColumn("_p_last", F.when(F.col("extra") >= F.col("n"), F.lit((1 << 63) - 1))
                            .when(F.col("extra") > 0, F.col("last"))).drop("extra", "n", "last")
-    out = base.join(plan, F.col("_mix_source").eqNullSafe(F.col("_p_source")) & (F.col("size") == F.col("_p_size")))
+    plan = stored(plan, "mix-decisions")
+    on = F.col("_mix_source").eqNullSafe(F.col("_p_source")) & (F.col("size") == F.col("_p_size"))
+    # one row per source and length; beyond the bound hot lengths are dealt over SALTS tasks
+    marked = bounded_broadcast(plan)
+    if marked is plan:
+        salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+        out = base.withColumn("_mix_salt", F.pmod("_mix_hash", F.lit(SALTS)).cast("int")) \
+            .join(plan.withColumn("_p_salt", salts), on & (F.col("_mix_salt") == F.col("_p_salt")))
+    else:
+        out = base.join(marked, on)
     copies = F.when(F.col("size") == 0, F.lit(0)).otherwise(
         F.col("_p_whole") + F.coalesce(F.col("_mix_hash") <= F.col("_p_last"), F.lit(False)).cast("long"))
     return out.withColumn("copies", copies.cast("long")).withColumn("taken", F.col("copies") * F.col("size")) \
