@@ -9,8 +9,7 @@ dynamic program over the lengths closes what the rounding leaves.  Which documen
 length are taken is decided by the order of a seeded hash of id and text, so reruns agree.
 
 Cases: a null or empty text has size 0 and is never taken; null sources form one source,
-ordered last; repeated rows (same id and text) are taken or left together, never beyond
-the budget; an empty table gives no rows; an input column named like an added one
+ordered last; repeated rows (same id and text) are taken or left together; an empty table gives no rows; an input column named like an added one
 (``size source_size target copies taken``) is replaced.
 """
 
@@ -34,9 +33,31 @@ SALTS = 32
 ADDED = ["size", "source_size", "target", "copies", "taken"]
 
 
+def _sums(sizes: np.ndarray, counts: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray, list[tuple[int, int]]]:
+    """Bounded knapsack: which sums up to ``limit`` can be reached, by which item each was reached
+    first, and the items ``(length's index, documents)`` (counts are split in powers of two)."""
+    items: list[tuple[int, int]] = []
+    how = np.full(limit + 1, -1, np.int64)
+    reach = np.zeros(limit + 1, bool)
+    reach[0] = True
+    for k in sorted((k for k in range(len(sizes)) if 0 < sizes[k] <= limit), key=lambda k: -sizes[k]):
+        more, part = min(int(counts[k]), limit // int(sizes[k])), 1
+        while more > 0 and not reach[limit]:
+            part = min(part, more)
+            step = part * int(sizes[k])
+            new = np.zeros(limit + 1, bool)
+            new[step:] = reach[:limit + 1 - step]
+            new &= ~reach
+            how[new] = len(items)
+            reach |= new
+            items.append((k, part))
+            more, part = more - part, part * 2
+    return reach, how, items
+
+
 def fit(sizes: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
-    """How many documents of each length to take so that the words come to at most, and as
-    near as found to, ``budget`` (which is below ``sum(sizes * counts)``).
+    """How many documents of each length to take so that the words come near ``budget`` (which
+    is below ``sum(sizes * counts)``).
 
     The proportional share of every length is rounded down, then up where the rounded-off
     part is largest until about ``WINDOW`` words are left; the dynamic program fits those.
@@ -53,25 +74,12 @@ def fit(sizes: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
         if 0 < sizes[k] <= left - WINDOW and take[k] < counts[k]:
             take[k] += 1
             left -= int(sizes[k])
-    usable = [k for k in range(len(sizes)) if 0 < sizes[k] <= left and take[k] < counts[k]]
-    # how[j]: the (part of an) item by which the sum j was first reached
-    items: list[tuple[int, int]] = []
-    how = np.full(left + 1, -1, np.int64)
-    reach = np.zeros(left + 1, bool)
-    reach[0] = True
-    for k in sorted(usable, key=lambda k: -sizes[k]):
-        more, part = min(int(counts[k] - take[k]), left // int(sizes[k])), 1
-        while more > 0 and not reach[left]:
-            part = min(part, more)
-            step = part * int(sizes[k])
-            new = np.zeros(left + 1, bool)
-            new[step:] = reach[:left + 1 - step]
-            new &= ~reach
-            how[new] = len(items)
-            reach |= new
-            items.append((k, part))
-            more, part = more - part, part * 2
+    reach, how, items = _sums(sizes, counts - take, left)
     at = int(np.flatnonzero(reach)[-1])
+    if at < left:  # is a sum above the budget nearer than the best one below it?
+        reach, how, items = _sums(sizes, counts - take, 2 * left - at)
+        sums = np.flatnonzero(reach)
+        at = int(sums[np.argmin(np.abs(sums - left))])
     while at > 0:
         k, part = items[how[at]]
         take[k] += part

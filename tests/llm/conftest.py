@@ -1,0 +1,18 @@
+import os
+import sys
+
+import pytest
+
+sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+
+from tests_llm_rows import SCHEMA, doc_rows  # noqa: E402
+
+
+@pytest.fixture(scope="session")
+def docs(spark):
+    return spark.createDataFrame(doc_rows(), SCHEMA).repartition(3).cache()
+
+
+@pytest.fixture(scope="session")
+def no_docs(spark):
+    return spark.createDataFrame([], SCHEMA)
