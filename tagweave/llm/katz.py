@@ -45,9 +45,9 @@ from pyspark.sql.types import (ArrayType, BinaryType, BooleanType, DoubleType, I
 from tagweave.llm.common import Words, column, mix64, pieces, scratch
 
 K = 5
-CHUNK_BYTES = 16 << 20
+CHUNK_BYTES = 10 << 20
 WORDS_PER_PARTITION = 1 << 20
-TOKENS_PER_PARTITION = 1 << 21
+TOKENS_PER_PARTITION = 3 << 19
 LEAST_PARTITIONS = 16
 END = np.uint64(0xE5D0F7E5D0F7E5D1)  # the end token's word hash
 START_ID = np.uint64(0xFFFFFFFE)
