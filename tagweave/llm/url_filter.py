@@ -23,10 +23,10 @@ from tagweave.llm.common import stored
 
 BUCKETS = 1 << 15
 GRAMS = (3, 4, 5)
-STEPS = 20
+STEPS = 15
 RATE = 0.5
 L2 = 0.0001
-BLOCK_SHARE = 0.2  # weight of the blocked class in training
+BLOCK_SHARE = 0.1  # weight of the blocked class in training
 ADDED = ["host", "path", "rule", "verdict", "block_score"]
 
 # (host, path prefix, verdict)
@@ -66,8 +66,12 @@ def host_path(url: Column) -> tuple[Column, Column]:
 
 def _grams(text: Column, tag: str) -> Column:
     text = F.regexp_replace(text, "[0-9]", "0")
-    parts = [F.transform(F.sequence(F.lit(1), F.greatest(F.length(text) - n + 1, F.lit(1))),
-                         lambda i, n=n: F.concat(F.lit(tag), F.substring(text, i, F.lit(n)))) for n in GRAMS]
+
+    def of(n: int) -> Column:
+        places = F.sequence(F.lit(1), F.greatest(F.length(text) - n + 1, F.lit(1)))
+        return F.transform(places, lambda i: F.concat(F.lit(tag), F.substring(text, i, F.lit(n))))
+
+    parts = [of(n) for n in GRAMS]
     return F.when(F.length(text) > 0, F.concat(*parts)).otherwise(F.array().cast("array<string>"))
 
 
