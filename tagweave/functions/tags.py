@@ -11,6 +11,9 @@ from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 
+BLANK = r"^\p{javaWhitespace}*$"
+
+
 def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -22,9 +25,9 @@ def is_empty(c: Column | str) -> Column:
 
 
 def is_blank(c: Column | str) -> Column:
-    """Null, empty, or whitespace only."""
+    """Null, empty, or white space only (Unicode blanks such as U+3000 included)."""
     c = _col(c)
-    return c.isNull() | c.rlike(r"^\s*$")
+    return c.isNull() | c.rlike(BLANK)
 
 
 def tag_list(c: Column | str) -> Column:
@@ -46,17 +49,10 @@ def merge_tags(first: Column | str, second: Column | str, blank: str = "blank")
     return F.when(empty(a), b).when(empty(b), a).otherwise(both)
 
 
-def merge_old_first(old: Column | str, new: Column | str, blank: str = "blank") -> Column:
-    return merge_tags(old, new, blank)
-
-
-def merge_new_first(new: Column | str, old: Column | str, blank: str = "blank") -> Column:
-    return merge_tags(new, old, blank)
-
-
+_BLANK_SQL = BLANK.replace("\\", "\\\\")
 MERGE_SQL_BODY = (
-    "CASE WHEN old IS NULL OR old RLIKE '^\\\\s*$' THEN new "
-    "WHEN new IS NULL OR new RLIKE '^\\\\s*$' THEN old "
+    f"CASE WHEN old IS NULL OR old RLIKE '{_BLANK_SQL}' THEN new "
+    f"WHEN new IS NULL OR new RLIKE '{_BLANK_SQL}' THEN old "
     "ELSE array_join(array_distinct(concat(filter(split(old, ','), x -> x <> ''), "
     "filter(split(new, ','), x -> x <> ''))), ',') END"
 )

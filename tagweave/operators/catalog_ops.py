@@ -87,7 +87,7 @@ def upsert_paths(catalog: DataFrame, paths: DataFrame, levels: list[str],
     """Insert the category paths that are not in the catalog yet.
 
     ``paths`` has one column per level, named by ``levels`` (level 1 first); a null
-    ends a path.  A node is found by ``(name, level, pid)`` (the oldest id wins if
+    ends a path, and a path that has lower levels but no level 1 is an error.  A node is found by ``(name, level, pid)`` (the oldest id wins if
     several match) or inserted; level-1 parents are ``-1``.  New ids continue after the
     catalog's maximum, level by level, each level ordered by ``(pid, name)`` - the
     order in which inserting one level at a time would number them.  Running the
@@ -109,7 +109,12 @@ def upsert_paths(catalog: DataFrame, paths: DataFrame, levels: list[str],
     cols = list(levels)
     # one timestamp for the whole run, so re-evaluating a lazy result gives the same rows
     now = now or datetime.now()
-    distinct_paths = paths.select(*[F.col(c).cast("string").alias(c) for c in cols]).distinct()
+    distinct_paths = paths.select(*[F.col(c).cast("string").alias(c) for c in cols])
+    if len(cols) > 1:  # such a path would be lost whole
+        headless = F.col(cols[0]).isNull() & F.coalesce(*cols[1:]).isNotNull()
+        if not distinct_paths.where(headless).isEmpty():
+            raise ValueError(f"a path has lower levels but no {cols[0]}")
+    distinct_paths = distinct_paths.distinct()
     no_key = F.lit(None).cast(f"array<{_KEY_ITEM}>")
     previous = None
     new_parts = []

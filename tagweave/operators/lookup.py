@@ -20,15 +20,15 @@ def rule_row(catalog: DataFrame, tag_id: int) -> DataFrame:
 
 
 def source_spec_of(catalog: DataFrame, tag_id: int, default: str | None = "") -> dict:
-    """The parsed level-4 rule of ``tag_id`` as a dict of the seven source keys."""
+    """The parsed level-4 rule of ``tag_id``: all its keys, the seven source keys filled in."""
     rows = (rule_row(catalog, tag_id)
-            .select(source_spec(parse_rule("rule"), default).alias("spec"))
+            .select(source_spec(parse_rule("rule"), default).alias("spec"), parse_rule("rule").alias("all"))
             .limit(2).collect())
     if not rows:
         raise LookupError(f"tag {tag_id} is not in the catalog")
     if len(rows) > 1:
         raise LookupError(f"tag id {tag_id} is not unique in the catalog")
-    return rows[0]["spec"].asDict()
+    return {**(rows[0]["all"] or {}), **rows[0]["spec"].asDict()}
 
 
 def value_rules(catalog: DataFrame, tag_id: int) -> DataFrame:

@@ -2,10 +2,10 @@
 
 * :func:`match_rules` - exact match against level-5 rules (a broadcast hash join).
 * :func:`match_values` - a fixed ``{value: tag}`` CASE.
-* :func:`match_ranges` - numeric ranges ``lo <= v <= hi`` (CASE, or a broadcast range join).
+* :func:`match_ranges` - numeric ranges ``lo <= v <= hi`` (CASE, or a lookup of distinct values).
 
-Source values are compared as strings (``'1'`` equals ``'1'``, never ``1.0``), so ANSI
-mode never raises on text such as ``'abc'``.
+Rule values are compared as strings; the fixed maps compare whole-number keys as numbers
+(``'01'`` and ``' 1'`` equal 1) by ``try_cast``, so ANSI mode never raises on ``'abc'``.
 """
 
 from __future__ import annotations
@@ -21,10 +21,30 @@ from tagweave.operators.joins import DEFAULT_BROADCAST_ROWS, bounded_broadcast
 from tagweave.schemas import TAG_COL, USER_KEY
 
 
+SALTS = 32  # tasks that share a hot source value where the lookup is not broadcast
+
+
 def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _lookup_join(src: DataFrame, lookup: DataFrame, max_broadcast_rows: int) -> DataFrame:
+    """``src(_key, _v)`` left join ``lookup(_v, _tag)`` (one row per value).
+
+    The lookup is broadcast when proven small.  Otherwise both sides are salted: every
+    value, and the null ones, is dealt over ``SALTS`` tasks.
+    """
+    small = bounded_broadcast(lookup, max_broadcast_rows)
+    if small is not lookup:
+        return src.join(small, "_v", "left")
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+    salted = src.withColumn("_salt", F.pmod(F.xxhash64("_key"), F.lit(SALTS)).cast("int"))
+    # a null value meets nothing; its own negative salt spreads it over the partitions
+    salted = salted.withColumn("_salt", F.when(F.col("_v").isNull(), -1 - F.pmod(F.xxhash64("_key"), F.lit(1 << 20)))
+                               .otherwise(F.col("_salt")).cast("int"))
+    return salted.join(lookup.withColumn("_salt", salts), ["_v", "_salt"], "left").drop("_salt")
+
+
 def date_digits(c: Column | str) -> Column:
     """``'1990-05-17'`` -> ``19900517`` (BIGINT); text that is not a number -> null."""
     return F.regexp_replace(_col(c).cast("string"), "-", "").try_cast("bigint")
@@ -44,21 +64,26 @@ def match_rules(source: DataFrame, rules: DataFrame, value_col: str, *, key_col:
     ``rules`` has columns ``(id, rule)``.  No match or a null value gives ``default``
     (``None`` leaves the tag null).  Rules are deduplicated per value first, so the join
     is many-to-one and keeps the source row count; the deduplicated rules are broadcast
-    when their row count is proven small, so the (large) source is never shuffled.
+    when their row count is proven small, so the (large) source is not shuffled; beyond
+    the bound the join is salted.
     """
-    small = bounded_broadcast(dedupe_rules(rules), max_broadcast_rows, bound_by=rules)
     src = source.select(_col(key_col).alias("_key"), _col(value_col).cast("string").alias("_v"))
-    joined = src.join(small, src["_v"] == small["rule"], "left")
+    joined = _lookup_join(src, dedupe_rules(rules).withColumnRenamed("rule", "_v"), max_broadcast_rows)
     tag = F.col("_tag") if default is None else F.coalesce(F.col("_tag"), F.lit(default))
     return joined.select(F.col("_key").alias(out_key), tag.cast("int").alias(out_tag))
 
 
 def case_column(value: Column | str, mapping: Mapping[str, int]) -> Column:
-    """``CASE value WHEN k THEN tag ... END`` (no ELSE: unmatched -> null)."""
+    """``CASE value WHEN k THEN tag ... END`` (no ELSE: unmatched -> null).
+
+    A whole-number key equals the value as a number, any other key as text.
+    """
     v = _col(value).cast("string")
+    number = v.try_cast("int")
     out = None
     for k, tag in mapping.items():
-        cond = v == F.lit(str(k))
+        whole = str(k).lstrip("-").isdigit()
+        cond = number == F.lit(int(k)) if whole else v == F.lit(str(k))
         out = F.when(cond, F.lit(int(tag))) if out is None else out.when(cond, F.lit(int(tag)))
     return out.cast("int") if out is not None else F.lit(None).cast("int")
 
@@ -85,23 +110,19 @@ def match_ranges(source: DataFrame, value: Column, ranges: Sequence[tuple[int, i
     """Tag by the range that contains ``value``; none -> null.
 
     A list of ``(lo, hi, tag)`` becomes a CASE chain (first range wins).  A DataFrame
-    ``(lo, hi, id)`` of non-overlapping ranges becomes a broadcast range join, which
-    keeps one row per source row; above ``max_broadcast_rows`` rules it becomes an
-    exact sort-based lookup (:func:`_floor_lookup`) with no broadcast.  Overlapping
-    ranges raise ``ValueError``.
+    ``(lo, hi, id)`` of non-overlapping ranges is looked up once per distinct source
+    value by an exact sort (:func:`_floor_lookup`); the source then joins that lookup,
+    broadcast when it is proven small and salted beyond.  A range with a null bound
+    holds no value and is left out; overlapping ranges raise ``ValueError``.
     """
     if not isinstance(ranges, DataFrame):
         return source.select(_col(key_col).alias(out_key), range_column(value, ranges).alias(out_tag))
     r = ranges.select(F.col("lo").cast("bigint").alias("_lo"), F.col("hi").cast("bigint").alias("_hi"),
                       F.col("id").cast("int").alias("_tag"))
     src = source.select(_col(key_col).alias("_key"), value.alias("_v"))
-    if r.limit(max_broadcast_rows + 1).count() > max_broadcast_rows:
-        lookup = _floor_lookup(src.select("_v").where(F.col("_v").isNotNull()).distinct(), r)
-        joined = src.join(lookup, "_v", "left")
-        return joined.select(F.col("_key").alias(out_key), F.col("_tag").alias(out_tag))
-    small = F.broadcast(r)
-    _check_disjoint(r)
-    joined = src.join(small, (src["_v"] >= small["_lo"]) & (src["_v"] <= small["_hi"]), "left")
+    r = r.where(F.col("_lo").isNotNull() & F.col("_hi").isNotNull())
+    lookup = _floor_lookup(src.select("_v").where(F.col("_v").isNotNull()).distinct(), r)
+    joined = _lookup_join(src, lookup, max_broadcast_rows)
     return joined.select(F.col("_key").alias(out_key), F.col("_tag").alias(out_tag))
 
 
@@ -150,13 +171,3 @@ def _floor_lookup(values: DataFrame, ranges: DataFrame) -> DataFrame:
     hit = F.col("_cur.hi").isNotNull() & (F.col("_pos") <= F.col("_cur.hi"))
     return seen.where(F.col("_kind") == 1).select(
         F.col("_pos").alias("_v"), F.when(hit, F.col("_cur.tag")).alias("_tag"))
-
-
-def _check_disjoint(r: DataFrame) -> None:
-    """Raise if two ranges overlap (a sort + running max over the rule rows, which are
-    proven to be at most ``max_broadcast_rows``)."""
-    w = Window.orderBy("_lo", "_hi")
-    bad = (r.withColumn("_prev_hi", F.max("_hi").over(w.rowsBetween(Window.unboundedPreceding, -1)))
-           .where(F.col("_prev_hi") >= F.col("_lo")).limit(1).count())
-    if bad:
-        raise ValueError("range rules overlap; use a list of ranges for first-match order")

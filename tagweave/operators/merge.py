@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tagweave.functions.tags import merge_tags, register_sql_functions
 from tagweave.schemas import TAG_COL, USER_KEY
+from tagweave.sources.store import require_key
 
 JOINS = ("inner", "left")
 ORDERS = ("old_first", "new_first")
@@ -31,11 +32,12 @@ def merge_with_history(new: DataFrame, old: DataFrame, *, key: str = USER_KEY, t
     """``(key, tag)`` rows of ``new`` merged with ``old``.
 
     ``join="inner"``: only users present in both (users without history get nothing);
-    ``join="left"``: every new user, merged with history when there is one.
+    ``join="left"``: every new user, merged with history when there is one.  A null key
+    of ``new`` is an error, as in the store.
     """
     if join not in JOINS:
         raise ValueError(f"join must be one of {JOINS}")
-    n = new.select(F.col(key).cast("string").alias("_nk"), F.col(tag).cast("string").alias("_nt"))
+    n = require_key(new, key).select(F.col(key).cast("string").alias("_nk"), F.col(tag).cast("string").alias("_nt"))
     o = old.select(F.col(key).cast("string").alias("_ok"), F.col(tag).cast("string").alias("_ot"))
     j = n.join(o, n["_nk"] == o["_ok"], join)
     out_key = F.coalesce(F.col("_ok"), F.col("_nk")) if join == "inner" else F.col("_nk")

@@ -7,6 +7,7 @@ plain SQL so the two can be compared.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,10 +21,12 @@ from tagweave.operators.match import date_digits, match_ranges, match_rules, mat
 from tagweave.operators.merge import merge_with_history, merge_with_history_sql
 from tagweave.plans import models as M
 from tagweave.plans import testbed as T
-from tagweave.plans.runner import plan, snapshot_after
+from tagweave.plans.runner import plan, run, snapshot_after
 from tagweave.schemas import SOURCE_KEYS
+from tagweave.session import ensure_checkpoint_dir
+from tagweave.sources.catalog import load_model_catalog, load_tag_catalog
 from tagweave.sources.cells import read_cells
-from tagweave.sources.store import upsert_frame
+from tagweave.sources.store import StoreSpec, upsert_frame
 
 Query = Callable[[SparkSession, str], DataFrame]
 EVENT_TYPES = ["view", "click", "purchase", "signup", "error"]
@@ -151,7 +154,7 @@ def q_schedule_roundtrip(spark, d):
 
 
 def _full(spark, d):
-    return T.catalogs(spark, d)
+    return T.stored_catalogs(spark, d)
 
 
 def q_tags_by_level(spark, d):
@@ -184,7 +187,7 @@ MODEL_OUT = ["id", "tag_id", "model_name", "model_main", "model_path", "sche_tim
 
 
 def q_add_model_tag(spark, d):
-    return _full(spark, d)[1].select(*MODEL_OUT)
+    return T.catalogs(spark, d)[1].select(*MODEL_OUT)
 
 
 def q_model_state(spark, d):
@@ -194,9 +197,11 @@ def q_model_state(spark, d):
 
 
 def q_path_upsert(spark, d):
-    _, inserted = C.upsert_paths(_catalog(spark, d), T.customer_paths(spark, d),
+    """Category paths of all customers into a catalog that holds two of the regions."""
+    _, inserted = C.upsert_paths(T.part_catalog(spark, d), T.customer_paths(spark, d),
                                  ["level1", "level2", "level3"], now=T.NOW)
-    return C.tag_view(inserted)
+    return inserted.select(*C.TAG_VIEW, F.col("ctime").cast("string").alias("ctime"),
+                           F.col("utime").cast("string").alias("utime"))
 
 
 def q_add_value_tag(spark, d):
@@ -212,6 +217,36 @@ def _tagging(model):
     return q
 
 
+def q_upsert_repeated_keys(spark, d):
+    """All raw lineitems by order key (many rows per key) written over the line history."""
+    li = T.table(spark, d, "lineitem").select(
+        F.concat(F.col("l_orderkey").cast("string"), F.lit("-1")).alias("userId"),
+        F.col("l_partkey").cast("string").alias("tagIds"), "l_linenumber", "l_extendedprice")
+    return upsert_frame(T.line_history(spark, d), li, "userId", fields=["tagIds"],
+                        order=F.struct("l_extendedprice", "l_linenumber"))
+
+
+def q_run_two_models(spark, d):
+    """Two models run into a store, with the catalogs loaded from where they are stored.
+
+    The store starts with the history; the job and the age model each publish a version;
+    the result is the store as read back.
+    """
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/run-{uuid.uuid4().hex}"
+    tags, models = T.stored_catalogs(spark, d)
+    tags.write.parquet(f"{root}/tags")
+    models.write.parquet(f"{root}/models")
+    T.user_cells(spark, d).write.parquet(f"{root}/cells")
+    catalog = load_tag_catalog(spark, f"{root}/tags")
+    known = load_model_catalog(spark, f"{root}/models")
+    store = StoreSpec.from_options({"path": f"{root}/store", "rowKey": "userId", "selectFields": "tagIds"}).open(spark)
+    store.upsert(T.history(spark, d))
+    for model in (M.job_tag(), M.age_model()):
+        run(model, catalog, store, {T.USERS_TABLE: spark.read.parquet(f"{root}/cells")})
+    return store.read().withColumn("version", F.lit(store.latest_version()).cast("int")) \
+        .withColumn("models", F.lit(known.count()).cast("long"))
+
+
 def q_match_lookup_lineitem(spark, d):
     return match_rules(T.line_users(spark, d), value_rules(_catalog(spark, d), M.JOB_TAG_ID), "job")
 
@@ -263,6 +298,8 @@ QUERIES: dict[str, Query] = {
     "match_lookup_lineitem": q_match_lookup_lineitem,
     "merge_left_lineitem": q_merge_left_lineitem,
     "upsert_merge_lineitem": q_upsert_merge_lineitem,
+    "upsert_repeated_keys": q_upsert_repeated_keys,
+    "run_two_models": q_run_two_models,
 }
 
 
@@ -283,7 +320,7 @@ def _values(rows, names) -> str:
 def _blank_sql(x: str, blank: str) -> str:
     if blank == "empty":
         return f"({x} IS NULL OR {x} = '')"
-    return f"({x} IS NULL OR regexp_matches({x}, '^\\s*$'))"
+    return f"({x} IS NULL OR regexp_matches({x}, '^[\\s\\x{{0b}}\\x{{1c}}-\\x{{1f}}\\x{{3000}}]*$'))"
 
 
 def merge_sql(a: str, b: str, blank: str) -> str:
@@ -301,22 +338,27 @@ USERS_SQL = (
     "CAST(c_nationkey AS VARCHAR) AS nationality, "
     "CASE WHEN c_acctbal < 0 THEN '1' ELSE '0' END AS is_blackList, "
     f"CAST(DATE '{T.BIRTHDAY_BASE}' + CAST(c_custkey * 37 % 22000 AS INTEGER) AS VARCHAR) AS birthday "
-    "FROM customer)"
+    "FROM customer UNION ALL SELECT 's' || s_suppkey, CASE WHEN s_suppkey % 2 = 0 THEN 'AUTOMOBILE' END, "
+    "' ' || (1 + s_suppkey % 8), '0' || (1 + s_suppkey % 3), CAST(s_nationkey AS VARCHAR), "
+    "CASE WHEN s_acctbal < 0 THEN '1' ELSE '0' END, CASE WHEN s_suppkey % 4 > 0 THEN "
+    f"CAST(DATE '{T.BIRTHDAY_BASE}' + CAST(s_suppkey * 53 % 22000 AS INTEGER) AS VARCHAR) END FROM supplier)"
 )
 HISTORY_SQL = (
-    f"history AS (SELECT CAST(o_custkey AS VARCHAR) AS userId, CASE n % {len(T.HISTORY_TAGS)} {_HIST} END "
-    f"AS tagIds FROM (SELECT o_custkey, count(*) AS n FROM orders WHERE o_orderdate < TIMESTAMP "
-    f"'{T.PREVIOUS_RUN}' GROUP BY o_custkey))"
+    f"history AS (SELECT userId, CASE n % {len(T.HISTORY_TAGS)} {_HIST} END AS tagIds FROM ("
+    "SELECT CAST(o_custkey AS VARCHAR) AS userId, count(*) AS n FROM orders GROUP BY o_custkey "
+    "UNION ALL SELECT 'e' || user_id, count(*) FROM events GROUP BY user_id))"
 )
 LINE_USERS_SQL = (
     "line_users AS (SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS id, "
     "CASE max(l_returnflag) WHEN 'A' THEN 'AUTOMOBILE' WHEN 'N' THEN 'BUILDING' ELSE 'HOUSEHOLD' END AS job "
-    "FROM lineitem GROUP BY l_orderkey, l_linenumber)"
+    "FROM lineitem GROUP BY l_orderkey, l_linenumber UNION ALL SELECT 'o' || o_orderkey, "
+    "CASE o_orderstatus WHEN 'F' THEN 'FURNITURE' WHEN 'O' THEN 'MACHINERY' ELSE 'HOUSEHOLD' END FROM orders)"
 )
 LINE_HISTORY_SQL = (
     "line_history AS (SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS userId, "
     f"CASE l_linenumber % {len(T.HISTORY_TAGS)} {_HIST} END AS tagIds FROM (SELECT DISTINCT l_orderkey, "
-    f"l_linenumber FROM lineitem WHERE l_shipdate < TIMESTAMP '{T.PREVIOUS_SHIP_RUN}'))"
+    f"l_linenumber FROM lineitem) UNION ALL SELECT 'p' || p_partkey, "
+    f"CASE p_size % {len(T.HISTORY_TAGS)} {_HIST} END FROM part)"
 )
 _TAG_COLS = ["id", "pid", "level", "name", "rule"]
 BASE_SQL = (
@@ -352,6 +394,11 @@ FULL_SQL = (
 )
 
 
+# the same catalogs with ids taken from the order key (read queries)
+STORED_SQL = (FULL_SQL.replace("CAST(m + rn AS BIGINT)", f"CAST({T.ORDER_TAG_BASE} + o_orderkey AS BIGINT)")
+              .replace("CAST(rn AS BIGINT)", "CAST(o_orderkey AS BIGINT)"))
+
+
 def _rules_sql(pid: int) -> str:
     return f"rules AS (SELECT rule, CAST(max(id) AS INTEGER) AS id FROM base WHERE pid = {pid} GROUP BY rule)"
 
@@ -363,7 +410,7 @@ def _match_sql(pid: int, column: str) -> str:
 
 
 def _case_sql(column: str, mapping) -> str:
-    whens = " ".join(f"WHEN {column} = '{k}' THEN {v}" for k, v in mapping.items())
+    whens = " ".join(f"WHEN TRY_CAST({column} AS INTEGER) = {k} THEN {v}" for k, v in mapping.items())
     return f"CAST(CASE {whens} END AS INTEGER)"
 
 
@@ -461,7 +508,7 @@ ORACLE: dict[str, str] = {
     "store_replace": _tagging_sql("gender", "replace").replace("WITH ", "WITH ", 1),
     "rule_parse": f"WITH {CUSTOMER_RULES_SQL} SELECT id, key, value FROM kv_last",
     "source_spec": f"WITH {CUSTOMER_RULES_SQL} SELECT id, {_SPEC} FROM kv_last GROUP BY id",
-    "catalog_specs": (f"WITH {FULL_SQL}, crules AS (SELECT id, rule FROM tags WHERE level = 4), {PARSE_RULES_SQL} "
+    "catalog_specs": (f"WITH {STORED_SQL}, crules AS (SELECT id, rule FROM tags WHERE level = 4), {PARSE_RULES_SQL} "
                       f"SELECT c.id AS id, {', '.join(f's.{chr(34)}{k}{chr(34)} AS {chr(34)}{k}{chr(34)}' for k in SOURCE_KEYS)} "
                       f"FROM crules c LEFT JOIN (SELECT id, {_SPEC_NULL} FROM kv_last GROUP BY id) s ON s.id = c.id"),
     "schedule_roundtrip": (
@@ -470,19 +517,19 @@ ORACLE: dict[str, str] = {
         "CAST(1 + o_orderkey % 5 AS INTEGER) AS frequency, o_orderdate AS start_time, "
         "o_orderdate + INTERVAL 30 DAY AS end_time, strftime(o_orderdate, '%Y-%m-%dT%H:%M+0800') AS start_param "
         "FROM orders"),
-    "tags_by_level": f"WITH {FULL_SQL} SELECT id, pid, level, name, rule FROM tags WHERE level = 2",
-    "tags_by_parent": f"WITH {FULL_SQL} SELECT id, pid, level, name, rule FROM tags WHERE pid = {T.PROFILE_NODE}",
-    "tags_find": (f"WITH {FULL_SQL} SELECT id, pid, level, name, rule FROM tags "
+    "tags_by_level": f"WITH {STORED_SQL} SELECT id, pid, level, name, rule FROM tags WHERE level = 2",
+    "tags_by_parent": f"WITH {STORED_SQL} SELECT id, pid, level, name, rule FROM tags WHERE pid = {T.PROFILE_NODE}",
+    "tags_find": (f"WITH {STORED_SQL} SELECT id, pid, level, name, rule FROM tags "
                   f"WHERE name = 'job' AND level = 4 AND pid IS NOT DISTINCT FROM {T.PROFILE_NODE}"),
     "tag_with_model": (
-        f"WITH {FULL_SQL} SELECT t.id AS tag_id, t.pid AS tag_pid, t.level AS tag_level, t.name AS tag_name, "
+        f"WITH {STORED_SQL} SELECT t.id AS tag_id, t.pid AS tag_pid, t.level AS tag_level, t.name AS tag_name, "
         "t.rule AS tag_rule, m.id AS model_id, m.model_name AS model_name, m.model_main AS main_class, "
         "m.model_path AS model_path, m.args AS args, m.state AS state, m.frequency AS frequency, "
         "m.start_time AS start_time, m.end_time AS end_time "
         f"FROM tags t LEFT JOIN models m ON m.tag_id = t.id WHERE t.pid = {T.PROFILE_NODE}"),
     "add_model_tag": f"WITH {FULL_SQL} SELECT {', '.join(MODEL_OUT)} FROM models",
     "model_state": (
-        f"WITH {FULL_SQL}, changes AS (SELECT t.id AS tag_id, CAST(1 + l_linenumber % 4 AS INTEGER) AS state, "
+        f"WITH {STORED_SQL}, changes AS (SELECT t.id AS tag_id, CAST(1 + l_linenumber % 4 AS INTEGER) AS state, "
         "l_shipdate AS changed_at, l_linenumber FROM lineitem l JOIN tags t "
         "ON t.level = 4 AND t.name = 'model-' || CAST(l.l_orderkey AS VARCHAR)), "
         "latest AS (SELECT tag_id, state FROM (SELECT *, row_number() OVER (PARTITION BY tag_id "
@@ -491,7 +538,8 @@ ORACLE: dict[str, str] = {
         "CAST(COALESCE(l.state, m.state) AS INTEGER) AS state, m.args FROM models m "
         "LEFT JOIN latest l ON l.tag_id = m.tag_id"),
     "path_upsert": (
-        f"WITH {BASE_SQL}, paths AS (SELECT DISTINCT r_name AS l1, n_name AS l2, c_mktsegment AS l3 "
+        f"WITH {BASE_SQL.replace(chr(98)+'ase AS (', 'whole AS (', 1)}, base AS (SELECT * FROM whole WHERE NOT (level = 1 AND id > 2) "
+        "AND NOT (level = 2 AND pid > 2)), paths AS (SELECT DISTINCT r_name AS l1, n_name AS l2, c_mktsegment AS l3 "
         "FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey), "
         "n1 AS (SELECT DISTINCT l1 AS name, CAST(-1 AS BIGINT) AS pid FROM paths), "
         "e1 AS (SELECT name, pid, min(id) AS id FROM base WHERE level = 1 GROUP BY name, pid), "
@@ -512,7 +560,9 @@ ORACLE: dict[str, str] = {
         "i3 AS (SELECT (SELECT max(id) FROM (SELECT id FROM base UNION ALL SELECT id FROM i1 UNION ALL "
         "SELECT id FROM i2)) + row_number() OVER (ORDER BY pid, name) AS id, pid, 3 AS level, name FROM m3) "
         "SELECT CAST(id AS BIGINT) AS id, CAST(pid AS BIGINT) AS pid, CAST(level AS INTEGER) AS level, name, "
-        "CAST(NULL AS VARCHAR) AS rule FROM (SELECT * FROM i1 UNION ALL SELECT * FROM i2 UNION ALL SELECT * FROM i3)"),
+        "CAST(NULL AS VARCHAR) AS rule, "
+        f"'{T.NOW}' AS ctime, '{T.NOW}' AS utime "
+        "FROM (SELECT * FROM i1 UNION ALL SELECT * FROM i2 UNION ALL SELECT * FROM i3)"),
     "add_value_tag": (
         f"WITH {BASE_SQL}, seg AS (SELECT DISTINCT c_mktsegment FROM customer) "
         "SELECT CAST((SELECT max(id) FROM base) + row_number() OVER (ORDER BY lower(c_mktsegment)) AS BIGINT) AS id, "
@@ -539,4 +589,18 @@ ORACLE: dict[str, str] = {
         "SELECT COALESCE(o.userId, n.userId) AS userId, "
         f"COALESCE({merge_sql('o.tagIds', 'n.tagIds', 'blank')}, o.tagIds) AS tagIds "
         "FROM line_history o FULL OUTER JOIN new n ON o.userId = n.userId"),
+    "upsert_repeated_keys": (
+        f"WITH {LINE_HISTORY_SQL}, n AS (SELECT CAST(l_orderkey AS VARCHAR) || '-1' AS userId, "
+        "arg_max(CAST(l_partkey AS VARCHAR), (l_extendedprice, l_linenumber, CAST(l_partkey AS VARCHAR))) AS tagIds "
+        "FROM lineitem GROUP BY l_orderkey) "
+        "SELECT COALESCE(o.userId, n.userId) AS userId, COALESCE(n.tagIds, o.tagIds) AS tagIds "
+        "FROM line_history o FULL OUTER JOIN n ON o.userId = n.userId"),
+    "run_two_models": (
+        f"WITH {USERS_SQL}, {HISTORY_SQL}, {BASE_SQL}, {_rules_sql(M.JOB_TAG_ID)}, {_new_sql('job')}, "
+        f"{_new_sql('age').replace('new AS', 'aged AS', 1)}, "
+        f"first AS (SELECT o.userId AS userId, COALESCE({merge_sql('o.tagIds', 'n.tagIds', 'empty')}, o.tagIds) AS tagIds "
+        "FROM history o LEFT JOIN new n ON o.userId = n.userId) "
+        f"SELECT COALESCE(o.userId, n.userId) AS userId, COALESCE({merge_sql('o.tagIds', 'n.tagIds', 'blank')}, o.tagIds) "
+        "AS tagIds, 3 AS version, (SELECT count(*) FROM orders) AS models "
+        "FROM first o FULL OUTER JOIN aged n ON o.userId = n.userId"),
 }

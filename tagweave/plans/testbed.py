@@ -1,10 +1,11 @@
 """Inputs for the registered queries, derived by Spark from the given tables.
 
-* users: one per ``customer`` (the wide source of the tag models); the bench also uses
-  one user per ``lineitem`` row (``orderkey-linenumber``).
-* tag history: the store as the previous run left it.  That run saw the ``orders``
-  placed before ``PREVIOUS_RUN`` (lineitems shipped before ``PREVIOUS_SHIP_RUN``);
-  customers with no order yet have no history.
+* users: one per ``customer`` and one per ``supplier`` (the wide source of the tag models;
+  suppliers hold the untidy values: ``'01'``, ``' 2'``, nulls); the bench also uses one
+  user per ``lineitem`` key (``orderkey-linenumber``) and one per ``orders`` row.
+* tag history: the store as the previous run left it: one user per customer of all
+  ``orders`` and one per user of all ``events`` (all ``lineitem`` keys and all ``part``
+  rows).  Suppliers (orders) are new users, event users (parts) old ones.
 * tag catalog: regions (level 1) and nations (level 2) from the tables, the model
   tags and value rules below, and one level-4 model tag per order.
 """
@@ -18,6 +19,7 @@ from pyspark.sql import functions as F
 
 from tagweave.frames import literal_frame
 from tagweave.functions.rules import format_rule
+from tagweave.functions.schedule import encode_schedule
 from tagweave.operators.catalog_ops import add_model_tags
 from tagweave.plans import models as M
 from tagweave.schemas import MODEL_CATALOG, TAG_CATALOG
@@ -25,14 +27,12 @@ from tagweave.sources.catalog import conform
 from tagweave.sources.cells import to_cells
 
 # Fixed values of the fixture (invented unless they are a reference tag id).
-PREVIOUS_RUN = "1995-07-01"
-PREVIOUS_SHIP_RUN = "1998-01-01"
 CATALOG_TIME = dt.datetime(2019, 9, 24, 6, 15)
 NOW = dt.datetime(2019, 9, 30, 6, 15)
 PROFILE_NODE = 40  # level-3 node holding the model tags
 USERS_TABLE = "tbl_users"
 CELL_TIME = dt.datetime(2019, 9, 1)
-HISTORY_TAGS = ["", "65", "62,65", None, "  ", "67,70"]  # by order count mod 6
+HISTORY_TAGS = ["", "65", "62,65", None, "  ", "67,70", "\u3000"]  # by row count mod 7
 BIRTHDAY_BASE = "1955-01-01"
 
 USER_FIELDS = "id,job,job_code,gender,nationality,is_blackList,birthday"
@@ -81,8 +81,18 @@ def _history_tag(n: Column) -> Column:
 
 def users(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "customer")
-    k = F.col("c_custkey")
-    return c.select(
+    k, s = F.col("c_custkey"), F.col("s_suppkey")
+    suppliers = table(spark, sf_dir, "supplier").select(
+        F.concat(F.lit("s"), s.cast("string")).alias("id"),
+        F.when(s % 2 == 0, "AUTOMOBILE").alias("job"),
+        F.concat(F.lit(" "), (F.lit(1) + s % 8).cast("string")).alias("job_code"),
+        F.concat(F.lit("0"), (F.lit(1) + s % 3).cast("string")).alias("gender"),
+        F.col("s_nationkey").cast("string").alias("nationality"),
+        F.when(F.col("s_acctbal") < 0, F.lit("1")).otherwise(F.lit("0")).alias("is_blackList"),
+        F.when(s % 4 > 0, F.date_add(F.lit(BIRTHDAY_BASE).cast("date"), (s * 53 % 22000).cast("int"))
+               .cast("string")).alias("birthday"),
+    )
+    customers = c.select(
         k.cast("string").alias("id"),
         F.col("c_mktsegment").alias("job"),
         (F.lit(1) + k % 8).cast("string").alias("job_code"),
@@ -92,6 +102,7 @@ def users(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.date_add(F.lit(BIRTHDAY_BASE).cast("date"), (k * 37 % 22000).cast("int"))
         .cast("string").alias("birthday"),
     )
+    return customers.unionByName(suppliers)
 
 
 def _line_key() -> Column:
@@ -105,29 +116,34 @@ def line_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     among its rows (a map-side combined aggregate).
     """
     li = table(spark, sf_dir, "lineitem")
-    # max over the flag's code point keeps a hash aggregate (a string max would sort)
-    per_key = li.groupBy("l_orderkey", "l_linenumber").agg(F.max(F.ascii("l_returnflag")).alias("code"))
-    flag = F.chr(F.col("code"))
-    return per_key.select(
+    per_key = li.groupBy("l_orderkey", "l_linenumber").agg(F.max("l_returnflag").alias("flag"))
+    flag, status = F.col("flag"), F.col("o_orderstatus")
+    lines = per_key.select(
         _line_key().alias("id"),
         F.when(flag == "A", "AUTOMOBILE").when(flag == "N", "BUILDING").otherwise("HOUSEHOLD")
         .alias("job"),
     )
+    orders = table(spark, sf_dir, "orders").select(
+        F.concat(F.lit("o"), F.col("o_orderkey").cast("string")).alias("id"),
+        F.when(status == "F", "FURNITURE").when(status == "O", "MACHINERY").otherwise("HOUSEHOLD").alias("job"))
+    return lines.unionByName(orders)
 
 
 def history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stored tags ``(userId, tagIds)`` left by the previous run."""
-    o = table(spark, sf_dir, "orders").where(F.col("o_orderdate") < F.lit(PREVIOUS_RUN).cast("timestamp_ntz"))
-    per_customer = o.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n"))
-    return per_customer.select(F.col("o_custkey").cast("string").alias("userId"),
-                               _history_tag(F.col("n")).alias("tagIds"))
+    bought = table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").cast("string").alias("userId"))
+    seen = table(spark, sf_dir, "events") \
+        .groupBy(F.concat(F.lit("e"), F.col("user_id").cast("string")).alias("userId"))
+    both = [g.agg(F.count(F.lit(1)).alias("n")) for g in (bought, seen)]
+    return both[0].unionByName(both[1]).select("userId", _history_tag(F.col("n")).alias("tagIds"))
 
 
 def line_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem").where(
-        F.col("l_shipdate") < F.lit(PREVIOUS_SHIP_RUN).cast("timestamp_ntz"))
-    keys = li.select("l_orderkey", "l_linenumber").distinct()
-    return keys.select(_line_key().alias("userId"), _history_tag(F.col("l_linenumber")).alias("tagIds"))
+    keys = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber").distinct()
+    parts = table(spark, sf_dir, "part").select(F.concat(F.lit("p"), F.col("p_partkey").cast("string")).alias("userId"),
+                                                _history_tag(F.col("p_size")).alias("tagIds"))
+    return keys.select(_line_key().alias("userId"), _history_tag(F.col("l_linenumber")).alias("tagIds")) \
+        .unionByName(parts)
 
 
 def user_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -199,6 +215,32 @@ def catalogs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return base.unionByName(tags), models
 
 
+ORDER_TAG_BASE = 100_000  # stored_catalogs: tag id of an order's model
+
+
+def stored_catalogs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """``(tag_catalog, model_catalog)`` as tables that already hold their ids.
+
+    One model tag per order with ids taken from the order key, so a read is one plan that
+    filters reach, without numbering rows first.
+    """
+    r = model_requests(spark, sf_dir)
+    t = F.lit(NOW).cast("timestamp")
+    tag_id = F.col("o_orderkey") + ORDER_TAG_BASE
+    tags = conform(r.select(tag_id.alias("id"), "pid", F.lit(4).alias("level"), "name", "rule",
+                            t.alias("ctime"), t.alias("utime")), TAG_CATALOG)
+    models = conform(r.select(F.col("o_orderkey").alias("id"), tag_id.alias("tag_id"), "model_name", "model_main",
+                              "model_path", encode_schedule("frequency", "start", "end").alias("sche_time"),
+                              t.alias("ctime"), t.alias("utime"), "state", "args"), MODEL_CATALOG)
+    return base_catalog(spark, sf_dir).unionByName(tags), models
+
+
+def part_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The base catalog with only the first two regions and their nations."""
+    c = base_catalog(spark, sf_dir)
+    return c.where(~((F.col("level") == 1) & (F.col("id") > 2)) & ~((F.col("level") == 2) & (F.col("pid") > 2)))
+
+
 def state_changes(spark: SparkSession, sf_dir: str, tags: DataFrame) -> DataFrame:
     """A model state change per lineitem, for the model of its order, at ship time."""
     li = table(spark, sf_dir, "lineitem")

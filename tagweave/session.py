@@ -42,13 +42,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint folder, setting one only where none is set.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as is.
-    Only when the session has none (local tests) is a fresh temp folder taken.
+    Only a local session that has none gets a fresh temp folder; on a cluster, where
+    executors could not see it, a missing setting is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
+    if not configured and not sc.master.startswith("local[") and sc.master != "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     target = configured or tempfile.mkdtemp(prefix="tagweave-ckpt-")
     sc.setCheckpointDir(target)
     return sc.getCheckpointDir() or target

@@ -6,22 +6,25 @@ hash-bucketed by key), written as a **new** snapshot folder.  Nothing is overwri
 in place, so a job may read the snapshot it is replacing, a failed job leaves the
 published version untouched, and a lost executor only recomputes from files.
 
-Versions are published in a small append-only ``manifest`` table that records each
-version's folder.  Every write attempt gets its own folder, so a job that died half way
-leaves only an unpublished folder behind and a retry simply writes a new one.  Before
-and after publishing, the writer re-reads the manifest: if another writer published
-the same version first, this writer's update is reported (``ConcurrentUpdateError``),
-never silently lost; readers take the first published row of each version.
+A version is published by one small file ``manifest/v<number>.json`` that names its
+folder.  Every write attempt gets its own folder, so a job that died half way leaves only
+an unpublished folder behind and a retry simply writes a new one.  The file is written
+under another name and then given its final one by an operation that fails if that name
+exists (a rename on HDFS, a hard link on a local disk), so of two writers of one version
+exactly one succeeds, whatever their clocks say; the other gets
+``ConcurrentUpdateError``.  On a store whose rename replaces files (plain object stores)
+only one job may write at a time.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+import json
 import uuid
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (IntegerType, LongType, StringType, StructField, StructType,
@@ -45,9 +48,26 @@ class ConcurrentUpdateError(RuntimeError):
     """Another writer published a version after this writer's base version."""
 
 
+def require_key(df: DataFrame, key: str) -> DataFrame:
+    """``df``; a row with a null key raises when it is read."""
+    return df.where(F.assert_true(F.col(key).isNotNull(), f"null key in column {key}").isNull())
+
+
+def one_row_per_key(df: DataFrame, key: str, fields: Sequence[str], order: Column | None = None) -> DataFrame:
+    """``(key, fields)`` with one row per key (combined map-side; the join that follows
+    reuses this aggregate's exchange)."""
+    def pick(c: str) -> Column:
+        if order is None:
+            return F.max(c)
+        return F.max_by(F.col(c), F.when(F.col(c).isNotNull(), F.struct(order.alias("o"), F.col(c).alias("c"))))
+    if not fields:
+        return df.select(key).distinct()
+    return df.groupBy(key).agg(*[pick(c).alias(c) for c in fields])
+
+
 def upsert_frame(old: DataFrame, new: DataFrame, key: str = USER_KEY, *,
                  fields: Sequence[str] | None = None, combine: Mapping[str, Combine] | None = None,
-                 insert_new: bool = True) -> DataFrame:
+                 insert_new: bool = True, order: Column | None = None) -> DataFrame:
     """The snapshot after writing ``new`` over ``old``, cell by cell.
 
     * written columns are ``fields`` (default: every column of ``new`` but the key);
@@ -57,15 +77,15 @@ def upsert_frame(old: DataFrame, new: DataFrame, key: str = USER_KEY, *,
       ``insert_new=False`` (then only existing keys are updated);
     * columns of ``old`` that are not written are kept; new columns are added.
 
-    Keys are assumed unique on each side.
+    Rows of ``new`` with the same key become one first: each cell takes its non-null
+    value of the row with the highest ``order`` (default: the highest value).  A null key
+    is an error.  Keys of ``old`` are unique (it is a snapshot).
     """
     fields = list(fields) if fields is not None else [c for c in new.columns if c != key]
     combine = dict(combine or {})
     o = old.select(*[F.col(c).alias(f"_o_{c}") for c in old.columns])
-    # a row without a key cannot be stored; dropping it also keeps null keys from
-    # piling into one hot partition of the join
-    n = (new.where(F.col(key).isNotNull())
-         .select(F.col(key).alias(f"_n_{key}"), *[F.col(c).alias(f"_n_{c}") for c in fields]))
+    n = one_row_per_key(require_key(new, key), key, fields, order) \
+        .select(F.col(key).alias(f"_n_{key}"), *[F.col(c).alias(f"_n_{c}") for c in fields])
     how = "full_outer" if insert_new else "left_outer"
     j = o.join(n, o[f"_o_{key}"] == n[f"_n_{key}"], how)
     cols = [F.coalesce(F.col(f"_o_{key}"), F.col(f"_n_{key}")).alias(key)]
@@ -132,15 +152,48 @@ class TagStore:
         return f"{self.path}/snapshots/v{version:010d}-{uuid.uuid4().hex}"
 
     def versions(self) -> DataFrame:
-        """Published versions: the first published row of each version number."""
-        try:
-            m = self.spark.read.schema(_MANIFEST).parquet(self.manifest_path)
-        except AnalysisException:
+        """Published versions, one row each."""
+        if not self._exists(self.manifest_path):
             return literal_frame(self.spark, [], _MANIFEST)
-        first = m.groupBy("version").agg(
-            F.min_by(F.struct("base_version", "committed_at", "path", "buckets"),
-                     F.struct("committed_at", "path")).alias("r"))
-        return first.select("version", "r.base_version", "r.committed_at", "r.path", "r.buckets")
+        return self.spark.read.schema(_MANIFEST).option("pathGlobFilter", "v*.json").json(self.manifest_path)
+
+    def _path(self, name: str):
+        """A Hadoop path and its file system (driver side: one small file per version)."""
+        jvm = self.spark._jvm
+        path = jvm.org.apache.hadoop.fs.Path(name)
+        return path, path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+
+    def _exists(self, name: str) -> bool:
+        path, fs = self._path(name)
+        return fs.exists(path)
+
+    def _publish(self, row: dict) -> None:
+        """Create the version's manifest file, or raise if it is there already."""
+        final = f"{self.manifest_path}/v{row['version']:010d}.json"
+        target, fs = self._path(final)
+        draft, _ = self._path(f"{self.manifest_path}/_draft-{uuid.uuid4().hex}")
+        fs.mkdirs(target.getParent())
+        out = fs.create(draft, False)
+        out.write(bytearray((json.dumps(row) + "\n").encode()))
+        out.close()
+        jvm = self.spark._jvm
+        try:
+            if fs.getUri().getScheme() == "file":
+                place = jvm.java.nio.file.Paths.get
+                local = [place(fs.makeQualified(p).toUri()) for p in (target, draft)]
+                try:
+                    jvm.java.nio.file.Files.createLink(*local)
+                    done = True
+                except Py4JJavaError as error:
+                    if "FileAlreadyExistsException" not in str(error.java_exception):
+                        raise
+                    done = False
+            else:
+                done = not fs.exists(target) and fs.rename(draft, target)
+        finally:
+            fs.delete(draft, False)
+        if not done:
+            raise ConcurrentUpdateError(f"{self.path}: another writer published version {row['version']} first")
 
     def _latest(self):
         return self.versions().orderBy(F.col("version").desc()).limit(1).collect()
@@ -189,6 +242,10 @@ class TagStore:
             row = self._row_of(version)
         return self._open(row["path"], row["buckets"])
 
+    def _is_bucketed(self, snapshot: DataFrame) -> bool:
+        """Whether the snapshot comes from a join with the bucketed store (already dealt by key)."""
+        return self.latest_version() is not None and bool(self._latest()[0]["buckets"] == self.buckets)
+
     def commit(self, snapshot: DataFrame, base_version: int | None, sort_by_key: bool = True) -> int:
         """Write ``snapshot`` as version ``base + 1`` and publish it.
 
@@ -204,6 +261,8 @@ class TagStore:
                 f"{self.path}: base version {base_version} is no longer the latest")
         folder = self._new_snapshot_path(version)
         if self.buckets:
+            # one task per bucket, so a bucket is one file whatever came before
+            snapshot = snapshot.repartition(self.buckets, self.key) if not self._is_bucketed(snapshot) else snapshot
             (snapshot.write.format("parquet").bucketBy(self.buckets, self.key).sortBy(self.key)
              .option("path", folder).mode("errorifexists").saveAsTable(self._table_name(folder)))
         else:
@@ -213,19 +272,18 @@ class TagStore:
         if self.latest_version() != base_version:
             raise ConcurrentUpdateError(
                 f"{self.path}: base version {base_version} is no longer the latest")
-        now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-        (literal_frame(self.spark, [(version, base_version, now, folder, self.buckets)], _MANIFEST)
-         .coalesce(1).write.mode("append").parquet(self.manifest_path))
-        if self._path_of(version) != folder:
-            raise ConcurrentUpdateError(f"{self.path}: another writer published version {version} first")
+        now = _dt.datetime.now(_dt.timezone.utc).isoformat()
+        self._publish({"version": version, "base_version": base_version, "committed_at": now, "path": folder,
+                       "buckets": self.buckets})
         return version
 
     def upsert(self, new: DataFrame, *, fields: Sequence[str] | None = None,
-               combine: Mapping[str, Combine] | None = None, insert_new: bool = True) -> int:
+               combine: Mapping[str, Combine] | None = None, insert_new: bool = True,
+               order: Column | None = None) -> int:
         """Write ``new`` over the latest snapshot (see :func:`upsert_frame`)."""
         base = self.latest_version()
         fields = fields if fields is not None else self.fields
         written = list(fields) if fields is not None else [c for c in new.columns if c != self.key]
         old = self.read(base, schema=new.select(self.key, *written).schema)
         return self.commit(upsert_frame(old, new, self.key, fields=fields, combine=combine,
-                                        insert_new=insert_new), base)
+                                        insert_new=insert_new, order=order), base)

@@ -2,13 +2,11 @@
 
 The jobs are meant to be re-run on a schedule.  Here the schedule is a Structured
 Streaming query over the cell folder: each micro-batch holds the cells written since
-the last one.  Every row key touched by a batch (a cell of the model's family and
-fields) is re-tagged from **all** its cells - a semi join of the cell table with the
-batch's keys - so the result equals a full re-run for those users.  The store then
-gets a new version through the same merge/upsert as ``runner.run``.  Users whose
-cells did not change are not re-tagged; a full re-run would merge the same tag again
-(a no-op), except for row keys with no selected cell at all, which a full run tags
-with the model's default.
+the last one.  Every row key of a batch is re-tagged from **all** its cells - a semi
+join of the cell table with the batch's keys - so the result equals a full re-run.  The
+store then gets a new version through the same merge/upsert as ``runner.run``.  Users
+whose cells did not change are not re-tagged; a full re-run would merge the same tag
+again (a no-op).
 
 Progress is kept in the streaming checkpoint; a batch that is replayed after a failure
 re-applies an idempotent merge (``merge(merge(o, n), n) == merge(o, n)``), so the store
@@ -18,14 +16,12 @@ ends in the same state.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tagweave.operators.lookup import source_spec_of
 from tagweave.plans.models import TagModel
 from tagweave.plans.runner import STORE_SCHEMA, plan
 from tagweave.schemas import CELLS
-from tagweave.sources.cells import parse_fields
 from tagweave.sources.store import ConcurrentUpdateError, TagStore
 
 
@@ -42,13 +38,10 @@ def start(model: TagModel, catalog: DataFrame, cells_path: str, store: TagStore,
     if (spec.get("inType") or "").lower() not in ("hbase", "cells"):
         raise ValueError(f"tag {model.tag_id}: the scheduled job needs a cells source, "
                          f"not inType={spec.get('inType')!r}")
-    family = spec.get("family") or ""
-    fields = [f for f in parse_fields(spec.get("selectFields") or "") if f != (spec.get("rowKey") or None)]
     table = spec.get("hbaseTable") or ""
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        touched = (batch.where((F.col("family") == family) & F.col("qualifier").isin(fields))
-                   .select("rowkey").distinct())
+        touched = batch.select("rowkey").distinct()
         every_cell = spark.table(cells_table) if cells_table else spark.read.schema(CELLS).parquet(cells_path)
         cells = every_cell.join(touched, "rowkey", "left_semi")
         for attempt in range(3):  # redo the merge on top of a concurrently published version

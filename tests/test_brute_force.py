@@ -89,7 +89,8 @@ def upsert_paths_model(catalog, paths, depth):
 
 
 names = st.sampled_from(["a", "b", "c"])
-path = st.lists(st.one_of(names, st.none()), min_size=4, max_size=4)
+path = st.lists(st.one_of(names, st.none()), min_size=4, max_size=4) \
+    .filter(lambda p: p[0] is not None or not any(p))  # a path without level 1 is an error
 # a consistent tree: each node's parent is an earlier node (one level up) or the root
 existing = st.lists(st.tuples(names, st.integers(0, 10)), max_size=6)
 

@@ -118,3 +118,13 @@ def test_state_change_ties_are_repeatable(spark):
     for order in ([(67, 2, t), (67, 4, t), (67, 3, t)], [(67, 4, t), (67, 3, t), (67, 2, t)]):
         changes = spark.createDataFrame(order, "tag_id LONG, state INT, changed_at TIMESTAMP").repartition(3)
         assert C.apply_state_changes(models, changes).first()["state"] == 4
+
+
+def test_path_without_level_1_is_an_error(spark):
+    import pytest
+
+    from tagweave.operators.catalog_ops import upsert_paths
+    from tagweave.schemas import TAG_CATALOG
+    paths = spark.createDataFrame([("a", "b"), (None, "c")], "l1 STRING, l2 STRING")
+    with pytest.raises(ValueError, match="no l1"):
+        upsert_paths(spark.createDataFrame([], TAG_CATALOG), paths, ["l1", "l2"])[1].collect()

@@ -10,6 +10,7 @@ def test_contract(spark):
 
 def test_every_query_has_an_oracle_and_an_allowed_name():
     import re
-    q, o = E.queries(), E.oracle_sql()
-    assert set(q) == set(o)
-    assert not [k for k in q if "pipeline" in k or re.match(r"op\d+_", k)]
+
+    from tagweave.plans.queries import ORACLE, QUERIES
+    assert set(QUERIES) == set(ORACLE) and set(QUERIES) <= set(E.queries())
+    assert not [k for k in QUERIES if "pipeline" in k or re.match(r"op\d+_", k)]

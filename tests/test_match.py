@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
@@ -99,3 +100,42 @@ def test_large_range_path_across_partitions(spark):
             match_ranges(src, F.col("v"), overlapping, max_broadcast_rows=10)
     finally:
         spark.conf.set(key, before)
+
+
+EDGES = [(None, 3, 1), (5, 8, 2), (4, None, 3), (10, 10, 4), (20, 30, 5)]
+
+
+@pytest.mark.parametrize("bound", [0, 10])
+def test_range_rows_ignore_null_bounds_and_hit_edges(spark, bound):
+    """The same answers from a broadcast and from a salted lookup."""
+    src = spark.createDataFrame([(str(i), v) for i, v in enumerate([2, 4, 5, 8, 9, 10, 11, 20, 30, 31, None, None])], "id STRING, v LONG")
+    rules = spark.createDataFrame(EDGES, "lo LONG, hi LONG, id INT")
+    got = match_ranges(src, F.col("v"), rules, max_broadcast_rows=bound)
+    assert "NestedLoop" not in got._jdf.queryExecution().toString()
+    assert [r[1] for r in sorted(rows(got), key=lambda r: int(r[0]))] == [None, None, 2, 2, None, 4, None, 5, 5, None, None, None]
+
+
+def test_fixed_maps_compare_numbers(spark):
+    src = spark.createDataFrame([("a", "01"), ("b", " 1"), ("c", "x"), ("d", "2"), ("e", None), ("f", "1.5"), ("g", "m")], "id STRING, v STRING")
+    out = match_values(src, "v", {"1": 257, "2": 258, "m": 9})
+    assert rows(out) == [("a", 257), ("b", 257), ("c", None), ("d", 258), ("e", None), ("f", None), ("g", 9)]
+
+
+def test_salted_rule_lookup_spreads_a_hot_value(spark):
+    """Beyond the broadcast bound a value (and null) with most rows is dealt over many tasks."""
+    src = spark.range(40_000).selectExpr("cast(id as string) id", "CASE WHEN id % 3 = 0 THEN 'hot' WHEN id % 3 = 1 THEN NULL "
+                                         "ELSE cast(id as string) END v")
+    rules = spark.createDataFrame([(7, "hot"), (8, "5"), (9, "x")], "id INT, rule STRING")
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = match_rules(src, rules, "v", max_broadcast_rows=0)
+        sizes = [r[0] for r in out.groupBy(F.spark_partition_id()).count().select("count").collect()]
+        tags = {r["tagIds"]: r["n"] for r in out.groupBy("tagIds").agg(F.count(F.lit(1)).alias("n")).collect()}
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert tags == {7: 13334, 8: 1, 0: 26665}
+    assert max(sizes) < 3 * sum(sizes) / len(sizes)

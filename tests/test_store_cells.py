@@ -76,7 +76,7 @@ def test_store_spec_from_options(spark):
     spec = StoreSpec.from_options({"hbaseTable": base, "rowKey": "userId", "selectFields": "userId,tagIds"})
     assert spec.key == "userId" and spec.fields == ("tagIds",)
     store = spec.open(spark)
-    new = spark.createDataFrame([("1", "65", "x"), (None, "66", "y")], "userId STRING, tagIds STRING, extra STRING")
+    new = spark.createDataFrame([("1", "65", "x")], "userId STRING, tagIds STRING, extra STRING")
     store.upsert(new)
     assert store.read().columns == ["userId", "tagIds"]
     assert rows(store.read()) == [("1", "65")]
@@ -106,6 +106,70 @@ def test_failed_attempt_leaves_nothing_published_and_retry_works(spark):
     assert rows(store.read()) == [("1", "65"), ("2", "66")]
 
 
+def test_null_keys_are_an_error(spark):
+    from pyspark.errors import SparkRuntimeException
+
+    from tagweave.operators.merge import merge_with_history
+    store = TagStore(spark, tempfile.mkdtemp(prefix="tagweave-null-", dir="/tmp"))
+    new = spark.createDataFrame([("1", "65"), (None, "66")], "userId STRING, tagIds STRING")
+    with pytest.raises(SparkRuntimeException, match="null key"):
+        store.upsert(new)
+    with pytest.raises(SparkRuntimeException, match="null key"):
+        merge_with_history(new, new.where("userId = '1'"), join="left").collect()
+    assert store.latest_version() is None
+
+
+def test_repeated_keys_stay_one_row(spark):
+    store = TagStore(spark, tempfile.mkdtemp(prefix="tagweave-repeat-", dir="/tmp"))
+    new = spark.createDataFrame([("1", "65", 2, None), ("1", "66", 1, "a"), ("1", None, 3, "b"), ("2", "9", 1, None)],
+                                "userId STRING, tagIds STRING, at INT, note STRING")
+    for _ in range(4):
+        store.upsert(new, fields=["tagIds", "note"], order=F.col("at"))
+        # each cell: the non-null value of the latest row
+        assert rows(store.read()) == [("1", "65", "b"), ("2", "9", None)]
+    store.upsert(new.select("userId", "tagIds"))
+    assert rows(store.read(), "userId", "tagIds") == [("1", "66"), ("2", "9")]
+
+
+@pytest.mark.parametrize("slow_first", [False, True])
+def test_one_of_two_writers_publishes_whatever_the_clocks_say(spark, slow_first, monkeypatch):
+    """Both writers passed their checks; the order of their publishing decides alone."""
+    import datetime as dt
+
+    from tagweave.sources import store as S
+    base = tempfile.mkdtemp(prefix="tagweave-clock-", dir="/tmp")
+    store = TagStore(spark, base)
+    store.commit(spark.createDataFrame([("1", "65")], "userId STRING, tagIds STRING"), None)
+
+    class Blind(TagStore):
+        def latest_version(self):
+            return 1
+
+    hour = 12 if slow_first else 6
+
+    class Clock(dt.datetime):
+        @classmethod
+        def now(cls, tz=None):
+            nonlocal hour
+            hour = 18 - hour  # the second writer's clock is hours behind, or ahead
+            return dt.datetime(2020, 1, 1, hour, tzinfo=tz)
+
+    monkeypatch.setattr(S._dt, "datetime", Clock)
+    assert Blind(spark, base).commit(spark.createDataFrame([("1", "70")], "userId STRING, tagIds STRING"), 1) == 2
+    with pytest.raises(ConcurrentUpdateError):
+        Blind(spark, base).commit(spark.createDataFrame([("1", "99")], "userId STRING, tagIds STRING"), 1)
+    assert store.latest_version() == 2 and rows(store.read()) == [("1", "70")]
+    assert store.versions().count() == 2
+
+
+def test_first_bucketed_commit_writes_one_file_per_bucket(spark):
+    import glob
+    base = tempfile.mkdtemp(prefix="tagweave-files-", dir="/tmp")
+    store = TagStore(spark, base, buckets=12)
+    store.commit(spark.range(500).selectExpr("cast(id as string) userId", "'65' tagIds").repartition(4), None)
+    assert len(glob.glob(f"{base}/snapshots/*/*.parquet")) <= 12
+
+
 def test_lost_race_is_reported(spark):
     base = tempfile.mkdtemp(prefix="tagweave-race-", dir="/tmp")
     store = TagStore(spark, base)

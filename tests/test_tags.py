@@ -63,3 +63,12 @@ def test_sql_form_of_merge(spark):
     sql = merge_with_history_sql(spark, new, old)
     api = merge_with_history(new, old, join="left", order="old_first", blank="blank")
     assert rows(sql) == rows(api) == [("1", "34,43"), ("2", "65"), ("3", None)]
+
+
+def test_unicode_blanks_are_blank(spark):
+    from tagweave.functions.tags import merge_tags, register_sql_functions
+    register_sql_functions(spark)
+    df = spark.createDataFrame([("\u3000", "65"), ("\t\u2003 ", "65"), ("\u001f", "65"), ("1", "\u3000")], "a STRING, b STRING")
+    want = ["65", "65", "65", "1"]
+    assert [r[0] for r in df.select(merge_tags("a", "b")).collect()] == want
+    assert [r[0] for r in df.selectExpr("merge_tags(a, b)").collect()] == want
