@@ -131,7 +131,8 @@ def _leaves(sets: DataFrame, n_runs: int) -> DataFrame:
     found = None
     for level in range(DEPTH):
         rows = rows.withColumn("leaf", F.get("path", F.lit(level)))
-        full = rows.groupBy("leaf").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+        # written first, so the join below has two plain exchanges and a hot leaf can be split
+        full = stored(rows.groupBy("leaf").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), f"join-full{level}")
         rows = stored(rows.join(full, "leaf").select("set", "path", "leaf", "size"), f"join-level{level}")
         last = level == DEPTH - 1
         done = rows.select("set", "leaf", "size") if last else rows.where(F.col("size") <= LEAF).select("set", "leaf", "size")
@@ -285,11 +286,15 @@ def _classes(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     rows = own.select("set", "th", "copies", "sketch", F.col("at.leaf").alias("leaves"), F.explode("at").alias("x")) \
         .select("set", "th", "copies", "sketch", "leaves", "x.leaf", "x.size")
     blocks = _blocks(rows).select("leaf", "i", "j", "own", "set", "th", "copies", "sketch", "leaves")
-    near = stored(blocks.groupBy("leaf", "i", "j").applyInArrow(_candidates, blocks.schema), "join-candidates")
+    # few bytes but much comparing: as many tasks as the session asks for, not coalesced by size
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    group = ["leaf", "i", "j"]
+    near = stored(blocks.repartition(tasks, *group).groupBy(*group).applyInArrow(_candidates, blocks.schema),
+                  "join-candidates")
     # one text per set that has a candidate; copies are dropped before the exchange
     texts = docs.select(F.xxhash64(text).alias("th"), text.alias("text")).groupBy("th").agg(F.first("text").alias("text"))
     checked = near.join(texts, "th")
-    links = stored(checked.groupBy("leaf", "i", "j").applyInArrow(_verify, "set long, links long, root long"), "join-links")
+    links = stored(checked.repartition(tasks, *group).groupBy(*group).applyInArrow(_verify, "set long, links long, root long"), "join-links")
     parts = components(links.select(F.col("set").alias("u"), F.col("root").alias("v")))
     info = sets.select("set", "copy_id", "copies") \
         .join(links.groupBy("set").agg(F.sum("links").alias("links")), "set", "left") \
