@@ -5,12 +5,13 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tagweave.llm import (decontaminate, jaccard_join, katz, mixing, page_diff, quality_rules, sharding, site_quality,
-                          token_output, url_filter)
+from tagweave.llm import (decontaminate, jaccard_join, katz, mixing, oracles, page_diff, quality_rules, sharding,
+                          site_quality, token_output, url_filter)
 from tagweave.llm.common import scratch
 
 QUERIES: dict = {}
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op3_jaccard_join": oracles.JACCARD, "op5_decontaminate": oracles.LEAKS,
+                          "op6_quality_rules": oracles.QUALITY}
 
 
 def query(fn):
@@ -50,7 +51,8 @@ def op4_site_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The items of ``benchmark`` that each of all ``documents`` holds (see decontaminate)."""
-    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")) \
+        .select("doc_id", "item_id")
 
 
 @query
