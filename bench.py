@@ -40,7 +40,7 @@ from tagweave.sources.store import TagStore  # noqa: E402
 # lineitem-sized users, two end-to-end tagging jobs and two catalog jobs.
 HEADLINE = ["match_lookup", "merge_left", "cells_latest", "store_upsert",
             "match_lookup_lineitem", "merge_left_lineitem", "upsert_merge_lineitem",
-            "tagging_job", "tagging_age", "path_upsert", "model_state"]
+            "tagging_job", "tagging_age", "path_upsert", "model_state", "match_age_range_join", "upsert_repeated_keys"]
 
 
 def _timed(fn, runs):

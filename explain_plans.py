@@ -39,7 +39,7 @@ def _plan_text(df) -> str:
         df.explain(mode="simple")
     text = re.sub(r"inline\(\[\[.*?\]\]\)", "inline(<literal catalog rows>)", buf.getvalue())
     text = re.sub(r"file:[^\]]*/(\w+\.parquet)", r"\1", text)
-    return "\n".join(line[:200] for line in text.splitlines())
+    return text
 
 
 def _cobucketed_section(spark, sf_dir):
