@@ -82,8 +82,8 @@ def _key_item(c: int, e: Column, n: Column) -> Column:
     return F.struct(F.lit(c).alias("c"), e.cast("bigint").alias("e"), n.cast("string").alias("n"))
 
 
-def upsert_paths(catalog: DataFrame, paths: DataFrame, levels: list[str],
-                 now: datetime | None = None) -> tuple[DataFrame, DataFrame]:
+def upsert_paths(catalog: DataFrame, paths: DataFrame, levels: list[str], now: datetime | None = None,
+                 rules: list[str | None] | None = None) -> tuple[DataFrame, DataFrame]:
     """Insert the category paths that are not in the catalog yet.
 
     ``paths`` has one column per level, named by ``levels`` (level 1 first); a null
@@ -104,12 +104,19 @@ def upsert_paths(catalog: DataFrame, paths: DataFrame, levels: list[str],
     ``-1``).  New ids are above the current maximum, so no existing tag can sit under a
     new one.
 
+    ``rules`` names per level the column that holds the rule of an inserted node (the
+    highest one if its paths differ), or None.
+
     Returns ``(catalog_after, inserted)``.
     """
     cols = list(levels)
+    rules = list(rules or [None] * len(cols))
     # one timestamp for the whole run, so re-evaluating a lazy result gives the same rows
     now = now or datetime.now()
-    distinct_paths = paths.select(*[F.col(c).cast("string").alias(c) for c in cols])
+    rule_of = [f"_rule{k}" for k in range(len(cols))]
+    distinct_paths = paths.select(
+        *[F.col(c).cast("string").alias(c) for c in cols],
+        *[(F.col(r) if r else F.lit(None)).cast("string").alias(n) for r, n in zip(rules, rule_of)])
     if len(cols) > 1:  # such a path would be lost whole
         headless = F.col(cols[0]).isNull() & F.coalesce(*cols[1:]).isNotNull()
         if not distinct_paths.where(headless).isEmpty():
@@ -120,9 +127,10 @@ def upsert_paths(catalog: DataFrame, paths: DataFrame, levels: list[str],
     new_parts = []
     for depth, col in enumerate(cols, start=1):
         prefix = cols[:depth]
-        nodes = (distinct_paths.where(F.col(col).isNotNull()).select(*prefix).distinct())
+        nodes = distinct_paths.where(F.col(col).isNotNull()).groupBy(*prefix) \
+            .agg(F.max(rule_of[depth - 1]).alias("_rule"))
         if previous is None:
-            nodes = nodes.select(*prefix, F.lit(-1).cast("long").alias("_parent_id"),
+            nodes = nodes.select(*prefix, "_rule", F.lit(-1).cast("long").alias("_parent_id"),
                                  no_key.alias("_parent_key"))
         else:
             parent = previous.select(*cols[:depth - 1], F.col("_id").alias("_parent_id"),
@@ -138,12 +146,12 @@ def upsert_paths(catalog: DataFrame, paths: DataFrame, levels: list[str],
                      F.concat(F.array(_key_item(0, F.col("_parent_id"), F.lit(""))), name_item)) \
             .otherwise(F.concat(F.array(_key_item(1, F.lit(0), F.lit(""))), F.col("_parent_key"), name_item))
         previous = nodes.select(*prefix, F.col("_eid").alias("_id"),
-                                F.when(F.col("_eid").isNull(), key).alias("_key"), "_parent_id")
+                                F.when(F.col("_eid").isNull(), key).alias("_key"), "_parent_id", "_rule")
         new_parts.append(previous.where(F.col("_id").isNull()).select(
             F.lit(depth).alias("level"), F.col(col).alias("name"),
             F.array(*[F.col(c) for c in prefix]).alias("_path"),
             F.array(*[F.col(c) for c in cols[:depth - 1]]).cast("array<string>").alias("_parent_path"),
-            "_parent_id", "_key"))
+            "_parent_id", "_key", "_rule"))
     new_nodes = new_parts[0]
     for part in new_parts[1:]:
         new_nodes = new_nodes.unionByName(part)
@@ -152,7 +160,7 @@ def upsert_paths(catalog: DataFrame, paths: DataFrame, levels: list[str],
     linked = numbered.join(parents, numbered["_parent_path"] == parents["_pp"], "left")
     inserted = prepare_tags(linked.select(
         "id", F.coalesce(F.col("_parent_id"), F.col("_new_pid")).alias("pid"), "level", "name",
-        F.lit(None).cast("string").alias("rule")), now)
+        F.col("_rule").alias("rule")), now)
     return catalog.unionByName(inserted), inserted
 
 

@@ -199,7 +199,7 @@ def q_model_state(spark, d):
 def q_path_upsert(spark, d):
     """Category paths of all customers into a catalog that holds two of the regions."""
     _, inserted = C.upsert_paths(T.part_catalog(spark, d), T.customer_paths(spark, d),
-                                 ["level1", "level2", "level3"], now=T.NOW)
+                                 ["level1", "level2", "level3"], now=T.NOW, rules=[None, None, "level3"])
     return inserted.select(*C.TAG_VIEW, F.col("ctime").cast("string").alias("ctime"),
                            F.col("utime").cast("string").alias("utime"))
 
@@ -560,7 +560,7 @@ ORACLE: dict[str, str] = {
         "i3 AS (SELECT (SELECT max(id) FROM (SELECT id FROM base UNION ALL SELECT id FROM i1 UNION ALL "
         "SELECT id FROM i2)) + row_number() OVER (ORDER BY pid, name) AS id, pid, 3 AS level, name FROM m3) "
         "SELECT CAST(id AS BIGINT) AS id, CAST(pid AS BIGINT) AS pid, CAST(level AS INTEGER) AS level, name, "
-        "CAST(NULL AS VARCHAR) AS rule, "
+        "CASE WHEN level = 3 THEN name END AS rule, "
         f"'{T.NOW}' AS ctime, '{T.NOW}' AS utime "
         "FROM (SELECT * FROM i1 UNION ALL SELECT * FROM i2 UNION ALL SELECT * FROM i3)"),
     "add_value_tag": (

@@ -38,15 +38,14 @@ def read_cells(cells: DataFrame, family: str, select_fields: str | Sequence[str]
 
     ``rowkey_as`` names a column that takes the row key itself (it wins over a cell of
     the same name).  ``order_by`` decides the latest version (default ``(ts, value)``,
-    so equal timestamps resolve the same way every run).  ``only_rows_with_cells=True``
-    pushes ``family`` / ``qualifier`` filters into the scan and returns only row keys
-    that have at least one selected cell; the default keeps every row key.
+    so equal timestamps resolve the same way every run).  The values come from a scan
+    into which the ``family`` / ``qualifier`` filters are pushed.  By default every row
+    key is kept: a second scan reads the row keys alone.  ``only_rows_with_cells=True``
+    leaves that scan out and returns only row keys that have at least one selected cell.
     """
     fields = parse_fields(select_fields)
     order = order_by if order_by is not None else F.struct(F.col("ts"), F.col("value"))
-    c = cells
-    if only_rows_with_cells:
-        c = c.where((F.col("family") == F.lit(family)) & F.col("qualifier").isin(fields))
+    c = cells.where((F.col("family") == F.lit(family)) & F.col("qualifier").isin(fields))
     c = c.select("rowkey", "family", "qualifier", F.col("value").cast("string").alias("value"),
                  order.alias("_order"))
     aggs = []
@@ -56,9 +55,11 @@ def read_cells(cells: DataFrame, family: str, select_fields: str | Sequence[str]
         hit = (F.col("family") == F.lit(family)) & (F.col("qualifier") == F.lit(f))
         aggs.append(F.max_by(F.when(hit, F.col("value")), F.when(hit, F.col("_order"))).alias(f))
     if not aggs:
-        wide = c.select("rowkey").distinct()
+        wide = (c if only_rows_with_cells else cells).select("rowkey").distinct()
     else:
         wide = c.groupBy("rowkey").agg(*aggs)
+        if not only_rows_with_cells:
+            wide = cells.select("rowkey").distinct().join(wide, "rowkey", "left")
     out = []
     for f in fields:
         out.append(F.col("rowkey").alias(f) if f == rowkey_as else F.col(f).cast("string"))
