@@ -6,7 +6,7 @@ from collections import Counter
 import pyarrow as pa
 
 from tagweave.llm import decontaminate as D
-from tests_llm_rows import SCHEMA, doc_rows, prose
+from tests_llm_rows import SCHEMA, doc_rows, docs, no_docs, prose  # noqa: F401
 
 ITEMS = "item_id long, text string, doc_id long"
 

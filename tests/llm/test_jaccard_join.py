@@ -2,7 +2,7 @@ import random
 from collections import Counter
 
 from tagweave.llm import jaccard_join as J
-from tests_llm_rows import SCHEMA, doc_rows, prose, words
+from tests_llm_rows import SCHEMA, doc_rows, docs, no_docs, prose, words  # noqa: F401
 
 
 def brute(rows):

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tagweave.llm import katz as Z
-from tests_llm_rows import SCHEMA, doc_rows, prose
+from tests_llm_rows import SCHEMA, doc_rows, docs, no_docs, prose  # noqa: F401
 
 
 def tokens(text):

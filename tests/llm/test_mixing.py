@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from tagweave.llm import mixing
-from tests_llm_rows import doc_rows, words
+from tests_llm_rows import doc_rows, docs, no_docs, words  # noqa: F401
 
 
 def test_fit_is_exact_on_small_sets():

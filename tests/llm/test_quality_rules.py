@@ -5,7 +5,7 @@ import pyarrow as pa
 import pytest
 
 from tagweave.llm import quality_rules as Q
-from tests_llm_rows import doc_rows, words
+from tests_llm_rows import doc_rows, docs, no_docs, words  # noqa: F401
 
 
 def counts(text):

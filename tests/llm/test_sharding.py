@@ -3,7 +3,7 @@ import zlib
 from collections import Counter
 
 from tagweave.llm import sharding
-from tests_llm_rows import doc_rows
+from tests_llm_rows import doc_rows, docs, no_docs  # noqa: F401
 
 
 def test_matrix_has_exact_margins():

@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 
 from tagweave.llm import site_quality as S
-from tests_llm_rows import SCHEMA, doc_rows, prose
+from tests_llm_rows import SCHEMA, doc_rows, docs, no_docs, prose  # noqa: F401
 
 LABELS = "doc_id long, quality int, text string"
 

@@ -8,7 +8,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from tagweave.llm import token_output as T
-from tests_llm_rows import SCHEMA, doc_rows
+from tests_llm_rows import SCHEMA, doc_rows, docs, no_docs  # noqa: F401
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 

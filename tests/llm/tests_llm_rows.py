@@ -1,8 +1,12 @@
-"""Small frames with every awkward case: nulls, empty and long texts, ties, repeated rows, clashing names."""
+"""Rows and fixtures of the tests in this folder (imported by name: a second conftest would hide the first).
+
+Small frames with every awkward case: nulls, empty and long texts, ties, repeated rows, clashing names."""
 
 import random
 import re
 
+import pytest
+
 WORDS = "the of and to in that is for with was stone river lamp paper green cloud north window table seven".split()
 
 
@@ -37,3 +41,13 @@ def doc_rows(seed=1, n=60):
 
 
 SCHEMA = "doc_id long, text string, lang string, source string, size long"  # ``size`` clashes with an added name
+
+
+@pytest.fixture(scope="session")
+def docs(spark):
+    return spark.createDataFrame(doc_rows(), SCHEMA).repartition(3).cache()
+
+
+@pytest.fixture(scope="session")
+def no_docs(spark):
+    return spark.createDataFrame([], SCHEMA)
