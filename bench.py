@@ -86,7 +86,7 @@ def main():
         results[label] = round(_timed(rerun, runs), 3)
     # a full tagging run (job model) over order-line users read from cells: cells and store in plain
     # folders vs both bucketed by the user key (then the run moves no large data)
-    cells = to_cells(line_users(spark, sf_dir), "id", "detail", ts=F.lit(CELL_TIME).cast("timestamp"),
+    cells = to_cells(line_users(spark, sf_dir), "id", "base", ts=F.lit(CELL_TIME).cast("timestamp"),
                      fields=["id", "job"])
     catalog = base_catalog(spark, sf_dir)
     for label, buckets in (("tagging_lineitem_plain", None), ("tagging_lineitem_bucketed", shuffle_parts)):

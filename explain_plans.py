@@ -61,7 +61,7 @@ def _cobucketed_section(spark, sf_dir):
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     root = tempfile.mkdtemp(prefix="tagweave-plans-", dir="/tmp")
     name = f"plan_cells_{uuid.uuid4().hex}"
-    to_cells(T.line_users(spark, sf_dir), "id", "detail", ts=F.lit(T.CELL_TIME).cast("timestamp"),
+    to_cells(T.line_users(spark, sf_dir), "id", "base", ts=F.lit(T.CELL_TIME).cast("timestamp"),
              fields=["id", "job"]).write.bucketBy(n, "rowkey").option("path", f"{root}/cells").saveAsTable(name)
     store = TagStore(spark, f"{root}/store", buckets=n)
     store.commit(T.line_history(spark, sf_dir), None)

@@ -1,7 +1,7 @@
 """Run one tag model as a batch job.
 
     python -m tagweave run --model job --catalog /data/tbl_basic_tag \\
-        --store /shared/tags --table tbl_users=/data/user_cells
+        --store /shared/tags --table crm_people=/data/user_cells
 
 (on a cluster: ``spark-submit --py-files tagweave.zip tagweave/__main__.py run ...``)
 

@@ -105,7 +105,7 @@ def q_cells_latest(spark, d):
 
 def q_user_cells(spark, d):
     """The users read back from their cell table (the wide-column source scan)."""
-    return read_cells(T.user_cells(spark, d), "detail", T.USER_FIELDS, rowkey_as="id")
+    return read_cells(T.user_cells(spark, d), "base", T.USER_FIELDS, rowkey_as="id")
 
 
 def q_store_upsert(spark, d):
@@ -120,7 +120,7 @@ def q_store_replace(spark, d):
 
 def _customer_rules(spark, d):
     c = T.table(spark, d, "customer")
-    rule = F.concat(F.lit("inType=HBase##hbaseTable=tbl_users##family=detail##selectFields=id,"),
+    rule = F.concat(F.lit("inType=HBase##hbaseTable=crm_people##family=base##selectFields=id,"),
                     F.lower("c_mktsegment"), F.lit("####rowKey=id##note="), F.col("c_name"),
                     F.lit("=x##family="), F.col("c_mktsegment"), F.lit("##flag##"))
     return c.select(F.col("c_custkey").alias("id"), rule.alias("rule"))
@@ -481,7 +481,7 @@ PARSE_RULES_SQL = (
     "ORDER BY pos DESC) AS rn FROM kv) WHERE rn = 1)"
 )
 CUSTOMER_RULES_SQL = (
-    "crules AS (SELECT c_custkey AS id, 'inType=HBase##hbaseTable=tbl_users##family=detail##selectFields=id,' "
+    "crules AS (SELECT c_custkey AS id, 'inType=HBase##hbaseTable=crm_people##family=base##selectFields=id,' "
     "|| lower(c_mktsegment) || '####rowKey=id##note=' || c_name || '=x##family=' || c_mktsegment || "
     "'##flag##' AS rule FROM customer), " + PARSE_RULES_SQL
 )

@@ -30,7 +30,7 @@ from tagweave.sources.cells import to_cells
 CATALOG_TIME = dt.datetime(2019, 9, 24, 6, 15)
 NOW = dt.datetime(2019, 9, 30, 6, 15)
 PROFILE_NODE = 40  # level-3 node holding the model tags
-USERS_TABLE = "tbl_users"
+USERS_TABLE = "crm_people"
 CELL_TIME = dt.datetime(2019, 9, 1)
 HISTORY_TAGS = ["", "65", "62,65", None, "  ", "67,70", "\u3000"]  # by row count mod 7
 BIRTHDAY_BASE = "1955-01-01"
@@ -40,7 +40,7 @@ USER_FIELDS = "id,job,job_code,gender,nationality,is_blackList,birthday"
 
 def _rule(fields: str) -> str:
     return format_rule([("inType", "HBase"), ("zkHosts", "zk-1"), ("zkPort", "2181"),
-                        ("hbaseTable", USERS_TABLE), ("family", "detail"),
+                        ("hbaseTable", USERS_TABLE), ("family", "base"),
                         ("selectFields", fields), ("rowKey", "id")])
 
 
@@ -147,8 +147,8 @@ def line_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def user_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``users`` stored as cells of family ``detail`` (the wide-column source table)."""
-    return to_cells(users(spark, sf_dir), "id", "detail",
+    """``users`` stored as cells of family ``base`` (the wide-column source table)."""
+    return to_cells(users(spark, sf_dir), "id", "base",
                     ts=F.lit(CELL_TIME).cast("timestamp"), fields=USER_FIELDS.split(","))
 
 

@@ -17,8 +17,8 @@ def test_reader_by_in_type(spark, tmp_path):
     users.createOrReplaceTempView("users_view")
     out = load_source(spark, {"inType": "table", "hbaseTable": "users_view", "selectFields": "job"})
     assert rows(out) == [("3",), ("5",)]
-    cells = to_cells(users, "id", "detail", ts=F.lit(dt.datetime(2020, 1, 1)))
-    out = load_source(spark, {"inType": "HBase", "hbaseTable": "t", "family": "detail",
+    cells = to_cells(users, "id", "base", ts=F.lit(dt.datetime(2020, 1, 1)))
+    out = load_source(spark, {"inType": "HBase", "hbaseTable": "t", "family": "base",
                               "selectFields": "id,job", "rowKey": "id"}, {"t": cells})
     assert rows(out) == [("1", "3"), ("2", "5")]
 

@@ -1,7 +1,7 @@
 from tagweave.functions.rules import format_rule, parse_rule, source_spec
 from tagweave.schemas import SOURCE_KEYS
 
-RULE = "inType=HBase##zkHosts=zk-host-1##zkPort=2181##hbaseTable=tbl_users##family=detail##selectFields=id,gender"
+RULE = "inType=cells##zkHosts=node-a,node-b##zkPort=4180##hbaseTable=/data/crm/cells##family=base##selectFields=id,segment"
 
 
 def _parse(spark, text):
@@ -11,8 +11,8 @@ def _parse(spark, text):
 
 def test_golden_rule_string(spark):
     m = _parse(spark, RULE)
-    assert m == {"inType": "HBase", "zkHosts": "zk-host-1", "zkPort": "2181",
-                 "hbaseTable": "tbl_users", "family": "detail", "selectFields": "id,gender"}
+    assert m == {"inType": "cells", "zkHosts": "node-a,node-b", "zkPort": "4180",
+                 "hbaseTable": "/data/crm/cells", "family": "base", "selectFields": "id,segment"}
 
 
 def test_missing_key_defaults(spark):
@@ -21,7 +21,7 @@ def test_missing_key_defaults(spark):
     model = df.select(source_spec(parse_rule("rule"), None).alias("s")).first()["s"].asDict()
     assert list(legacy) == list(SOURCE_KEYS)
     assert legacy["rowKey"] == "" and model["rowKey"] is None
-    assert legacy["family"] == "detail"
+    assert legacy["family"] == "base"
 
 
 def test_edge_cases(spark):

@@ -7,7 +7,7 @@ from tagweave.plans import testbed as T
 from tagweave.plans.runner import STORE_SCHEMA, plan, run
 from tagweave.sources.store import TagStore
 
-RULE = "inType=cells##hbaseTable=users##family=detail##selectFields=id,job##rowKey=id"
+RULE = "inType=cells##hbaseTable=users##family=base##selectFields=id,job##rowKey=id"
 
 
 def _setup(spark):
@@ -19,7 +19,7 @@ def _setup(spark):
     from pyspark.sql import functions as F
     from tagweave.sources.cells import to_cells
     import datetime as dt
-    cells = to_cells(users, "id", "detail", ts=F.lit(dt.datetime(2020, 1, 1)))
+    cells = to_cells(users, "id", "base", ts=F.lit(dt.datetime(2020, 1, 1)))
     return cat, {"users": cells}
 
 
@@ -112,7 +112,7 @@ def test_bucketed_cells_and_store_run_without_big_shuffles(spark):
         users = spark.range(0, 2000).select(F.col("id").cast("string").alias("id"),
                                             (F.col("id") % 7).cast("string").alias("job"))
         name = "cells_" + uuid.uuid4().hex
-        to_cells(users, "id", "detail", ts=F.lit(dt.datetime(2020, 1, 1))).write.bucketBy(n, "rowkey") \
+        to_cells(users, "id", "base", ts=F.lit(dt.datetime(2020, 1, 1))).write.bucketBy(n, "rowkey") \
             .option("path", f"{root}/cells").saveAsTable(name)
         cat, _ = _setup(spark)
         store = TagStore(spark, f"{root}/store", buckets=n)

@@ -18,23 +18,23 @@ def test_schema_from_fields():
 def _cells(spark):
     t1, t2 = dt.datetime(2020, 1, 1), dt.datetime(2020, 1, 2)
     return spark.createDataFrame([
-        ("u1", "detail", "job", "3", t1), ("u1", "detail", "job", "5", t2), ("u1", "detail", "gender", "1", t1),
-        ("u2", "detail", "gender", "2", t1), ("u3", "other", "x", "9", t1), ("u4", "detail", "job", None, t2),
-        ("u4", "detail", "job", "4", t1)], "rowkey STRING, family STRING, qualifier STRING, value STRING, ts TIMESTAMP")
+        ("u1", "base", "job", "3", t1), ("u1", "base", "job", "5", t2), ("u1", "base", "gender", "1", t1),
+        ("u2", "base", "gender", "2", t1), ("u3", "other", "x", "9", t1), ("u4", "base", "job", None, t2),
+        ("u4", "base", "job", "4", t1)], "rowkey STRING, family STRING, qualifier STRING, value STRING, ts TIMESTAMP")
 
 
 def test_cells_latest_and_every_rowkey(spark):
-    out = read_cells(_cells(spark), "detail", "id,job", rowkey_as="id")
+    out = read_cells(_cells(spark), "base", "id,job", rowkey_as="id")
     assert out.columns == ["id", "job"]
     assert rows(out) == [("u1", "5"), ("u2", None), ("u3", None), ("u4", None)]
-    only = read_cells(_cells(spark), "detail", "id,job", rowkey_as="id", only_rows_with_cells=True)
+    only = read_cells(_cells(spark), "base", "id,job", rowkey_as="id", only_rows_with_cells=True)
     assert rows(only) == [("u1", "5"), ("u4", None)]
 
 
 def test_cells_pushdown(spark, tmp_path):
     path = str(tmp_path / "cells")
     _cells(spark).write.parquet(path)
-    out = read_cells(spark.read.parquet(path), "detail", ["job"], rowkey_as="id", only_rows_with_cells=True)
+    out = read_cells(spark.read.parquet(path), "base", ["job"], rowkey_as="id", only_rows_with_cells=True)
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters" in plan and "family" in plan
 

@@ -8,7 +8,7 @@ from tagweave.schemas import CELLS, TAG_CATALOG
 from tagweave.sources.store import TagStore
 from tagweave.streaming import scheduled
 
-RULE = "inType=cells##hbaseTable=users##family=detail##selectFields=id,job##rowKey=id"
+RULE = "inType=cells##hbaseTable=users##family=base##selectFields=id,job##rowKey=id"
 
 
 import pytest
@@ -21,10 +21,10 @@ def test_stream_batches_equal_full_run(spark, bucketed):
     cat = spark.createDataFrame([(64, 3, 4, "job", RULE, None, None)] + [
         (64 + i, 64, 5, f"v{i}", str(i), None, None) for i in range(1, 7)], TAG_CATALOG)
     t1, t2 = dt.datetime(2020, 1, 1), dt.datetime(2020, 1, 2)
-    first = spark.createDataFrame([("1", "detail", "job", "3", t1), ("2", "detail", "job", "5", t1),
-                                   ("3", "detail", "gender", "1", t1)], CELLS)
-    second = spark.createDataFrame([("1", "detail", "job", "1", t2), ("3", "detail", "gender", "2", t2),
-                                    ("4", "detail", "job", "2", t2)], CELLS)
+    first = spark.createDataFrame([("1", "base", "job", "3", t1), ("2", "base", "job", "5", t1),
+                                   ("3", "base", "gender", "1", t1)], CELLS)
+    second = spark.createDataFrame([("1", "base", "job", "1", t2), ("3", "base", "gender", "2", t2),
+                                    ("4", "base", "job", "2", t2)], CELLS)
     model = M.TagModel("job", 64, M.rule_match("job"), merge="left", order="old_first")
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions")) if bucketed else None
     store = TagStore(spark, f"{root}/store", buckets=buckets)
