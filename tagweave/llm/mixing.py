@@ -124,7 +124,7 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, max_repeat: float
     lengths = narrow.groupBy("source", "size").agg(F.count(F.lit(1)).alias("n"))
     per_source = targets(lengths.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size")),
                          weights, max_repeat)
-    whole = F.floor(F.col("target") / F.col("source_size"))
+    whole = F.floor(F.try_divide("target", "source_size"))  # null for a source of empty texts only
     per_source = per_source.withColumn("whole", F.coalesce(whole, F.lit(0)).cast("long")).withColumn(
         "budget", F.floor(F.col("target") - F.col("whole") * F.col("source_size")).cast("long"))
     plan = lengths.join(per_source.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s"))).drop("s")

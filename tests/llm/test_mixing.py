@@ -94,3 +94,12 @@ def test_expand_and_empty(docs, no_docs):
     mixed = mixing.mix(docs)
     assert mixing.expand(mixed, docs.columns).count() == mixed.agg(F.sum("copies")).first()[0]
     assert mixing.mix(no_docs).collect() == []
+
+
+def test_source_of_empty_texts_only(spark):
+    rows = [(1, "a b c", "x"), (2, "a b", "x"), (3, None, "y"), (4, "", "y"), (5, " \t\n", "y"), (6, None, None)]
+    got = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    assert {r["doc_id"]: (r["source_size"], r["target"], r["copies"], r["taken"]) for r in got} == {
+        1: (5, 5.0, 1, 3), 2: (5, 5.0, 1, 2), **{i: (0, 0.0, 0, 0) for i in (3, 4, 5, 6)}}
+    empty = mixing.mix(spark.createDataFrame(rows[2:], "doc_id long, text string, source string")).collect()
+    assert sorted((r["doc_id"], r["copies"], r["taken"]) for r in empty) == [(i, 0, 0) for i in (3, 4, 5, 6)]
