@@ -50,19 +50,35 @@ WORDS_PER_PARTITION = 1 << 20
 TOKENS_PER_PARTITION = 3 << 19
 LEAST_PARTITIONS = 16
 END = np.uint64(0xE5D0F7E5D0F7E5D1)  # the end token's word hash
-START_ID = np.uint64(0xFFFFFFFE)
+START_ID = np.uint64(0)
+FIRST_ID = 1  # of the words
 
 
 def put(values: np.ndarray) -> bytes:
-    """u32 values as compressed byte planes."""
-    raw = np.ascontiguousarray(values, "<u4").view(np.uint8).reshape(-1, 4).T
-    return len(values).to_bytes(4, "little") + pa.compress(np.ascontiguousarray(raw).tobytes(), "zstd", asbytes=True)
+    """Values from 0 as compressed byte planes: 4, or 8 if one needs more."""
+    width = 8 if len(values) and int(values.max()) >> 32 else 4
+    raw = np.ascontiguousarray(values, f"<u{width}").view(np.uint8).reshape(-1, width).T
+    return len(values).to_bytes(4, "little") + bytes([width]) + \
+        pa.compress(np.ascontiguousarray(raw).tobytes(), "zstd", asbytes=True)
 
 
 def take(blob: bytes) -> np.ndarray:
-    n = int.from_bytes(blob[:4], "little")
-    raw = pa.decompress(blob[4:], 4 * n, "zstd", asbytes=True)
-    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(4, n).T).view("<u4").reshape(-1)
+    n, width = int.from_bytes(blob[:4], "little"), blob[4]
+    raw = pa.decompress(blob[5:], width * n, "zstd", asbytes=True)
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(width, n).T).view(f"<u{width}").reshape(-1)
+
+
+def distinct_pairs(id1: np.ndarray, id2: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(first ids, second ids, an index of each, place of every row) of the distinct pairs, ordered."""
+    if not len(id1) or not int(max(id1.max(), id2.max())) >> 32:  # both fit into one key
+        keys, one, which = np.unique((id1 << np.uint64(32)) | id2, return_index=True, return_inverse=True)
+        return keys >> np.uint64(32), keys & np.uint64(0xFFFFFFFF), one, which
+    order = np.lexsort((id2, id1))
+    a, b = id1[order], id2[order]
+    new = np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])])
+    which = np.empty(len(order), np.int64)
+    which[order] = np.cumsum(new) - 1
+    return a[new], b[new], order[new], which
 
 
 def discounts(counts: list[int]) -> np.ndarray:
@@ -147,15 +163,14 @@ class Requests:
         c1 = np.concatenate([[0], c[tokens][:-1]])
         c1[first] = starts
         self.tokens = tokens
-        keys, one, self.which = np.unique((id1 << np.uint64(32)) | id2, return_index=True, return_inverse=True)
+        self.id1, self.id2, one, self.which = distinct_pairs(id1, id2)
         train = np.repeat(~chunk.held, chunk.size)
-        self.n = np.bincount(self.which, weights=train, minlength=len(keys)).astype(np.int64)
-        self.id1, self.id2 = keys >> np.uint64(32), keys & np.uint64(0xFFFFFFFF)
+        self.n = np.bincount(self.which, weights=train, minlength=len(one)).astype(np.int64)
         self.c1, self.c2 = c1[one], c[tokens[one]]
         self.part, ways = _spread(self.id1, self.id2, self.c1, parts, heavy)
         wanted = np.unique(id1[np.repeat(chunk.held, chunk.size)])
         # contexts per partition; a frequent one is asked at each of its partitions
-        change = np.flatnonzero(np.concatenate([[True], self.id1[1:] != self.id1[:-1]])) if len(keys) else np.zeros(0, int)
+        change = np.flatnonzero(np.concatenate([[True], self.id1[1:] != self.id1[:-1]])) if len(one) else np.zeros(0, int)
         contexts, context_ways = self.id1[change], ways[change]
         base = (mix64(contexts + np.uint64(7)) % np.uint64(parts)).astype(np.int64)
         at = np.repeat(base, context_ways) + np.arange(int(context_ways.sum())) - \
@@ -164,7 +179,7 @@ class Requests:
         order = np.lexsort((who, at % parts))
         self.context, self.context_part = who[order], (at % parts)[order]
         self.wanted = np.isin(self.context, wanted)
-        self.order = np.lexsort((keys, self.part))
+        self.order = np.argsort(self.part, kind="stable")  # the pairs are ordered already
 
 
 def _chunks(rows: DataFrame, path: str) -> DataFrame:
@@ -316,26 +331,27 @@ def _bigrams(chunks: DataFrame, unigram: DataFrame, uni: Unigrams, offsets: dict
 
     def answer(table: pa.Table) -> pa.Table:
         rows = sorted(table.to_pylist(), key=lambda r: r["chunk"])
-        keys, n, c2, contexts, wanted = [], [], [], [], []
+        first, second, n, c2, contexts, wanted = [], [], [], [], [], []
         for r in rows:
             ctx, many = np.cumsum(take(r["a"]).astype(np.uint64)), take(r["b"])
             contexts.append(ctx)
             wanted.append((many & 1).astype(bool))
-            keys.append((np.repeat(ctx, many >> 1) << np.uint64(32)) | take(r["c"]).astype(np.uint64))
+            first.append(np.repeat(ctx, (many >> 1).astype(np.int64)))
+            second.append(take(r["c"]).astype(np.uint64))
             n.append(take(r["d"]))
             c2.append(take(r["e"]))
-        size = [len(k) for k in keys]
-        pairs, one, which = np.unique(np.concatenate(keys), return_index=True, return_inverse=True)
-        c = np.bincount(which, weights=np.concatenate(n), minlength=len(pairs)).astype(np.int64)
+        size = [len(k) for k in first]
+        id1, id2, one, which = distinct_pairs(np.concatenate(first), np.concatenate(second))
+        c = np.bincount(which, weights=np.concatenate(n), minlength=len(one)).astype(np.int64)
         p2 = uni.p(np.concatenate(c2)[one].astype(np.int64))
         seen = c > 0
         # per context: the followers of each count up to K, and the unigram mass of the seen ones
-        names, at = np.unique(np.concatenate([pairs >> np.uint64(32), *contexts]), return_inverse=True)
-        owner = at[:len(pairs)]
+        names, at = np.unique(np.concatenate([id1, *contexts]), return_inverse=True)
+        owner = at[:len(id1)]
         low = seen & (c <= K)
         few = np.bincount(owner[low] * K + c[low] - 1, minlength=len(names) * K).reshape(-1, K)
         mass = np.bincount(owner[seen], weights=p2[seen], minlength=len(names))
-        out, a, b = [], 0, len(pairs)
+        out, a, b = [], 0, len(id1)
         for r, k, ctx, want in zip(rows, size, contexts, wanted):
             own, who = which[a:a + k], at[b:b + len(ctx)]
             a, b = a + k, b + len(ctx)
@@ -343,8 +359,8 @@ def _bigrams(chunks: DataFrame, unigram: DataFrame, uni: Unigrams, offsets: dict
             has = put(((few[who] > 0) << np.arange(K)).sum(1))
             out.append((BI, r["chunk"], r["part"], put(c[own]), has + put(few[who[want]].ravel()),
                         mass[who[want]].tobytes(), [len(has)]))
-        out.append((BI_TABLE, None, rows[0]["part"], put(np.diff(pairs[seen] >> np.uint64(32), prepend=np.uint64(0))),
-                    put(pairs[seen] & np.uint64(0xFFFFFFFF)), put(c[seen]), _of_counts(c[seen])))
+        out.append((BI_TABLE, None, rows[0]["part"], put(np.diff(id1[seen], prepend=np.uint64(0))),
+                    put(id2[seen]), put(c[seen]), _of_counts(c[seen])))
         return _answers(out)
 
     answers = unigram.where(F.col("kind") == UNI)
@@ -415,7 +431,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", held_
     unigram = _unigrams(chunks, uni_parts, f"{path}/unigrams")
     stats = sorted((r["part"], r["stats"]) for r in
                    unigram.where(F.col("kind") == UNI_TABLE).select("part", "stats").collect())
-    offsets, at = {}, 0
+    offsets, at = {}, FIRST_ID
     for part, s in stats:
         offsets[part], at = at, at + s[0]
     uni = Unigrams.of(sum(s[1] for _, s in stats), sum(s[2] for _, s in stats),

@@ -3,6 +3,7 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -117,3 +118,13 @@ def test_held_out_texts_score_better_than_the_base(spark):
     rows = [(i, " ".join(rng.choice(lines) for _ in range(8)), "en", "s", 0) for i in range(200)]
     got = [g for g in Z.score(spark.createDataFrame(rows, SCHEMA)).collect() if g["held_out"]]
     assert got and sum(g["score"] for g in got) > sum(g["base_score"] for g in got)
+
+
+def test_counts_above_32_bits():
+    for values in ([0, 5_000_000_000, 1], [2 ** 32], [2 ** 40 + 3, 7], [2 ** 32 - 1, 0], []):
+        assert Z.take(Z.put(np.array(values, np.int64))).tolist() == values
+
+
+def test_ids_above_32_bits(docs, monkeypatch):
+    monkeypatch.setattr(Z, "FIRST_ID", (1 << 32) - 20)  # ids on both sides of the border
+    check(doc_rows(), Z.score(docs).collect())
