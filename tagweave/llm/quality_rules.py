@@ -7,8 +7,9 @@ references are counted over all texts that pass the base rules.
 
 Guards: the character test needs ``MIN_CHARS`` characters, the word test ``MIN_WORDS``
 words, and a language ``MIN_REFERENCE`` reference words; a test whose guard isn't met
-passes.  A language without a reference (or a null one) is held against the reference
-with the smallest sum of both distances.
+passes, so texts of a stated language without a reference pass both (distances 0).  A
+text of a null language is held against the reference with the smallest sum of both
+distances.
 
 Cases: a null or empty text has zero counts and fails the base rules; an empty table gives
 no rows; repeated rows are judged alike; input columns other than id, text and language
@@ -223,7 +224,8 @@ class Judge:
         out = base_counts(words, hashes)
         classes, n = class_counts(words), len(langs)
         owner = np.repeat(np.arange(n), out["n_words"])
-        own = np.array([self.names.index(x) if x in self.names else -1 for x in langs], int)
+        # -1: no language stated, any reference may be the nearest; -2: stated, but without a reference
+        own = np.array([-1 if x is None else self.names.index(x) if x in self.names else -2 for x in langs], int)
         best = np.full((n, 2), np.inf)
         for k in range(len(self.names)):
             mine = np.flatnonzero((own == k) | (own == -1))

@@ -99,3 +99,19 @@ def test_no_reference_keeps(spark, docs, no_docs):
     got = Q.judge(docs, {}).collect()
     assert all(r["kept"] == (not r["base_failed"]) for r in got)
     assert Q.references(no_docs) == {} and Q.judge(no_docs, {}).collect() == []
+
+
+def test_language_without_reference_is_kept(spark):
+    import random
+    from tests_llm_rows import prose
+    rng = random.Random(11)
+    rare = " ".join(f"{rng.choice('kaj la de en estas por kun tio sed ili'.split())} vorto{rng.randrange(200)}" for _ in range(150))
+    rows = [(i, prose(rng, 120), "en") for i in range(40)] + [(100, rare, "eo"), (101, rare, None), (102, rare, "en")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    refs = Q.references(docs)
+    assert set(refs) == {"en"}
+    got = {r["doc_id"]: r for r in Q.judge(docs, refs).collect()}
+    # too few words for a reference: nothing to hold the text against, but a null language takes the nearest
+    assert got[100]["kept"] and got[100]["word_distance"] == got[100]["class_distance"] == 0
+    assert not got[101]["kept"] and not got[102]["kept"] and got[101]["word_distance"] > Q.MAX_WORD_DISTANCE
+    assert {r["doc_id"] for r in Q.keep(docs, refs).collect()} == {*range(40), 100}
