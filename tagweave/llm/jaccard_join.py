@@ -6,13 +6,13 @@ Two documents are linked when the Jaccard similarity of their sets of ``N``-word
 links, named by its smallest id), its copies (documents with an equal set) and its number
 of links (other documents, copies included).
 
-Method: documents with equal sets are one set.  Each of ``RUNS`` runs sends every set down
-a tree: a node samples one min-hash coordinate, so sets go on together with a chance equal
-to their similarity.  A node splits while it holds more than ``LEAF`` sets, to ``DEPTH``
+Method: documents with equal sets are one set.  Each run sends every set down a tree: every
+run and level has a min-hash of its own, so sets go on together with a chance equal to
+their similarity, independently of all other runs and levels.  A node splits while it holds more than ``LEAF`` sets, to ``DEPTH``
 levels at most; what then shares a leaf is compared by brute force, in blocks of
 ``BLOCK`` sets where the leaf is larger, so no leaf is capped.  The runs are repeated until
-a pair at the threshold is missed with a chance below ``1 - RECALL`` at depth 2:
-``runs(0.8) = 10`` (1e-7 at depth 1, 4e-5 at depth 2, 8e-4 at depth 3).
+a pair at the threshold is missed with a chance below ``1 - RECALL`` at the last level:
+``runs(0.8, depth=3) = 13`` (8e-10 at depth 1, 2e-6 at depth 2, 9e-5 at depth 3).
 
 A pair is compared only in its first common leaf: each set carries the leaves of all its
 runs, so pairs need no deduplication and are never emitted.  A leaf first compares
@@ -47,9 +47,9 @@ LEAF = 256
 BLOCK = 512
 
 
-def runs(threshold: float, recall: float = RECALL) -> int:
-    """Runs after which a pair at the threshold is missed with a chance of at most 1 - recall at depth 2."""
-    return math.ceil(math.log(1 - recall) / math.log(1 - threshold ** 2)) if threshold < 1 else 1
+def runs(threshold: float, recall: float = RECALL, depth: int = 2) -> int:
+    """Runs after which a pair at the threshold is missed with a chance of at most 1 - recall at ``depth``."""
+    return math.ceil(math.log(1 - recall) / math.log(1 - threshold ** depth)) if threshold < 1 else 1
 
 
 def text_sets(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -64,10 +64,10 @@ def text_sets(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return value, text, np.bincount(text, minlength=len(texts))
 
 
-def signatures(value: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """(sets, MINHASHES) min-hash values of the sets that begin at ``starts``."""
-    out = np.empty((len(starts), MINHASHES), np.uint64)
-    for k in range(MINHASHES):
+def signatures(value: np.ndarray, starts: np.ndarray, n: int = MINHASHES) -> np.ndarray:
+    """(sets, n) min-hash values of the sets that begin at ``starts``."""
+    out = np.empty((len(starts), n), np.uint64)
+    for k in range(n):
         seed = mix64(np.array([k + 1], np.uint64))[0]
         v = (value ^ seed) * (seed | np.uint64(1))
         v ^= v >> np.uint64(31)
@@ -77,16 +77,14 @@ def signatures(value: np.ndarray, starts: np.ndarray) -> np.ndarray:
 
 
 def paths(sig: np.ndarray, n_runs: int) -> np.ndarray:
-    """(sets, runs, DEPTH) node names; the coordinate of a deeper node is sampled by its parent."""
+    """(sets, runs, DEPTH) node names; every run and level reads its own column of ``sig``."""
     out = np.empty((len(sig), n_runs, DEPTH), np.uint64)
-    rows = np.arange(len(sig))
     for r in range(n_runs):
         name = np.full(len(sig), mix64(np.array([r + 1000], np.uint64))[0])
-        at = np.full(len(sig), r % MINHASHES)
         for level in range(DEPTH):
-            name = mix64(name ^ mix64(sig[rows, at] + at.astype(np.uint64)))
+            at = r * DEPTH + level
+            name = mix64(name ^ mix64(sig[:, at] + np.uint64(at)))
             out[:, r, level] = name
-            at = (mix64(name + np.uint64(5)) % np.uint64(MINHASHES)).astype(np.int64)
     return out
 
 
@@ -106,10 +104,10 @@ def _sketches(rows: DataFrame, n_runs: int) -> DataFrame:
                 some = np.flatnonzero(size)
                 starts = (np.cumsum(size) - size)[some]
                 if len(some):
-                    sig = signatures(value, starts)
+                    sig = signatures(value, starts, max(MINHASHES, n_runs * DEPTH))
                     name = mix64(np.add.reduceat(mix64(value), starts) ^ mix64(size[some].astype(np.uint64)))
                     path = paths(sig, n_runs).reshape(len(some), -1).view(np.int64)
-                    small = (mix64(sig) & np.uint64(255)).astype(np.uint8)
+                    small = (mix64(sig[:, :MINHASHES]) & np.uint64(255)).astype(np.uint8)
                 back = np.full(piece.num_rows, -1)
                 back[some] = np.arange(len(some))
                 yield pa.RecordBatch.from_arrays([
@@ -271,7 +269,7 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def _classes(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    n_runs = runs(THRESHOLD)
+    n_runs = runs(THRESHOLD, depth=DEPTH)
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("th"),
                        F.xxhash64(id_col, text).alias("row"), text.alias("text"))
@@ -281,7 +279,7 @@ def _classes(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         F.min("id").alias("copy_id"), F.count(F.lit(1)).alias("copies"), F.min("th").alias("th"),
         F.first("sketch").alias("sketch"), F.first("paths").alias("paths")), "join-sets")
     leaves = stored(_leaves(sets.select("set", "paths"), n_runs), "join-leaves")
-    own = leaves.groupBy("set").agg(F.collect_list(F.struct("leaf", "size")).alias("at"))  # RUNS entries at most
+    own = leaves.groupBy("set").agg(F.collect_list(F.struct("leaf", "size")).alias("at"))  # n_runs entries at most
     own = own.join(sets.select("set", "th", "copies", "sketch"), "set")
     rows = own.select("set", "th", "copies", "sketch", F.col("at.leaf").alias("leaves"), F.explode("at").alias("x")) \
         .select("set", "th", "copies", "sketch", "leaves", "x.leaf", "x.size")

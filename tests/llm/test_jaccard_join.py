@@ -1,6 +1,8 @@
 import random
 from collections import Counter
 
+import numpy as np
+
 from tagweave.llm import jaccard_join as J
 from tests_llm_rows import SCHEMA, doc_rows, docs, no_docs, prose, words  # noqa: F401
 
@@ -83,3 +85,25 @@ def test_keep_one(spark, docs, no_docs):
     want = set(range(60)) - {5, 7, 9, 14, 17, 18}
     assert {i for i in ids if i is not None} == want and len(ids) == len(set(ids))
     assert J.keep_one(no_docs).collect() == [] and J.jaccard_join(no_docs).collect() == []
+
+
+def test_pairs_at_the_threshold_meet_at_the_last_level():
+    n_runs = J.runs(J.THRESHOLD, depth=J.DEPTH)
+    assert n_runs == 13 and (1 - 0.8 ** 3) ** n_runs < 1 - J.RECALL
+    rng, n = np.random.default_rng(3), 20_000
+    union = rng.integers(0, 1 << 63, (n, 50), np.uint64)  # 40 of 50 shared: exactly 0.8
+    starts = np.arange(n) * 45
+    a, b = (J.paths(J.signatures(x.ravel(), starts), n_runs)[:, :, -1] for x in (union[:, :45], np.delete(union, np.s_[40:45], 1)))
+    missed = int((~(a == b).any(1)).sum())
+    assert missed <= 8, missed  # 1.8 expected; 44 when runs share their min-hashes
+
+
+def test_leaves_split_to_the_last_level_lose_no_link(spark, monkeypatch):
+    monkeypatch.setattr(J, "LEAF", 1)
+    rows = []
+    for i in range(1500):  # pairs at exactly 0.8: 40 shared shingles of 50
+        w = [f"{i}w{k}" for k in range(49)]
+        rows += [(2 * i, " ".join(w), "en", "s", 0), (2 * i + 1, " ".join(w[:44] + [f"{i}v{k}" for k in range(5)]), "en", "s", 0)]
+    found = J.jaccard_join(spark.createDataFrame(rows, SCHEMA))
+    # 0.13 missed pairs expected, 3.3 when runs share their min-hashes
+    assert found.where("n_links = 1 and class_id = doc_id - doc_id % 2").count() >= 2998
