@@ -13,7 +13,9 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tagweave.operators.joins import bounded_broadcast
 from tagweave.session import ensure_checkpoint_dir
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -140,3 +142,17 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = scratch(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def lookup(big: DataFrame, small: DataFrame, keys: list[str], spread: list[str], salts: int = 64) -> DataFrame:
+    """``big`` joined with ``small`` (one row per ``keys``) however hot a key is.
+
+    ``small`` is broadcast behind a proven bound; beyond it, it is repeated per salt and the
+    rows of a key are dealt over the salts by the columns ``spread``.
+    """
+    marked = bounded_broadcast(small)
+    if marked is not small:
+        return big.join(marked, keys)
+    copies = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return big.withColumn("_salt", F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int")) \
+        .join(copies, [*keys, "_salt"]).drop("_salt")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from tagweave.llm import decontaminate as D
+from tagweave.llm import divergence_audit as A
 from tagweave.llm import jaccard_join as J
 from tagweave.llm import quality_rules as Q
 
@@ -126,3 +127,31 @@ text AS (SELECT f.rid, f.iid, doc_id, w[p * stride + 1:(p + 2) * stride] AS pw F
 SELECT DISTINCT doc_id, item_id FROM text JOIN grams USING (iid)
 WHERE {_share('qg', 'qn')} >= {D.MIN_QUESTION} AND {_share('ag', 'an')} >= {D.MIN_ANSWER}
 """
+
+
+def _p(count: str, total: str) -> str:
+    return f"(1 + 1000000000::HUGEINT * ({count} + 1) // {total})"
+
+
+AUDIT = rf"""
+WITH d AS (SELECT row_number() OVER () AS rid, COALESCE(lang, '') AS lang, COALESCE(source, '') AS source,
+  regexp_extract_all(translate(COALESCE(text, ''), '{_AZ}', '{_AZ.lower()}'), '[a-z\x{{80}}-\x{{10FFFF}}]+') AS w FROM documents),
+tok AS (SELECT rid, lang, source, unnest(w) AS term FROM d),
+kept AS (SELECT lang, term, count(*) AS lang_n FROM tok GROUP BY lang, term HAVING count(DISTINCT rid) >= {A.MIN_DOCS}),
+n AS (SELECT lang, source, term, count(*) AS n FROM tok JOIN kept USING (lang, term) GROUP BY ALL),
+l AS (SELECT lang, count(*) AS v, sum(lang_n) + count(*) AS lang_total FROM kept GROUP BY lang),
+g AS (SELECT lang, source, v, lang_total, COALESCE(s, 0) + v AS total FROM (SELECT DISTINCT lang, source FROM d)
+  LEFT JOIN (SELECT lang, source, sum(n) AS s FROM n GROUP BY ALL) USING (lang, source) LEFT JOIN l USING (lang)),
+p AS (SELECT g.lang, g.source, term, COALESCE(n, 0) AS n, {_p('COALESCE(n, 0)', 'total')} AS p, {_p('lang_n', 'lang_total')} AS q
+  FROM g JOIN kept USING (lang) LEFT JOIN n USING (lang, source, term)),
+pair AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, COALESCE(z.v, 0) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN (SELECT x.lang, x.source, y.source AS item, sum((x.p - y.p) * (x.p - y.p) // y.p) AS v
+    FROM p x JOIN p y ON x.lang = y.lang AND x.term = y.term AND x.source <> y.source GROUP BY ALL) z
+  ON z.lang = a.lang AND z.source = a.source AND z.item = b.source),
+term AS (SELECT lang, source, 'term' AS part, term AS item, (p - q) * (p - q) // q AS value FROM p WHERE n > 0 AND p > q),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS r
+  FROM (SELECT * FROM pair UNION ALL SELECT * FROM term))
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(r AS INTEGER) AS rank FROM ranked
+WHERE part = 'pair' OR r <= {A.TOP}
+"""

@@ -5,13 +5,13 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tagweave.llm import (decontaminate, jaccard_join, katz, mixing, oracles, page_diff, quality_rules, sharding,
+from tagweave.llm import (decontaminate, divergence_audit, jaccard_join, katz, mixing, oracles, page_diff, quality_rules, sharding,
                           site_quality, token_output, url_filter)
 from tagweave.llm.common import scratch
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {"op3_jaccard_join": oracles.JACCARD, "op5_decontaminate": oracles.LEAKS,
-                          "op6_quality_rules": oracles.QUALITY}
+                          "op6_quality_rules": oracles.QUALITY, "op13_divergence_audit": oracles.AUDIT}
 
 
 def query(fn):
@@ -91,6 +91,12 @@ def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output.read_token_files(spark, path, digest=True)
 
 
+@query
+def op13_divergence_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every (lang, source) of ``documents`` against its language and other sources (see divergence_audit)."""
+    return divergence_audit.audit(table(spark, sf_dir, "documents"))
+
+
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages of corpus_pipeline over ``documents``."""
