@@ -5,6 +5,8 @@ from __future__ import annotations
 from tagweave.llm import decontaminate as D
 from tagweave.llm import divergence_audit as A
 from tagweave.llm import jaccard_join as J
+from tagweave.llm import merkle as M
+from tagweave.llm import minhash_dedup as H
 from tagweave.llm import quality_rules as Q
 
 _SPACE = r"\x20\x09-\x0D"
@@ -155,3 +157,64 @@ ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY
 SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(r AS INTEGER) AS rank FROM ranked
 WHERE part = 'pair' OR r <= {A.TOP}
 """
+
+
+def merkle(group_levels: int = 8, top_levels: int = 3) -> str:
+    """Levels written out: to ``FANOUT ** group_levels`` rows a language and ``FANOUT ** top_levels`` languages."""
+    field = lambda x: f"CASE WHEN {x} IS NULL THEN '-' ELSE strlen({x}::VARCHAR)::VARCHAR || ':' || {x}::VARCHAR END"
+    leaf = lambda text: "sha256(" + " || ".join(field(text if c == "text" else c) for c in M.FIELDS) + ")"
+    parts = [f"""
+WITH crc AS (SELECT list(c ORDER BY n) AS t FROM (SELECT n, list_reduce(list_concat([n], range(8)),
+  lambda c, k: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END) AS c FROM range(256) r(n))),
+d AS (SELECT *, COALESCE(xor(4294967295, list_reduce(list_concat([4294967295],
+  list_transform(string_split(doc_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+  lambda c, b: xor(t[(xor(c, b) & 255) + 1], c >> 8))) % {M.TAMPER_EVERY} = 0, false) AS hit FROM documents, crc),
+leaf AS (SELECT doc_id, dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS k, {leaf('text')} AS leaf,
+  CASE WHEN hit THEN {leaf(f"translate(text, '{_AZ}', '{_AZ.lower()}')")} ELSE {leaf('text')} END AS changed FROM d),
+c0 AS (SELECT *, row_number() OVER () AS rid, row_number() OVER (PARTITION BY k ORDER BY doc_id NULLS FIRST, leaf) - 1 AS p,
+  changed AS f, '' AS proof FROM leaf),
+t0 AS (SELECT k, p AS pos, leaf AS h, count(*) OVER (PARTITION BY k) AS n FROM c0)"""]
+
+    def level(j: int) -> str:
+        return f"""
+t{j + 1} AS (SELECT k, pos, h, count(*) OVER (PARTITION BY k) AS n FROM (SELECT k, pos // {M.FANOUT} AS pos,
+  CASE WHEN n > 1 THEN sha256(string_agg(h, '' ORDER BY t.pos)) ELSE any_value(h) END AS h FROM t{j} t GROUP BY k, n, t.pos // {M.FANOUT})),
+c{j + 1} AS (SELECT rid, c.k, c.p // {M.FANOUT} AS p, any_value(doc_id) AS doc_id, any_value(leaf) AS leaf,
+  CASE WHEN n > 1 THEN sha256(string_agg(CASE WHEN t.pos = c.p THEN f ELSE h END, '' ORDER BY t.pos)) ELSE any_value(f) END AS f,
+  any_value(proof) || COALESCE(string_agg(h, '' ORDER BY t.pos) FILTER (t.pos <> c.p), '') AS proof
+  FROM c{j} c JOIN t{j} t ON t.k = c.k AND t.pos // {M.FANOUT} = c.p // {M.FANOUT} GROUP BY rid, c.k, c.p, n)"""
+
+    parts += [level(j) for j in range(group_levels)]
+    g, r = group_levels, group_levels + 1 + top_levels
+    parts.append(f"""
+t{g + 1} AS (SELECT 0 AS k, k AS pos, h, count(*) OVER () AS n FROM t{g}),
+c{g + 1} AS (SELECT rid, 0 AS k, c.k AS p, doc_id, leaf, f, proof FROM c{g} c)""")
+    parts += [level(j) for j in range(g + 1, r)]
+    return ",".join(parts) + f"""
+SELECT c.doc_id, c.leaf, s.h AS subroot, t{r}.h AS root, sha256(c.proof) AS proof_sha256, c.f AS folded_root, c.f = t{r}.h AS verified
+FROM c{r} c, t{r}, c0, t{g} s WHERE c0.rid = c.rid AND s.k = c0.k
+"""
+
+
+# a pair at SHARE shares at least that part of the smaller set, so one of any (100 - SHARE) % + 1 shingles of each set is common:
+# the rarest ones find the candidates
+DEDUP = f"""
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS rid, doc_id,
+  regexp_extract_all(translate(COALESCE(text, ''), '{_AZ}', '{_AZ.lower()}'), '{_WORD}') AS w FROM documents),
+sh AS (SELECT DISTINCT rid, unnest(list_transform(range(1, greatest(len(w) - {H.N - 2}, 2)),
+       lambda i: array_to_string(w[i:i + {H.N - 1}], ' '))) AS s FROM d WHERE len(w) > 0),
+size AS (SELECT rid, count(*) AS n FROM sh GROUP BY rid),
+num AS (SELECT s, row_number() OVER (ORDER BY count(*), s) AS k FROM sh GROUP BY s),
+numbered AS (SELECT rid, k, n, row_number() OVER (PARTITION BY rid ORDER BY k) AS place FROM sh JOIN num USING (s) JOIN size USING (rid)),
+rare AS (SELECT rid, k, n FROM numbered WHERE place <= n - (n * {H.SHARE} + 99) // 100 + 1),
+near AS (SELECT DISTINCT a.rid AS a, b.rid AS b FROM rare a JOIN rare b ON a.k = b.k AND a.rid < b.rid
+         AND 100 * least(a.n, b.n) >= {H.SHARE} * greatest(a.n, b.n)),
+one AS (SELECT rid, list(k) AS ks, any_value(n) AS n FROM numbered GROUP BY rid),
+pairs AS (SELECT a, b, x.n + y.n AS total, len(list_intersect(x.ks, y.ks)) AS k FROM near JOIN one x ON x.rid = a JOIN one y ON y.rid = b),
+links AS (SELECT a, b FROM pairs WHERE 100 * k >= {H.SHARE} * (total - k) UNION ALL
+          SELECT b, a FROM pairs WHERE 100 * k >= {H.SHARE} * (total - k)),
+reach AS (SELECT rid AS a, rid AS b FROM d UNION SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b)
+SELECT any_value(d.doc_id) AS doc_id, COALESCE(any_value(n), 0) AS n_shingles, min(o.doc_id) AS component_id,
+  any_value(d.doc_id) IS NOT DISTINCT FROM min(o.doc_id) AS kept
+FROM reach JOIN d ON d.rid = a JOIN d o ON o.rid = b LEFT JOIN size ON size.rid = a GROUP BY a
+"""

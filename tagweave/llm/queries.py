@@ -5,13 +5,14 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tagweave.llm import (decontaminate, divergence_audit, jaccard_join, katz, mixing, oracles, page_diff, quality_rules, sharding,
+from tagweave.llm import (decontaminate, divergence_audit, jaccard_join, katz, merkle, minhash_dedup, mixing, oracles, page_diff, quality_rules, sharding,
                           site_quality, token_output, url_filter)
 from tagweave.llm.common import scratch
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {"op3_jaccard_join": oracles.JACCARD, "op5_decontaminate": oracles.LEAKS,
-                          "op6_quality_rules": oracles.QUALITY, "op13_divergence_audit": oracles.AUDIT}
+                          "op6_quality_rules": oracles.QUALITY, "op11_merkle": oracles.merkle(),
+                          "op12_minhash_dedup": oracles.DEDUP, "op13_divergence_audit": oracles.AUDIT}
 
 
 def query(fn):
@@ -91,6 +92,18 @@ def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output.read_token_files(spark, path, digest=True)
 
 
+@query
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The Merkle manifest of all ``documents``, climbed from every leaf (see merkle)."""
+    return merkle.verify(table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All ``documents`` by components of near copies on two-word shingles (see minhash_dedup)."""
+    return minhash_dedup.dedup(table(spark, sf_dir, "documents"))
+
+
 @query
 def op13_divergence_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every (lang, source) of ``documents`` against its language and other sources (see divergence_audit)."""
