@@ -1,5 +1,8 @@
 """The tagging job: catalog + source + store -> a new store version.
 
+The store is either kept as whole snapshots (:class:`TagStore`) or as layers
+(:class:`LayeredStore`: only the touched keys are written).
+
 ``plan`` builds one lazy DataFrame: the source scan, the match (a projection or a
 broadcast join), and a single full/left outer join of the stored snapshot with the
 new tags that merges and upserts in the same pass.  ``run`` writes it as a new
@@ -17,8 +20,10 @@ from tagweave.operators.lookup import source_spec_of, value_rules
 from tagweave.operators.merge import merged_tag
 from tagweave.plans.models import TagModel
 from tagweave.schemas import TAG_COL, USER_KEY
+from tagweave.sources.layers import LayeredStore
+from tagweave.sources.manifest import ConcurrentUpdateError
 from tagweave.sources.reader import load_source
-from tagweave.sources.store import ConcurrentUpdateError, TagStore, upsert_frame
+from tagweave.sources.store import Combine, TagStore, upsert_frame
 
 STORE_SCHEMA = f"{USER_KEY} STRING, {TAG_COL} STRING"
 
@@ -34,13 +39,17 @@ def new_tags(model: TagModel, catalog: DataFrame,
                       F.col(TAG_COL).cast("string").alias(TAG_COL))
 
 
+def merge_rule(model: TagModel) -> tuple[dict[str, Combine], bool]:
+    """``(combine, insert_new)`` of the model's merge."""
+    if model.merge == "replace":
+        return {}, True
+    return {TAG_COL: lambda o, n: merged_tag(o, n, model.order, model.blank)}, model.merge == "left"
+
+
 def snapshot_after(model: TagModel, old: DataFrame, new: DataFrame) -> DataFrame:
     """The store snapshot after writing ``new`` with the model's merge rule."""
-    if model.merge == "replace":
-        return upsert_frame(old, new, USER_KEY, fields=[TAG_COL])
-    combine = {TAG_COL: lambda o, n: merged_tag(o, n, model.order, model.blank)}
-    return upsert_frame(old, new, USER_KEY, fields=[TAG_COL], combine=combine,
-                        insert_new=model.merge == "left")
+    combine, insert_new = merge_rule(model)
+    return upsert_frame(old, new, USER_KEY, fields=[TAG_COL], combine=combine, insert_new=insert_new)
 
 
 def plan(model: TagModel, catalog: DataFrame, old: DataFrame,
@@ -59,9 +68,9 @@ def check_unique_keys(df: DataFrame, key: str = USER_KEY) -> None:
         raise DuplicateKeyError(f"{key} {dup[0][key]!r} appears {dup[0]['_n']} times")
 
 
-def run(model: TagModel, catalog: DataFrame, store: TagStore,
+def run(model: TagModel, catalog: DataFrame, store: TagStore | LayeredStore,
         tables: Mapping[str, DataFrame] | None = None, check_unique: bool = False,
-        retries: int = 2) -> int:
+        retries: int = 2) -> int | None:
     """Compute, merge and publish a new store version; returns the version number.
 
     Keys must be unique in the computed tags (else the merge join multiplies rows);
@@ -73,6 +82,9 @@ def run(model: TagModel, catalog: DataFrame, store: TagStore,
     new = new_tags(model, catalog, tables)
     if check_unique:
         check_unique_keys(new)
+    if isinstance(store, LayeredStore):
+        combine, insert_new = merge_rule(model)
+        return store.upsert(new, fields=[TAG_COL], combine=combine, insert_new=insert_new, retries=retries)
     for attempt in range(retries + 1):
         base = store.latest_version()
         old = store.read(base, schema=STORE_SCHEMA)

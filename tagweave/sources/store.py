@@ -7,24 +7,18 @@ in place, so a job may read the snapshot it is replacing, a failed job leaves th
 published version untouched, and a lost executor only recomputes from files.
 
 A version is published by one small file ``manifest/v<number>.json`` that names its
-folder.  Every write attempt gets its own folder, so a job that died half way leaves only
-an unpublished folder behind and a retry simply writes a new one.  The file is written
-under another name and then given its final one by an operation that fails if that name
-exists (a rename on HDFS, a hard link on a local disk), so of two writers of one version
-exactly one succeeds, whatever their clocks say; the other gets
-``ConcurrentUpdateError``.  On a store whose rename replaces files (plain object stores)
-only one job may write at a time.
+folder (:mod:`tagweave.sources.manifest`: of two writers exactly one succeeds).  Every write
+attempt gets its own folder, so a job that died half way leaves only an unpublished folder
+behind and a retry simply writes a new one.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
-import json
 import uuid
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
-from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (IntegerType, LongType, StringType, StructField, StructType,
@@ -32,6 +26,7 @@ from pyspark.sql.types import (IntegerType, LongType, StringType, StructField, S
 
 from tagweave.frames import literal_frame
 from tagweave.schemas import USER_KEY
+from tagweave.sources.manifest import ConcurrentUpdateError, VersionedFolder
 
 Combine = Callable[[Column, Column], Column]
 
@@ -44,10 +39,6 @@ _MANIFEST = StructType([
 ])
 
 
-class ConcurrentUpdateError(RuntimeError):
-    """Another writer published a version after this writer's base version."""
-
-
 def require_key(df: DataFrame, key: str) -> DataFrame:
     """``df``; a row with a null key raises when it is read."""
     return df.where(F.assert_true(F.col(key).isNotNull(), f"null key in column {key}").isNull())
@@ -110,16 +101,18 @@ def upsert_frame(old: DataFrame, new: DataFrame, key: str = USER_KEY, *,
 
 @dataclass(frozen=True)
 class StoreSpec:
-    """Where results go: folder, key column, written fields (None = all), buckets."""
+    """Where results go: folder, key column, written fields (None = all), buckets, or layers."""
 
     path: str
     key: str = USER_KEY
     fields: tuple[str, ...] | None = None
     buckets: int | None = None
+    layered: bool = False
 
     @classmethod
     def from_options(cls, options: Mapping[str, str]) -> "StoreSpec":
-        """From plain options: ``path`` (or ``hbaseTable``), ``rowKey``, ``selectFields``."""
+        """From plain options: ``path`` (or ``hbaseTable``), ``rowKey``, ``selectFields``,
+        ``buckets``, ``layered`` (``true``: base and delta layers instead of whole snapshots)."""
         path = options.get("path") or options.get("hbaseTable")
         if not path:
             raise ValueError("store options need 'path'")
@@ -127,27 +120,28 @@ class StoreSpec:
         key = options.get("rowKey") or USER_KEY
         written = tuple(f for f in fields.split(",") if f and f != key) if fields else None
         buckets = int(options["buckets"]) if options.get("buckets") else None
-        return cls(path=path, key=key, fields=written, buckets=buckets)
-
-    def open(self, spark: SparkSession) -> "TagStore":
+        layered = str(options.get("layered", "")).lower() == "true"
+        if layered and buckets:
+            raise ValueError("a layered store has no buckets")
+        return cls(path=path, key=key, fields=written, buckets=buckets, layered=layered)
+
+    def open(self, spark: SparkSession) -> "TagStore | LayeredStore":
+        if self.layered:
+            from tagweave.sources.layers import LayeredStore
+            return LayeredStore(spark, self.path, self.key, self.fields)
         return TagStore(spark, self.path, self.key, self.fields, self.buckets)
 
 
-class TagStore:
+class TagStore(VersionedFolder):
     """Versioned snapshots of a keyed table under ``path`` (optionally key-bucketed)."""
 
     def __init__(self, spark: SparkSession, path: str, key: str = USER_KEY,
                  fields: Sequence[str] | None = None, buckets: int | None = None):
-        self.spark = spark
-        self.path = path.rstrip("/")
+        super().__init__(spark, path)
         self.key = key
         self.fields = list(fields) if fields is not None else None
         self.buckets = buckets
 
-    @property
-    def manifest_path(self) -> str:
-        return f"{self.path}/manifest"
-
     def _new_snapshot_path(self, version: int) -> str:
         return f"{self.path}/snapshots/v{version:010d}-{uuid.uuid4().hex}"
 
@@ -157,44 +151,6 @@ class TagStore:
             return literal_frame(self.spark, [], _MANIFEST)
         return self.spark.read.schema(_MANIFEST).option("pathGlobFilter", "v*.json").json(self.manifest_path)
 
-    def _path(self, name: str):
-        """A Hadoop path and its file system (driver side: one small file per version)."""
-        jvm = self.spark._jvm
-        path = jvm.org.apache.hadoop.fs.Path(name)
-        return path, path.getFileSystem(self.spark._jsc.hadoopConfiguration())
-
-    def _exists(self, name: str) -> bool:
-        path, fs = self._path(name)
-        return fs.exists(path)
-
-    def _publish(self, row: dict) -> None:
-        """Create the version's manifest file, or raise if it is there already."""
-        final = f"{self.manifest_path}/v{row['version']:010d}.json"
-        target, fs = self._path(final)
-        draft, _ = self._path(f"{self.manifest_path}/_draft-{uuid.uuid4().hex}")
-        fs.mkdirs(target.getParent())
-        out = fs.create(draft, False)
-        out.write(bytearray((json.dumps(row) + "\n").encode()))
-        out.close()
-        jvm = self.spark._jvm
-        try:
-            if fs.getUri().getScheme() == "file":
-                place = jvm.java.nio.file.Paths.get
-                local = [place(fs.makeQualified(p).toUri()) for p in (target, draft)]
-                try:
-                    jvm.java.nio.file.Files.createLink(*local)
-                    done = True
-                except Py4JJavaError as error:
-                    if "FileAlreadyExistsException" not in str(error.java_exception):
-                        raise
-                    done = False
-            else:
-                done = not fs.exists(target) and fs.rename(draft, target)
-        finally:
-            fs.delete(draft, False)
-        if not done:
-            raise ConcurrentUpdateError(f"{self.path}: another writer published version {row['version']} first")
-
     def _latest(self):
         return self.versions().orderBy(F.col("version").desc()).limit(1).collect()
 
