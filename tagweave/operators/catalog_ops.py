@@ -9,9 +9,11 @@ New ids continue after the current maximum, in a stated order, assigned in paral
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tagweave.functions.schedule import decode_schedule, encode_schedule
@@ -164,17 +166,108 @@ def upsert_paths(catalog: DataFrame, paths: DataFrame, levels: list[str], now: d
     return catalog.unionByName(inserted), inserted
 
 
+_STEP = "struct<level:int,name:string>"
+
+
+def _chains(nodes: DataFrame) -> DataFrame:
+    """Per distinct node of the requests: ``anchor`` (given parent id, null for none), ``chain``
+    (levels and names from the anchor down to the node), ``rule`` of its first request, ``first``."""
+    in_order = Window.partitionBy("path_id").orderBy("level", "position", "name", "pid", "rule")
+    rows = nodes.withColumn("_at", F.row_number().over(in_order)) \
+        .withColumn("_starts", (F.col("level") == 1) | F.col("pid").isNotNull() | (F.col("_at") == 1)) \
+        .withColumn("_segment", F.sum(F.col("_starts").cast("int")).over(Window.partitionBy("path_id").orderBy("_at")))
+    # a request's nodes from its last anchor on: as long as one request, never as a group of requests
+    segment = Window.partitionBy("path_id", "_segment").orderBy("_at")
+    rows = rows.select(
+        F.first(F.when(F.col("level") == 1, F.lit(-1)).otherwise(F.col("pid"))).over(segment).cast("long").alias("anchor"),
+        F.collect_list(F.struct("level", "name")).over(segment).cast(f"array<{_STEP}>").alias("chain"),
+        "rule", F.struct("path_id", "_at").alias("_order"))
+    return rows.groupBy("anchor", "chain").agg(F.min("_order").alias("first"), F.min_by("rule", "_order").alias("rule"))
+
+
+def upsert_nodes(catalog: DataFrame, nodes: DataFrame, now: datetime | None = None,
+                 first_id: Callable[[int], int] | None = None) -> tuple[DataFrame, DataFrame]:
+    """Insert requested tags that are not in the catalog, some under a given parent, some under the node before.
+
+    ``nodes`` holds one row per tag of a request: ``path_id`` (the request), ``level``, ``name``,
+    ``pid`` (nullable), ``rule`` and optionally ``position`` (order among tags of one level).  A
+    request is worked from its lowest level up.  A tag with its own ``pid`` is looked up and
+    inserted under that parent, whether or not the parent exists; level 1 always has parent
+    ``-1``; any other tag hangs under the tag before it in its request (found or inserted), and
+    under no parent (null) if it is the first.  A tag is found by ``(name, level, pid)``, null
+    matching null; of several the smallest id counts.  The same tag asked for by many requests,
+    also once by its parent's id and once by the path to that parent, is one tag; it takes the
+    rule of the first request that names it (by ``path_id``).  A null level is an error.
+
+    Ids continue after the catalog's maximum (or start at ``first_id(count)``, which reserves
+    them), level by level, then by parent and name.  Running the same requests twice inserts
+    nothing the second time.
+
+    All requests are resolved together: what leads from an anchor to a node is reduced to its
+    distinct values first (a parent shared by a third of all requests is one row), then one
+    join per step of the longest chain finds the existing ids; a new node's order key is made
+    of its parent's id or key, its level and its name.
+
+    Returns ``(catalog_after, inserted)``.
+    """
+    now = now or datetime.now()
+    if "position" not in nodes.columns:
+        nodes = nodes.withColumn("position", F.lit(0))
+    checked = nodes.where(F.assert_true(F.col("level").isNotNull(), F.lit("a tag without a level")).isNull())
+    # written once: every step reads it, and the steps' join keys come from it
+    chains = _chains(checked.select("path_id", F.col("level").cast("int").alias("level"), F.col("name").cast("string").alias("name"),
+                                    F.col("pid").cast("long").alias("pid"), F.col("rule").cast("string").alias("rule"), "position")) \
+        .withColumn("_depth", F.size("chain")).checkpoint()
+    depth = chains.agg(F.max("_depth")).first()[0] or 0
+    existing = catalog.groupBy(F.col("name").alias("_ename"), F.col("level").alias("_elevel"), F.col("pid").alias("_epid")) \
+        .agg(F.min("id").alias("_eid"))
+    no_key = F.lit(None).cast(f"array<{_KEY_ITEM}>")
+    previous, new_parts = None, []
+    for step in range(1, depth + 1):
+        here = chains.where(F.col("_depth") == step).withColumn("_tag", F.element_at("chain", -1))
+        if previous is None:
+            here = here.withColumns({"_parent_id": F.col("anchor"), "_parent_key": no_key})
+        else:
+            above = previous.select(F.col("anchor").alias("_panchor"), F.col("chain").alias("_pchain"),
+                                    F.col("_id").alias("_parent_id"), F.col("_key").alias("_parent_key"))
+            here = here.join(above, F.col("anchor").eqNullSafe(F.col("_panchor"))
+                             & (F.slice("chain", 1, step - 1) == F.col("_pchain"))).drop("_panchor", "_pchain")
+        found = here.join(existing, F.col("_tag.name").eqNullSafe(F.col("_ename")) & (F.col("_tag.level") == F.col("_elevel"))
+                          & F.col("_parent_id").eqNullSafe(F.col("_epid")) & F.col("_parent_key").isNull(), "left")
+        own = F.array(_key_item(2, F.col("_tag.level"), F.col("_tag.name")))
+        key = F.when(F.col("_parent_key").isNull(), F.concat(F.array(_key_item(0, F.col("_parent_id"), F.lit(""))), own)) \
+            .otherwise(F.concat(F.array(_key_item(1, F.lit(0), F.lit(""))), F.col("_parent_key"), own))
+        previous = found.select("anchor", "chain", "rule", "first", F.col("_eid").alias("_id"), "_parent_id", "_parent_key",
+                                F.when(F.col("_eid").isNull(), key).alias("_key"), F.col("_tag.level").alias("level"),
+                                F.col("_tag.name").alias("name")).checkpoint()
+        new_parts.append(previous.where(F.col("_id").isNull()))
+    if not new_parts:
+        empty = catalog.limit(0)
+        return catalog, prepare_tags(empty, now)
+    fresh = reduce(DataFrame.unionByName, new_parts).groupBy("level", "name", "_key", "_parent_id", "_parent_key") \
+        .agg(F.min_by("rule", "first").alias("rule"))
+    numbered, count = sequential_ids(fresh, ["level", "_key"], 0)
+    start = first_id(count) if first_id is not None and count else _max_id(catalog) + 1
+    numbered = numbered.withColumn("id", F.col("id") + start)
+    parents = numbered.select(F.col("_key").alias("_pk"), F.col("id").alias("_new_pid"))
+    linked = numbered.join(parents, F.col("_parent_key") == F.col("_pk"), "left")
+    inserted = prepare_tags(linked.select("id", F.coalesce("_parent_id", "_new_pid").alias("pid"), "level", "name", "rule"), now)
+    return catalog.unionByName(inserted), inserted
+
+
 def add_model_tags(catalog: DataFrame, models: DataFrame, requests: DataFrame,
-                   order: list[str], now: datetime | None = None) -> tuple[DataFrame, DataFrame]:
+                   order: list[str], now: datetime | None = None,
+                   first_ids: tuple[int, int] | None = None) -> tuple[DataFrame, DataFrame]:
     """Ingest level-4 tags, each with its model.
 
     ``requests`` columns: ``name, pid, rule`` for the tag; ``model_name, model_main,
     model_path, args, state, frequency, start, end`` for the model.  Tag ids and model
     ids continue after each table's maximum in ``order``; each model row gets its new
-    tag's id and the packed schedule.  Returns ``(new_tags, new_models)``.
+    tag's id and the packed schedule.  ``first_ids`` gives reserved first ids of both instead.
+    Returns ``(new_tags, new_models)``.
     """
     stamp = _now(now)
-    tag_start, model_start = _max_id(catalog) + 1, _max_id(models) + 1
+    tag_start, model_start = first_ids or (_max_id(catalog) + 1, _max_id(models) + 1)
     # both id columns follow the same order, so one numbering serves both
     with_ids = with_sequential_id(requests, order, tag_start, "_tag_id")
     with_ids = with_ids.withColumn("_model_id", F.col("_tag_id") - F.lit(tag_start) + F.lit(model_start))
@@ -188,9 +281,10 @@ def add_model_tags(catalog: DataFrame, models: DataFrame, requests: DataFrame,
 
 
 def add_value_tags(catalog: DataFrame, requests: DataFrame, order: list[str],
-                   now: datetime | None = None) -> DataFrame:
-    """Ingest level-5 value rules ``(name, pid, rule)``; ids continue after the maximum."""
-    fresh = with_sequential_id(requests.select("name", "pid", "rule"), order, _max_id(catalog) + 1)
+                   now: datetime | None = None, first_id: int | None = None) -> DataFrame:
+    """Ingest level-5 value rules ``(name, pid, rule)``; ids continue after the maximum, or from ``first_id``."""
+    fresh = with_sequential_id(requests.select("name", "pid", "rule"), order,
+                               first_id if first_id is not None else _max_id(catalog) + 1)
     return prepare_tags(fresh.withColumn("level", F.lit(5)), now)
 
 
