@@ -38,6 +38,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -55,7 +56,7 @@ LONG = 4096  # shingles that count as one more set
 FIRST = 4
 PIVOTS = 8
 SKETCH = 64
-_ROUND_ROWS = "grp long, part int, side int, sid long, label long, sketch binary, t1 long, t2 long"
+_ROUND_ROWS = "grp long, part int, side int, sid long, label long, n long, sketch binary, t1 long, t2 long"
 
 
 def trees(recall: float = RECALL, depth: int = DEPTH) -> int:
@@ -147,99 +148,144 @@ def _nodes(sets: DataFrame, n_trees: int) -> DataFrame:
     return found
 
 
-class _Group:
-    """The sets that are compared in one task: all pairs, or those between side 0 and side 1; labels differ."""
-
-    def __init__(self, table: pa.Table):
-        self.table = table = table.sort_by("sid")
-        self.sids = table["sid"].to_numpy()
-        self.side = table["side"].to_numpy()
-        _, self.label = np.unique(table["label"].to_numpy(), return_inverse=True)
-        self.sketch = np.frombuffer(b"".join(table["sketch"].to_pylist()), np.uint8).reshape(len(self.sids), -1)
-
-    def pairs(self) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-        """(x, partners after x, their equal sketch bytes)."""
-        share = SHARE / 100
-        low = (share - 5 * math.sqrt(share * (1 - share) / SKETCH)) * SKETCH
-        for x in range(len(self.sids) - 1):
-            rest = slice(x + 1, None)
-            same = (self.sketch[rest] == self.sketch[x]).sum(1)
-            ok = (same >= low) & (self.label[rest] != self.label[x]) & ((self.side[rest] == 2) | (self.side[rest] != self.side[x]))
-            near = np.flatnonzero(ok)
-            if len(near):
-                yield x, near + x + 1, same[near]
-
-
-def _candidates(table: pa.Table) -> pa.Table:
-    group = _Group(table)
-    keep = np.zeros(len(group.sids), bool)
-    for x, near, _ in group.pairs():
-        keep[x] = True
-        keep[near] = True
-    return group.table.filter(pa.array(keep))
+def _whole_groups(batches: Iterator[pa.RecordBatch], payload: str, limit: int = 16 << 20) -> Iterator[pa.Table]:
+    """Tables of whole groups from rows sorted by group, with about ``limit`` bytes in ``payload`` each (a larger group stands alone)."""
+    held: pa.Table | None = None
+
+    def starts(table: pa.Table) -> np.ndarray:
+        grp, part = table["grp"].to_numpy(), table["part"].to_numpy()
+        return np.flatnonzero(np.r_[True, (grp[1:] != grp[:-1]) | (part[1:] != part[:-1])])
+
+    def parts(table: pa.Table) -> Iterator[pa.Table]:
+        begin = np.append(starts(table), table.num_rows)
+        size = np.concatenate([[0], np.cumsum(pc.binary_length(table[payload]).to_numpy())])[begin]
+        at = 0
+        while at < len(begin) - 1:
+            end = max(int(np.searchsorted(size, size[at] + limit, side="right")) - 1, at + 1)
+            yield table.slice(begin[at], begin[end] - begin[at])
+            at = end
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        table = pa.Table.from_batches([batch])
+        table = pa.concat_tables([held, table]).combine_chunks() if held is not None and held.num_rows else table
+        last = int(starts(table)[-1])
+        if last:
+            yield from parts(table.slice(0, last))
+        held = table.slice(last)
+    if held is not None and held.num_rows:
+        yield from parts(held)
+
+
+_LOW7, _HIGH = np.uint64(0x7F7F7F7F7F7F7F7F), np.uint64(0x8080808080808080)
+
+
+def near_pairs(table: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(x, y, equal sketch bytes) of the rows that may be linked, all groups of the table at once.
+
+    Rows are sorted by group and size.  Step d compares every row with the d-th after it, as long
+    as that is in its group and in reach: linked sets differ in size by the threshold at most.
+    """
+    grp, part, n = (table[c].to_numpy() for c in ("grp", "part", "n"))
+    label, side = table["label"].to_numpy(), table["side"].to_numpy()
+    group = np.cumsum(np.r_[False, (grp[1:] != grp[:-1]) | (part[1:] != part[:-1])]).astype(np.float64)
+    most = 100 * n // SHARE
+    wide = float(most.max() + 1)
+    end = np.searchsorted(group * wide + n, group * wide + most, side="right")
+    sketch = np.frombuffer(b"".join(table["sketch"].to_pylist()), np.uint64).reshape(table.num_rows, -1).T.copy()
+    share = SHARE / 100
+    low = (share - 5 * math.sqrt(share * (1 - share) / SKETCH)) * SKETCH
+    x, step = np.arange(table.num_rows), 1
+    while len(x := x[x + step < end[x]]):
+        y = x + step
+        ok = (label[x] != label[y]) & ((side[x] == 2) | (side[x] != side[y]))
+        a, b = x[ok], y[ok]
+        differ = np.zeros(len(a), np.uint8)
+        for word in sketch:
+            v = word[a] ^ word[b]
+            differ += np.bitwise_count((((v & _LOW7) + _LOW7) | v) & _HIGH)  # bytes that are not zero
+        near = SKETCH - differ.astype(np.int64) >= low
+        if near.any():
+            yield a[near], b[near], SKETCH - differ[near].astype(np.int64)
+        step += 1
+
+
+def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for table in _whole_groups(batches, "sketch", 4 << 20):
+        keep = np.zeros(table.num_rows, bool)
+        for x, y, _ in near_pairs(table):
+            keep[x] = True
+            keep[y] = True
+        yield from table.filter(pa.array(keep)).to_batches()
 
 
 def similar(a: np.ndarray, b: np.ndarray) -> bool:
     """Whether two sets (sorted, distinct) are linked."""
-    if 100 * min(len(a), len(b)) < SHARE * max(len(a), len(b)):
-        return False
     both = np.concatenate([a, b])
     both.sort(kind="stable")
     inside = int((both[1:] == both[:-1]).sum())
     return 100 * inside >= SHARE * (len(a) + len(b) - inside)
 
 
-def _confirmed(table: pa.Table) -> pa.Table:
-    """Links (u, v) of the group that join its sets; pairs that are joined already are not compared."""
-    group = _Group(table)
-    sets = []
-    for piece in group.table.to_batches():
-        for part in pieces(piece, "text"):
-            value, size = text_sets(column(part, "text"))
-            sets += np.split(value, np.cumsum(size)[:-1])
-    root = np.arange(int(group.label.max()) + 1) if len(group.label) else np.zeros(0, int)
-
-    def top(x: int) -> int:
-        while root[x] != x:
-            root[x] = root[root[x]]
-            x = root[x]
-        return x
-
-    u, v = [], []
-    # the likeliest first: they join most sets before the doubtful pairs are looked at
-    found = [(x, near, same) for x, near, same in group.pairs()]
-    if found:
-        left = np.repeat([x for x, _, _ in found], [len(near) for _, near, _ in found])
-        right = np.concatenate([near for _, near, _ in found])
-        for k in np.argsort(-np.concatenate([same for _, _, same in found]).astype(int), kind="stable"):
+def _confirmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links (u, v) that join the sets of a group; pairs that are joined already are not compared."""
+    for table in _whole_groups(batches, "text"):
+        found = list(near_pairs(table))
+        if not found:
+            continue
+        sets: list[np.ndarray] = []
+        for batch in table.to_batches():
+            for piece in pieces(batch, "text"):
+                value, size = text_sets(column(piece, "text"))
+                sets += np.split(value, np.cumsum(size)[:-1])
+        sids = table["sid"].to_numpy()
+        # sets of one label are joined in their group from the start
+        names = np.stack([table[c].to_numpy() for c in ("grp", "part", "label")], 1)
+        _, first, which = np.unique(names, axis=0, return_index=True, return_inverse=True)
+        root = first[which.reshape(-1)]
+
+        def top(x: int) -> int:
+            while root[x] != x:
+                root[x] = root[root[x]]
+                x = root[x]
+            return x
+
+        left, right, same = (np.concatenate(c) for c in zip(*found))
+        u, v = [], []
+        # the likeliest first: they join most sets before the doubtful pairs are looked at
+        for k in np.argsort(-same, kind="stable").tolist():
             x, y = int(left[k]), int(right[k])
-            a, b = top(int(group.label[x])), top(int(group.label[y]))
+            a, b = top(x), top(y)
             if a != b and similar(sets[x], sets[y]):
                 root[max(a, b)] = min(a, b)
-                u.append(group.sids[x])
-                v.append(group.sids[y])
-    return pa.table([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
+                u.append(sids[x])
+                v.append(sids[y])
+        yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
+
+
+def _in_groups(rows: DataFrame) -> DataFrame:
+    """Rows dealt and sorted by group; few bytes but much comparing, so as many tasks as the session asks for."""
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(tasks, "grp", "part").sortWithinPartitions("grp", "part", "n", "sid")
 
 
 def _links(groups: DataFrame, docs: DataFrame, name: str) -> DataFrame:
     """``(u, v)``: confirmed links of ``groups(grp, part, side, sid, label, sketch, t1, t2)``."""
-    # few bytes but much comparing: as many tasks as the session asks for, not coalesced by size
-    tasks = int(groups.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    key = ["grp", "part"]
-    near = stored(groups.repartition(tasks, *key).groupBy(*key).applyInArrow(_candidates, groups.schema), f"dedup-{name}-near")
+    near = stored(_in_groups(groups).mapInArrow(_candidates, groups.schema), f"dedup-{name}-near")
     needed = stored(near.select("t1", "t2").distinct(), f"dedup-{name}-needed")
     marked = bounded_broadcast(needed)
     if marked is not needed:  # few: texts that aren't needed never leave their task
         texts = docs.join(marked, ["t1", "t2"]).groupBy("t1", "t2").agg(F.first("text").alias("text"))
     else:  # copies are combined before the exchange
         texts = docs.groupBy("t1", "t2").agg(F.first("text").alias("text")).join(needed, ["t1", "t2"])
-    checked = near.join(texts, ["t1", "t2"])
-    return stored(checked.repartition(tasks, *key).groupBy(*key).applyInArrow(_confirmed, "u long, v long"), f"dedup-{name}-links")
+    checked = _in_groups(near.join(texts, ["t1", "t2"]))
+    return stored(checked.mapInArrow(_confirmed, "u long, v long"), f"dedup-{name}-links")
 
 
 def _stars(hot: DataFrame, info: DataFrame) -> DataFrame:
     """The hot nodes' sets against pivots of the node, as groups; a pivot meets a set once, however many nodes both share."""
-    order = Window.partitionBy("node").orderBy(F.xxhash64("sid"), "sid")
+    order = Window.partitionBy("node").orderBy("sid")  # numbers of sets say nothing about their content
     pivots = hot.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= PIVOTS) \
         .select("node", F.col("sid").alias("grp"))
     pairs = lookup(hot.select("node", "sid"), pivots, ["node"], ["sid"]).where("sid <> grp").select("grp", "sid").distinct()
@@ -254,6 +300,20 @@ def _stars(hot: DataFrame, info: DataFrame) -> DataFrame:
     return _as_groups(members.unionByName(middle))
 
 
+def _gathered(links: DataFrame, name: str, rounds: int = 3) -> DataFrame:
+    """The same components with fewer links: every set points to its smallest linked set, and so do the others it was linked with.
+
+    A set of a hot group is linked with many pivots, all of which are linked among themselves
+    many times over; after this it holds about one link per set.
+    """
+    pairs = links.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v").distinct()
+    for k in range(rounds):
+        low = stored(pairs.withColumn("m", F.min("v").over(Window.partitionBy("u"))), f"dedup-{name}-gathered{k}")
+        pairs = low.select("u", F.col("m").alias("v")).unionByName(low.select(F.col("v").alias("u"), F.col("m").alias("v"))) \
+            .where("u <> v").distinct()
+    return pairs
+
+
 def _as_groups(rows: DataFrame) -> DataFrame:
     if "label" not in rows.columns:
         rows = rows.withColumn("label", F.col("sid"))
@@ -294,16 +354,17 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     sets = described.where("name is not null").groupBy("name").agg(
         F.min("id").alias("first_id"), F.min(F.struct("t1", "t2")).alias("t"), F.first("n").alias("n"),
         F.first("sketch").alias("sketch"), F.first("paths").alias("paths"))  # equal sets have equal ones
-    sets = stored(sets.select("name", "first_id", "t.t1", "t.t2", (F.lit(1) + F.floor(F.col("n") / LONG)).alias("own"),
+    sets = stored(sets.select("name", "first_id", "t.t1", "t.t2", "n", (F.lit(1) + F.floor(F.col("n") / LONG)).alias("own"),
                               "sketch", "paths", F.monotonically_increasing_id().alias("sid")), "dedup-sets")
-    info = sets.select("sid", "sketch", "t1", "t2")
+    info = sets.select("sid", "n", "sketch", "t1", "t2")
     texts = rows.drop("id")
 
     nodes = stored(_nodes(sets, n_trees), "dedup-nodes")
     small = nodes.where(~F.col("hot")).select(F.col("node").alias("grp"), F.lit(0).alias("part"), F.lit(2).alias("side"), "sid", "tree")
     hot = nodes.where("hot").select("node", "sid")
     first = _as_groups(small.where(F.col("tree") < FIRST).drop("tree").join(info, "sid"))
-    links = _links(first.unionByName(_stars(hot, info)), texts, "first")
+    links = _gathered(_links(first.unionByName(_stars(hot, info)), texts, "first"), "first")
+    links = stored(links, "dedup-first-few")
 
     labels = stored(components(links).select(F.col("node").alias("sid"), F.col("component").alias("label")), "dedup-labels")
     labelled = sets.select("sid", "own").join(labels, "sid", "left").withColumn("label", F.coalesce("label", "sid"))
@@ -314,12 +375,14 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     left = _blocks(hot.join(labelled, "sid")).join(info, "sid")
     more = _links(_as_groups(rest).unionByName(_as_groups(left)), texts, "second")
 
-    parts = components(links.unionByName(more))
-    named = sets.select("sid", "name", "first_id").join(parts.withColumnRenamed("node", "sid"), "sid", "left") \
-        .withColumn("component", F.coalesce("component", "sid"))
-    named = stored(named, "dedup-named")
-    smallest = named.groupBy("component").agg(F.min("first_id").alias("component_id"))
-    named = stored(named.join(smallest, "component").select("name", "component_id"), "dedup-components")
+    parts = components(_gathered(links.unionByName(more), "second"))
+    named = sets.select("sid", "name", "first_id")
+    joined = stored(named.join(parts.withColumnRenamed("node", "sid"), "sid", "left"), "dedup-named")
+    together = joined.where("component is not null")
+    smallest = stored(together.groupBy("component").agg(F.min("first_id").alias("component_id")), "dedup-smallest")
+    named = lookup(together, smallest, ["component"], ["sid"]).select("name", "component_id").unionByName(
+        joined.where("component is null").select("name", F.col("first_id").alias("component_id")))
+    named = stored(named, "dedup-components")
     linked = described.where("name is not null").select("id", "n", "name").join(named, "name").select("id", "n", "component_id")
     alone = described.where("name is null").select("id", "n", F.col("id").alias("component_id"))
     return linked.unionByName(alone).select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id",
