@@ -187,25 +187,29 @@ WITH RECURSIVE climb(g, stretch, up, at, hash, step, siblings) AS (
     c.step + 1,
     unhex(array_join(transform(filter(n.kids, (d, i) -> i <> c.at), d -> hex(d)), ''))
   FROM climb c JOIN {nodes} n ON n.node = c.up AND n.stretch = c.stretch)
-SELECT g, step, hash, siblings FROM climb
+SELECT g, step, IF(up IS NULL, hash, NULL) AS folded, siblings FROM climb
 """
 
 
 def climb(manifest: Manifest) -> DataFrame:
-    """``(g, step, hash, siblings)``: every step of every leaf's way to the root, written to the shared folder.
+    """``(g, folded_root, proof_sha256)``: every leaf's way to the root, step by step, then its digest.
 
-    The recursion's row limit counts all rows of the climb, so it is lifted while it runs.
+    Only a leaf's last step keeps the folded hash.  The recursion's row limit counts all rows of
+    the climb, so it is lifted while the result is written to the shared folder.
     """
     spark = manifest.leaves.sparkSession
-    stretch = _div(F.col("g"), SPREAD)
-    leaves = manifest.leaves.select("g", stretch.alias("stretch"), "up", "at", "tampered")
-    nodes = manifest.nodes.select("node", "up", "at", "kids", F.explode(F.sequence(
-        _div(F.col("lo"), SPREAD), _div(F.col("hi"), SPREAD))).alias("stretch"))
-    limit, before = "spark.sql.cteRecursionRowLimit", None
+    leaves = manifest.leaves.select("g", _div(F.col("g"), SPREAD).alias("stretch"), "up", "at", "tampered")
+    nodes = stored(manifest.nodes.select("node", "up", "at", "kids", F.explode(F.sequence(
+        _div(F.col("lo"), SPREAD), _div(F.col("hi"), SPREAD))).alias("stretch")), "merkle-copies")
+    ways = spark.sql(_CLIMB, leaves=leaves, nodes=nodes).groupBy("g").agg(
+        F.max("folded").alias("folded"), F.sort_array(F.collect_list(F.struct("step", "siblings"))).alias("steps"))  # one per level
+    siblings = F.array_join(F.transform("steps", lambda s: F.lower(F.hex(s["siblings"]))), "")
+    ways = ways.select("g", F.lower(F.hex("folded")).alias("folded_root"), F.sha2(siblings.cast("binary"), 256).alias("proof_sha256"))
+    limit = "spark.sql.cteRecursionRowLimit"
     before = spark.conf.get(limit, None)
     spark.conf.set(limit, "-1")
     try:
-        return stored(spark.sql(_CLIMB, leaves=leaves, nodes=stored(nodes, "merkle-copies")), "merkle-climb")
+        return stored(ways, "merkle-climb")
     finally:
         if before is None:
             spark.conf.unset(limit)
@@ -217,13 +221,8 @@ def verify(docs: DataFrame, id_col: str = "doc_id", group_col: str = "lang", tex
            fields: Sequence[str] = FIELDS) -> DataFrame:
     """``(id, leaf, subroot, root, proof_sha256, folded_root, verified)`` per row of ``docs``."""
     manifest = build(docs, id_col, group_col, text_col, fields)
-    ways = climb(manifest).groupBy("g").agg(
-        F.max_by("hash", "step").alias("folded"),
-        F.sort_array(F.collect_list(F.struct("step", "siblings"))).alias("steps"))  # a step per level
-    proof = F.sha2(F.array_join(F.transform("steps", lambda s: F.lower(F.hex(s["siblings"]))), "").cast("binary"), 256)
-    ways = ways.select("g", F.lower(F.hex("folded")).alias("folded_root"), proof.alias("proof_sha256"))
     rows = lookup(manifest.leaves.select("g", "id", "leaf", "k"), manifest.groups.select("k", "subroot"), ["k"], ["g"])
     root = F.lit(manifest.root).cast("string")
-    return rows.join(ways, "g").select(
+    return rows.join(climb(manifest), "g").select(
         F.col("id").alias(id_col), F.lower(F.hex("leaf")).alias("leaf"), F.lower(F.hex("subroot")).alias("subroot"),
         root.alias("root"), "proof_sha256", "folded_root", (F.col("folded_root") == root).alias("verified"))
