@@ -9,13 +9,17 @@ passage whose terms' maxima don't reach the threshold is skipped, then blocks of
 whose block maxima don't reach it; only postings in the remaining blocks are added up.
 The bounds are exact, so nothing above the threshold is lost.
 
-A retrieved item is a leak if the passage holds ``MIN_QUESTION`` of the question's
-``N``-word shingles and ``MIN_ANSWER`` of the answer's.  The answer is the text after the
-last line break (of the item's trimmed text), the question all before; a text of one line
-is all question.
+A retrieved item is a leak if the passage holds ``MIN_QUESTION`` of the question's shingles
+and ``MIN_ANSWER`` of the answer's.  Shingles have ``N`` words; parts of fewer than
+``SHORT`` words have shorter ones (``SHORT_N``), so one changed word of a short part doesn't
+take most of them.  The answer is the text after the last line break (of the item's trimmed
+text), the question all before; a text of one line is all question.
 
-Items are indexed in shards of at most ``SHARD_BYTES`` of text each, which bounds what is
-sent to the tasks; every shard is held against all documents.
+Items are indexed in shards of at most ``SHARD_BYTES`` of text each.  Document frequencies,
+the mean length and the longest item are those of all items, whatever the number of shards,
+so scores and results don't depend on it.  One shard at a time is built and held against all
+documents, and beyond the first its result is written before the next is built: the driver
+and the tasks never hold more than one.
 
 Cases: null or empty texts (of documents or items) have no words and match nothing; an
 item of few words is one shingle; repeated documents are judged each, repeated items are
@@ -25,18 +29,22 @@ kept by ``clean``.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from tagweave.llm.common import Words, column, pieces, shingles
+from tagweave.llm.common import Words, column, pieces, shingles, stored
 
 N = 5
+SHORT_N = ((12, 2), (24, 3))  # (words below which, words of a shingle)
+SHORT = SHORT_N[-1][0]
 K1, B = 1.2, 0.75
 BLOCK = 16
 MIN_SCORE = 0.5
@@ -52,26 +60,48 @@ def _ragged(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
     return np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(begin - (ends - size), size)
 
 
+def shingle_words(words: int) -> int:
+    """Words of a shingle for a part of so many words."""
+    return next((n for below, n in SHORT_N if words < below), N)
+
+
 def question_answer(text: str) -> tuple[str, str]:
     question, _, answer = (text or "").strip().rpartition("\n")
     return (question, answer) if question else (answer, "")
 
 
+@dataclass(frozen=True)
+class Statistics:
+    """Of all items: their number, mean and greatest length in words, and how many hold each of some terms (ascending)."""
+
+    items: int
+    mean: float
+    longest: int
+    terms: np.ndarray
+    df: np.ndarray
+
+
 class Index:
-    """Postings of the items by term and block of ``BLOCK`` items, with block and term maxima."""
+    """Postings of the items by term and block of ``BLOCK`` items, with block and term maxima.
+
+    ``every`` gives the statistics of all items where these are only some.
+    """
 
-    def __init__(self, ids: list, texts: list[str]):
+    def __init__(self, ids: list, texts: list[str], every: Statistics | None = None):
         self.ids = ids
         words = Words(pa.array(texts, pa.large_string()), plain=True)
         size = np.diff(words.offsets)
-        self.stride = max(LEAST_STRIDE, int(size.max(initial=0)))
         item = np.repeat(np.arange(len(texts)), size)
         self.terms, term = np.unique(words.hashes(), return_inverse=True)
         pair, tf = np.unique(term * np.int64(max(len(texts), 1)) + item, return_counts=True)
         self.term, self.item = pair // max(len(texts), 1), pair % max(len(texts), 1)
-        df = np.bincount(self.term, minlength=len(self.terms))
-        idf = np.log(1 + (len(texts) - df + 0.5) / (df + 0.5))
-        length = K1 * (1 - B + B * size / max(size.mean(), 1)) if len(size) else size
+        if every is None:
+            every = Statistics(len(texts), float(size.mean()) if len(size) else 0.0, int(size.max(initial=0)), self.terms,
+                               np.bincount(self.term, minlength=len(self.terms)))
+        self.stride = max(LEAST_STRIDE, every.longest)
+        df = every.df[np.searchsorted(every.terms, self.terms)]
+        idf = np.log(1 + (every.items - df + 0.5) / (df + 0.5))
+        length = K1 * (1 - B + B * size / max(every.mean, 1))
         weight = idf[self.term] * tf * (K1 + 1) / (tf + length[self.item])
         own = np.bincount(self.item, weights=weight, minlength=len(texts))
         self.weight = weight / own[self.item]
@@ -93,7 +123,7 @@ class Index:
     def _part(text: str) -> tuple[int, np.ndarray]:
         """(shingle length, shingles) of a question or an answer."""
         words = Words(pa.array([text], pa.large_string()), plain=True)
-        n = min(N, max(len(words.starts), 1))
+        n = min(shingle_words(len(words.starts)), max(len(words.starts), 1))
         return n, np.unique(shingles(words.hashes(), words.offsets, n)[0])
 
     def retrieve(self, passage: np.ndarray, term: np.ndarray, least: float) -> tuple[np.ndarray, ...]:
@@ -159,16 +189,63 @@ def search(index: Index, texts: pa.Array) -> list[tuple[int, int, float, float,
     return [(t, i, *v) for (t, i), v in sorted(found.items())]
 
 
-def indexes(items: DataFrame, id_col: str = "item_id", text_col: str = "text") -> list[Index]:
-    """Indexes of the items in shards of at most about ``SHARD_BYTES`` of text (one longer item stands alone)."""
-    rows = items.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    total = rows.agg(F.sum(F.octet_length("text") + 64)).first()[0] or 0
-    shards = -(-2 * total // SHARD_BYTES) if total > SHARD_BYTES else 1
-    out = []
-    for s in range(shards):
-        own = rows.where(F.pmod(F.xxhash64("id", "text"), F.lit(shards)) == s).orderBy("id", "text").collect()
-        out.append(Index([r["id"] for r in own], [r["text"] for r in own]))
-    return out
+class Shards(Sequence):
+    """The indexes of all items, in shards of about ``SHARD_BYTES`` of text (one longer item stands alone), each built when asked for."""
+
+    def __init__(self, items: DataFrame, id_col: str, text_col: str):
+        text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+        self.rows = items.select(F.col(id_col).alias("id"), text.alias("text"))
+        total = self.rows.agg(F.sum(F.octet_length("text") + 64)).first()[0] or 0
+        self.n = -(-2 * total // SHARD_BYTES) if total > SHARD_BYTES else 1
+        self.shard = F.pmod(F.xxhash64("id", "text"), F.lit(self.n))
+        if self.n > 1:
+            terms = stored(self._terms(), "leak-terms")  # (shard, term or null, items, words, longest)
+            sums = terms.where("term is null").agg(F.sum("items"), F.sum("words"), F.max("longest")).first()
+            self.sums = sums[0], sums[1] / sums[0], sums[2]
+            self.df = stored(terms.where("term is not null").groupBy("term").agg(F.sum("items").alias("df")), "leak-df")
+            self.own = terms.where("term is not null").select("shard", "term").distinct()
+
+    def _terms(self) -> DataFrame:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for piece in pieces(batch, "text"):
+                    words = Words(column(piece, "text"), plain=True)
+                    size = np.diff(words.offsets)
+                    shard = np.asarray(column(piece, "shard"))
+                    item = np.repeat(np.arange(len(size)), size)
+                    pair = np.unique(np.stack([item.astype(np.uint64), words.hashes()], 1), axis=0)
+                    held, times = np.unique(np.stack([shard[pair[:, 0].astype(np.int64)].astype(np.uint64), pair[:, 1]], 1),
+                                            axis=0, return_counts=True)
+                    none = len(held)
+                    yield pa.RecordBatch.from_arrays([
+                        pa.array(np.append(held[:, 0].astype(np.int64), -1)),
+                        pa.array(np.append(held[:, 1].view(np.int64), 0), mask=np.arange(none + 1) == none),
+                        pa.array(np.append(times, len(size)), pa.int64()),
+                        pa.array(np.append(np.zeros(none, np.int64), size.sum())),
+                        pa.array(np.append(np.zeros(none, np.int64), size.max(initial=0)))],
+                        names=["shard", "term", "items", "words", "longest"])
+
+        return self.rows.select("text", self.shard.alias("shard")).mapInArrow(
+            run, "shard long, term long, items long, words long, longest long")
+
+    def __len__(self) -> int:
+        return self.n
+
+    def __getitem__(self, s: int) -> Index:
+        if not 0 <= s < self.n:
+            raise IndexError(s)
+        own = self.rows.where(self.shard == s).orderBy("id", "text").collect()
+        ids, texts = [r["id"] for r in own], [r["text"] for r in own]
+        if self.n == 1:
+            return Index(ids, texts)
+        held = self.own.where(F.col("shard") == s).join(self.df, "term").select("term", "df").collect()
+        terms = np.array([r["term"] for r in held], np.int64).view(np.uint64)
+        order = np.argsort(terms)
+        return Index(ids, texts, Statistics(*self.sums, terms[order], np.array([r["df"] for r in held], np.int64)[order]))
+
+
+def indexes(items: DataFrame, id_col: str = "item_id", text_col: str = "text") -> Shards:
+    return Shards(items, id_col, text_col)
 
 
 def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -176,6 +253,7 @@ def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
     """``(id, item id, score, question_overlap, answer_overlap)``: one row per document and leaked item."""
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     item_type = items.schema[item_id_col].dataType
+    item_arrow = to_arrow_type(item_type)
     schema = StructType([StructField(id_col, docs.schema[id_col].dataType), StructField(item_id_col, item_type),
                          *[StructField(c, DoubleType()) for c in ("score", "question_overlap", "answer_overlap")]])
 
@@ -187,16 +265,20 @@ def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
                     if found:
                         text, item, *values = (list(x) for x in zip(*found))
                         yield pa.RecordBatch.from_arrays(
-                            [column(piece, "id").take(pa.array(text)), pa.array([index.ids[i] for i in item]),
+                            [column(piece, "id").take(pa.array(text)), pa.array([index.ids[i] for i in item], item_arrow),
                              *[pa.array(v, pa.float64()) for v in values]], names=schema.names)
         return rows.mapInArrow(run, schema)
 
-    return reduce(DataFrame.unionByName, [held_against(x) for x in indexes(items, item_id_col, item_text_col)])
+    shards = indexes(items, item_id_col, item_text_col)
+    if len(shards) == 1:
+        return held_against(shards[0])
+    # written shard by shard, so only one index is held
+    return reduce(DataFrame.unionByName, [stored(held_against(x), "leaks") for x in shards])
 
 
 def clean(docs: DataFrame, items: DataFrame, text_col: str = "text", item_id_col: str = "item_id",
           item_text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` without a leak, unchanged; one pass per index shard, no exchange."""
+    """The rows of ``docs`` without a leak, unchanged; one pass per index shard, each written before the next, no exchange."""
     def without(rows: DataFrame, index: Index) -> DataFrame:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -206,4 +288,7 @@ def clean(docs: DataFrame, items: DataFrame, text_col: str = "text", item_id_col
                     yield piece.filter(pa.array(~bad))
         return rows.mapInArrow(run, docs.schema)
 
-    return reduce(without, indexes(items, item_id_col, item_text_col), docs)
+    shards = indexes(items, item_id_col, item_text_col)
+    for s in range(len(shards) - 1):
+        docs = stored(without(docs, shards[s]), "leaks-clean")
+    return without(docs, shards[len(shards) - 1])
