@@ -8,6 +8,8 @@ tag id fails clearly.  Level-5 rules stay a DataFrame.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,6 +33,23 @@ def source_spec_of(catalog: DataFrame, tag_id: int, default: str | None = "") ->
     return {**(rows[0]["all"] or {}), **rows[0]["spec"].asDict()}
 
 
+def source_specs_of(catalog: DataFrame, wanted: Sequence[tuple[int, str | None]]) -> list[dict]:
+    """:func:`source_spec_of` for several ``(tag id, default)`` in one job; as many rows reach the driver."""
+    ids = sorted({i for i, _ in wanted})
+    rows = (catalog.where(F.col("id").isin(ids))
+            .select("id", source_spec(parse_rule("rule"), None).alias("spec"), parse_rule("rule").alias("all"))
+            .limit(len(ids) + 1).collect())
+    found: dict[int, tuple[dict, dict]] = {}
+    for r in rows:
+        if r["id"] in found:
+            raise LookupError(f"tag id {r['id']} is not unique in the catalog")
+        found[r["id"]] = (r["all"] or {}, r["spec"].asDict())
+    missing = [i for i in ids if i not in found]
+    if missing:
+        raise LookupError(f"tag {missing[0]} is not in the catalog")
+    return [{**found[i][0], **{k: default if v is None else v for k, v in found[i][1].items()}} for i, default in wanted]
+
+
 def value_rules(catalog: DataFrame, tag_id: int) -> DataFrame:
     """Level-5 rules under ``tag_id``: ``(id INT, rule STRING)``."""
     return (catalog.where(F.col("pid") == F.lit(tag_id))

@@ -2,7 +2,7 @@
 
 * :func:`match_rules` - exact match against level-5 rules (a broadcast hash join).
 * :func:`match_values` - a fixed ``{value: tag}`` CASE.
-* :func:`match_ranges` - numeric ranges ``lo <= v <= hi`` (CASE, or a lookup of distinct values).
+* :func:`match_ranges` - numeric ranges ``lo <= v <= hi`` (CASE, an interval index, or a lookup of distinct values).
 
 Rule values are compared as strings; the fixed maps compare whole-number keys as numbers
 (``'01'`` and ``' 1'`` equal 1) by ``try_cast``, so ANSI mode never raises on ``'abc'``.
@@ -10,6 +10,7 @@ Rule values are compared as strings; the fixed maps compare whole-number keys as
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
 
 from pyspark import StorageLevel
@@ -21,6 +22,7 @@ from tagweave.operators.joins import DEFAULT_BROADCAST_ROWS, bounded_broadcast
 from tagweave.schemas import TAG_COL, USER_KEY
 
 
+INDEX_ROWS = 10_000  # ranges that become an index inside the plan
 SALTS = 32  # tasks that share a hot source value where the lookup is not broadcast
 
 
@@ -104,16 +106,44 @@ def range_column(value: Column, ranges: Sequence[tuple[int, int, int]]) -> Colum
     return out.cast("int") if out is not None else F.lit(None).cast("int")
 
 
+def _literal_array(values: Sequence[int | None], kind: str) -> Column:
+    # one text folded to an array when the query is optimized; a literal per value costs a driver call each
+    return F.from_json(F.lit(json.dumps(list(values))), F.lit(f"array<{kind}>"))
+
+
+def range_index(value: Column, ranges: Sequence[tuple[int, int, int]]) -> Column:
+    """The tag of the range that holds ``value``, null if none, by binary search in sorted bounds.
+
+    ``ranges`` are ``(lo, hi, tag)`` that do not overlap (else ``ValueError``); a range whose end is
+    before its start holds nothing.  The bounds are three sorted arrays inside the plan, so
+    every task holds them once; a row costs log2 of their number, whatever the ranges are.
+    """
+    rows = sorted(tuple(r) for r in ranges)
+    if any(a[1] >= b[0] for a, b in zip(rows, rows[1:])):
+        raise ValueError("range rules overlap; use a list of ranges for first-match order")
+    if not rows:
+        return F.lit(None).cast("int")
+    los, his, tags = (_literal_array(c, k) for c, k in zip(zip(*rows), ("bigint", "bigint", "int")))
+    steps = [1 << k for k in reversed(range(len(rows).bit_length()))]
+    # how many ranges start at or before the value, found from the highest binary digit down
+    started = F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0), lambda at, s: F.when(
+        (at + s <= len(rows)) & (F.get(los, at + s - 1) <= value), at + s).otherwise(at))
+    tag = F.transform(F.array(started), lambda at: F.when((at > 0) & (value <= F.get(his, at - 1)), F.get(tags, at - 1)))
+    return F.get(tag, 0).cast("int")
+
+
 def match_ranges(source: DataFrame, value: Column, ranges: Sequence[tuple[int, int, int]] | DataFrame,
                  *, key_col: str = "id", out_key: str = USER_KEY, out_tag: str = TAG_COL,
                  max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Tag by the range that contains ``value``; none -> null.
 
     A list of ``(lo, hi, tag)`` becomes a CASE chain (first range wins).  A DataFrame
-    ``(lo, hi, id)`` of non-overlapping ranges is looked up once per distinct source
-    value by an exact sort (:func:`_floor_lookup`); the source then joins that lookup,
-    broadcast when it is proven small and salted beyond.  A range with a null bound
-    holds no value and is left out; overlapping ranges raise ``ValueError``.
+    ``(lo, hi, id)`` of non-overlapping ranges with at most ``INDEX_ROWS`` rows becomes an
+    interval index (:func:`range_index`): the source is only projected.  Above that bound the
+    ranges are looked up once per distinct source value by an exact sort
+    (:func:`_floor_lookup`); the source then joins that lookup, broadcast when it is proven
+    small and salted beyond.  A range with a null bound holds no value and is left out;
+    overlapping ranges raise ``ValueError``.
     """
     if not isinstance(ranges, DataFrame):
         return source.select(_col(key_col).alias(out_key), range_column(value, ranges).alias(out_tag))
@@ -121,6 +151,10 @@ def match_ranges(source: DataFrame, value: Column, ranges: Sequence[tuple[int, i
                       F.col("id").cast("int").alias("_tag"))
     src = source.select(_col(key_col).alias("_key"), value.alias("_v"))
     r = r.where(F.col("_lo").isNotNull() & F.col("_hi").isNotNull())
+    # the only job before the plan: it reads the ranges and proves their number at once
+    few = r.limit(min(INDEX_ROWS, max_broadcast_rows) + 1).collect()
+    if len(few) <= min(INDEX_ROWS, max_broadcast_rows):
+        return src.select(F.col("_key").alias(out_key), range_index(F.col("_v"), few).alias(out_tag))
     lookup = _floor_lookup(src.select("_v").where(F.col("_v").isNotNull()).distinct(), r)
     joined = _lookup_join(src, lookup, max_broadcast_rows)
     return joined.select(F.col("_key").alias(out_key), F.col("_tag").alias(out_tag))

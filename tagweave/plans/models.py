@@ -27,7 +27,8 @@ class TagModel:
     * ``merge="replace"``: the new tag overwrites the stored one (no merge).
 
     ``order`` (``old_first``/``new_first``) and ``blank`` (``empty``/``blank``) select
-    the merge variant; ``spec_default`` fills keys missing from the level-4 rule.
+    the merge variant; ``spec_default`` fills keys missing from the level-4 rule; ``key`` is
+    the source column that ``compute`` hands on as the user id, row by row.
     """
 
     name: str
@@ -37,6 +38,7 @@ class TagModel:
     order: str = "old_first"
     blank: str = "blank"
     spec_default: str | None = None
+    key: str = "id"
 
     def __post_init__(self):
         if self.merge not in MERGES:

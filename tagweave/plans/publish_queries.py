@@ -16,6 +16,7 @@ from tagweave.operators import catalog_ops as C
 from tagweave.plans import models as M
 from tagweave.plans import queries as Q
 from tagweave.plans import testbed as T
+from tagweave.plans.multi import run_all
 from tagweave.plans.runner import run
 from tagweave.session import ensure_checkpoint_dir
 from tagweave.sources.catalog_store import CatalogStore
@@ -67,6 +68,50 @@ ORACLE["run_models_layered"] = (
     "SELECT 'compacted', userId, tagIds, 1, n FROM s3, c")
 
 
+def run_all_models(spark: SparkSession, d: str) -> DataFrame:
+    """All six models in one pass over the users' cells, published as one version of a snapshot store
+    and of a layered one; the result is both as read back."""
+    catalog, cells = T.base_catalog(spark, d), {T.USERS_TABLE: T.user_cells(spark, d)}
+    models = [M.job_tag(), M.gender_model(), M.blacklist_tag(), M.job_model("job_code"), M.nationality_tag(), M.age_model()]
+    parts = []
+    for kind in ("false", "true"):
+        store = StoreSpec.from_options({"path": _folder(spark, "all"), "rowKey": "userId", "selectFields": "tagIds",
+                                        "layered": kind}).open(spark)
+        store.upsert(T.history(spark, d))
+        run_all(models, catalog, store, cells)
+        parts.append(store.read().select(F.lit(kind).alias("layered"), "userId", "tagIds",
+                                         F.lit(store.latest_version()).alias("version")))
+    return parts[0].unionByName(parts[1])
+
+
+QUERIES["run_all_models"] = run_all_models
+
+
+def _next_sql(name: str, before: str, new: str, merge: str, first: str = "old", blank: str = "blank") -> str:
+    """The store after one more model, as a CTE over the one before."""
+    a, b = ("o.tagIds", "n.tagIds") if first == "old" else ("n.tagIds", "o.tagIds")
+    value = "n.tagIds" if merge == "replace" else Q.merge_sql(a, b, blank)
+    how = "LEFT JOIN" if merge == "inner" else "FULL OUTER JOIN"
+    return (f"{name} AS (SELECT COALESCE(o.userId, n.userId) AS userId, COALESCE({value}, o.tagIds) AS tagIds "
+            f"FROM {before} o {how} {new} n ON o.userId = n.userId)")
+
+
+def _rule_tags_sql(name: str, pid: int, column: str) -> str:
+    return (f"{name} AS (SELECT u.id AS userId, CAST(COALESCE(r.id, 0) AS VARCHAR) AS tagIds FROM users u LEFT JOIN "
+            f"(SELECT rule, max(id) AS id FROM base WHERE pid = {pid} GROUP BY rule) r ON r.rule = u.{column})")
+
+
+ORACLE["run_all_models"] = "WITH " + ", ".join([
+    Q.USERS_SQL, Q.HISTORY_SQL, Q.BASE_SQL, _rule_tags_sql("n1", M.JOB_TAG_ID, "job"),
+    Q._new_sql("gender").replace("new AS", "n2 AS", 1), _rule_tags_sql("n3", M.BLACKLIST_TAG_ID, "is_blackList"),
+    Q._new_sql("job_code").replace("new AS", "n4 AS", 1), _rule_tags_sql("n5", M.NATIONALITY_TAG_ID, "nationality"),
+    Q._new_sql("age").replace("new AS", "n6 AS", 1),
+    _next_sql("s1", "history", "n1", "inner", "old", "empty"), _next_sql("s2", "s1", "n2", "replace"),
+    _next_sql("s3", "s2", "n3", "inner", "old", "empty"), _next_sql("s4", "s3", "n4", "left", "new"),
+    _next_sql("s5", "s4", "n5", "inner", "old", "empty"), _next_sql("s6", "s5", "n6", "left")]) + (
+    " SELECT v.layered AS layered, userId, tagIds, 2 AS version FROM s6, (VALUES ('false'), ('true')) v(layered)")
+
+
 def anchored_requests(spark: SparkSession, d: str) -> DataFrame:
     """Category requests of every customer, a third of them from the region down, a third under a given
     region id and a third under a given nation id (some of these ids are not in the catalog); and one

@@ -21,7 +21,7 @@ compaction never delays a writer, nor loses a delta published while it ran.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -34,6 +34,8 @@ from tagweave.schemas import USER_KEY
 from tagweave.sources.manifest import ConcurrentUpdateError, VersionedFolder
 from tagweave.sources.store import Combine, one_row_per_key, require_key
 
+Fold = Callable[[Column, Column, Column], Column]
+
 IS_NEW = "_layer_new"  # in a delta: no earlier layer holds the key
 _SEQ = "_layer_seq"
 BROADCAST_FILE_BYTES = 16 * 1024 * 1024  # of compressed files
@@ -115,9 +117,12 @@ class LayeredStore(VersionedFolder):
 
     # ------------------------------------------------------------ write
     def upsert(self, new: DataFrame, *, fields: Sequence[str] | None = None, combine: Mapping[str, Combine] | None = None,
-               insert_new: bool = True, order: Column | None = None, unique: bool = False, retries: int = 5) -> int | None:
+               insert_new: bool | Column = True, order: Column | None = None, unique: bool = False, retries: int = 5,
+               fold: Mapping[str, tuple[str, Fold]] | None = None) -> int | None:
         """Write ``new`` over the store, cell by cell; returns the version (see ``upsert_frame`` for the rules).
 
+        ``insert_new`` may be a condition on the rows of ``new``.  ``fold`` gives, for a field whose new
+        cells are not of the stored type, that type and ``f(stored cell, new cell, key is stored)``.
         ``unique=True`` states that ``new`` has one row per key (no aggregate is made).  An
         upsert that changes nothing publishes nothing.  ``new`` is computed once, also when the
         delta has to be computed again.
@@ -130,7 +135,7 @@ class LayeredStore(VersionedFolder):
         try:
             for attempt in range(retries + 1):
                 base = self.published()
-                layer = self._delta(given, base["layers"] if base else [], fields, dict(combine or {}), insert_new)
+                layer = self._delta(given, base["layers"] if base else [], fields, dict(combine or {}), dict(fold or {}), insert_new)
                 if not layer["rows"]:
                     self._delete(layer["path"])
                     return base["version"] if base else None
@@ -142,34 +147,41 @@ class LayeredStore(VersionedFolder):
             self._delete(given["path"])
         raise ConcurrentUpdateError(f"{self.path}: other writers kept changing the same keys")
 
-    def _delta(self, given: dict, layers: list[dict], fields: list[str], combine: dict[str, Combine], insert_new: bool) -> dict:
+    def _delta(self, given: dict, layers: list[dict], fields: list[str], combine: dict[str, Combine],
+               fold: dict[str, tuple[str, Fold]], insert_new: bool | Column) -> dict:
         """The layer of ``given`` over ``layers``: the cells it writes, for keys whose cells change."""
         key, new = self.key, self._open(given)
+        kind = {c: fold[c][0] if c in fold else new.schema[c].dataType for c in fields}
+        insert = insert_new if isinstance(insert_new, Column) else F.lit(insert_new)
+
+        def cell(c: str, old: Column, there: Column) -> Column:
+            if c in fold:
+                return fold[c][1](old, F.col(c), there)
+            return combine[c](old, F.col(c)) if c in combine else F.col(c)
+
         if not layers:
-            none = {c: F.lit(None).cast(new.schema[c].dataType) for c in fields}
-            first = new.select(key, *[(combine[c](none[c], F.col(c)) if c in combine else F.col(c)).alias(c) for c in fields])
-            return self._write(first if insert_new else first.limit(0), "base")
+            first = new.where(insert).select(key, *[cell(c, F.lit(None).cast(kind[c]), F.lit(False)).alias(c) for c in fields])
+            return self._write(first, "base")
         keys = new.select(F.col(key).alias("_layer_key"))
         keys = F.broadcast(keys) if self._small([given]) else keys
         changes, base = self._fold(layers[1:]), self._open(layers[0])
         # the stored cells of the touched keys: scans that keep only these rows
         stored = base.join(keys, base[key] == F.col("_layer_key")).select(
-            key, *[F.col(c) if c in base.columns else F.lit(None).cast(new.schema[c].dataType).alias(c) for c in fields])
+            key, *[F.col(c) if c in base.columns else F.lit(None).cast(kind[c]).alias(c) for c in fields])
         old = stored.select(F.col(key).alias("_layer_key"), *[F.col(c).alias(f"_layer_{c}") for c in fields])
         rows = new.join(old, F.col(key) == F.col("_layer_key"), "left").withColumn("_layer_old", F.col("_layer_key").isNotNull())
         rows = rows.drop("_layer_key")
         if changes is not None:
             later = changes.select(F.col(key).alias("_layer_key"), *[
-                (F.col(c) if c in changes.columns else F.lit(None).cast(new.schema[c].dataType)).alias(f"_later_{c}") for c in fields])
+                (F.col(c) if c in changes.columns else F.lit(None).cast(kind[c])).alias(f"_later_{c}") for c in fields])
             rows = rows.join(later, F.col(key) == F.col("_layer_key"), "left") \
                 .withColumn("_layer_old", F.col("_layer_old") | F.col("_layer_key").isNotNull())
             for c in fields:
                 rows = rows.withColumn(f"_layer_{c}", F.coalesce(F.col(f"_later_{c}"), F.col(f"_layer_{c}")))
         before = {c: F.col(f"_layer_{c}") for c in fields}
-        after = {c: combine[c](before[c], F.col(c)) if c in combine else F.col(c) for c in fields}
-        changed = [x.isNotNull() & ~x.eqNullSafe(before[c]) for c, x in after.items()]
-        keep = reduce(lambda a, b: a | b, changed, ~F.col("_layer_old")) if insert_new else \
-            F.col("_layer_old") & reduce(lambda a, b: a | b, changed, F.lit(False))
+        after = {c: cell(c, before[c], F.col("_layer_old")) for c in fields}
+        changed = reduce(lambda a, b: a | b, [x.isNotNull() & ~x.eqNullSafe(before[c]) for c, x in after.items()], F.lit(False))
+        keep = F.when(F.col("_layer_old"), changed).otherwise(insert)
         return self._write(rows.where(keep).select(key, *[x.alias(c) for c, x in after.items()],
                                                    (~F.col("_layer_old")).alias(IS_NEW)), "delta")
 

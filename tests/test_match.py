@@ -139,3 +139,28 @@ def test_salted_rule_lookup_spreads_a_hot_value(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     assert tags == {7: 13334, 8: 1, 0: 26665}
     assert max(sizes) < 3 * sum(sizes) / len(sizes)
+
+
+def test_range_index_needs_no_exchange(spark):
+    """Ranges given as a table: a projection, and as many answers as the CASE and the sorted lookup give."""
+    ranges = [(lo, lo + lo % 7, 10_000 + lo) for lo in range(-500, 4000, 9)] + [(9000, 8000, 1), (2**62, 2**63 - 1, 2)]
+    src = spark.range(-600, 4200).select(F.col("id").cast("string").alias("id"), F.col("id").alias("v")).unionByName(
+        spark.createDataFrame([("n", None), ("low", -2**63), ("high", 2**63 - 1), ("rev", 8500)], "id string, v long"))
+    rules = spark.createDataFrame(ranges, "lo LONG, hi LONG, id INT")
+    got = match_ranges(src, F.col("v"), rules)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Join" not in plan
+    assert rows(got) == rows(match_ranges(src, F.col("v"), rules, max_broadcast_rows=5))
+    assert rows(got) == rows(match_ranges(src, F.col("v"), ranges))
+    assert dict(rows(got))["high"] == 2
+    assert {r[1] for r in rows(match_ranges(src, F.col("v"), rules.limit(0)))} == {None}
+
+
+def test_range_index_of_one_and_of_many(spark):
+    src = spark.range(0, 20_000).select(F.col("id").cast("string").alias("id"), F.col("id").alias("v"))
+    one = spark.createDataFrame([(3, 5, 7)], "lo LONG, hi LONG, id INT")
+    assert match_ranges(src, F.col("v"), one).where("tagIds = 7").count() == 3
+    many = spark.range(0, 9_999).selectExpr("id * 2 as lo", "id * 2 as hi", "cast(id as int) as id")
+    got = match_ranges(src, F.col("v"), many)
+    assert got.where("tagIds is not null").count() == 9_999
+    assert got.where("tagIds * 2 <> cast(userId as long)").isEmpty()
