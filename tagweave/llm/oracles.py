@@ -49,7 +49,7 @@ bins AS (SELECT lang, w, q FROM top UNION ALL SELECT lang, NULL, 1 - sum(q) FROM
 refc AS (SELECT lang, k, n / sum(n) OVER (PARTITION BY lang) AS q FROM (SELECT lang, k, sum(n) AS n FROM cls
          WHERE NOT base_failed AND lang IS NOT NULL GROUP BY lang, k) JOIN tot USING (lang)),
 cand AS (SELECT j.rid, t.lang AS ref FROM judged j JOIN tot t
-         ON t.lang = j.lang OR j.lang IS NULL OR j.lang NOT IN (SELECT lang FROM tot)),
+         ON t.lang = j.lang OR j.lang IS NULL),
 cd AS (SELECT rid, ref, sqrt(greatest(sum(CASE WHEN p > 0 THEN p * log2(2 * p / (p + q)) ELSE 0 END
          + CASE WHEN q > 0 THEN q * log2(2 * q / (p + q)) ELSE 0 END) / 2, 0)) AS cd
        FROM (SELECT c.rid, x.ref, cls.n / c.chars AS p, r.q FROM judged c JOIN cand x USING (rid) JOIN cls USING (rid)
@@ -107,12 +107,16 @@ def _share(part: str, n: str) -> str:
             f"/ len({part}) END")
 
 
+def _n(part: str) -> str:
+    return f"CASE {' '.join(f'WHEN len({part}) < {below} THEN {n}' for below, n in D.SHORT_N)} ELSE {D.N} END"
+
+
 LEAKS = rf"""
 WITH i AS (SELECT row_number() OVER () AS iid, item_id, trim(COALESCE(text, ''), ' ' || chr(9) || chr(10) || chr(11)
   || chr(12) || chr(13)) AS t, {_plain('text')} AS w FROM benchmark),
 qa AS (SELECT iid, item_id, {_plain("CASE WHEN contains(t, chr(10)) THEN regexp_extract(t, '(?s)^(.*)' || chr(10), 1) ELSE t END")} AS q,
   {_plain("CASE WHEN contains(t, chr(10)) THEN regexp_extract(t, '[^' || chr(10) || ']*$') ELSE '' END")} AS a FROM i),
-parts AS (SELECT iid, item_id, greatest(least({D.N}, len(q)), 1) AS qn, greatest(least({D.N}, len(a)), 1) AS an, q, a FROM qa),
+parts AS (SELECT iid, item_id, greatest(least({_n('q')}, len(q)), 1) AS qn, greatest(least({_n('a')}, len(a)), 1) AS an, q, a FROM qa),
 grams AS (SELECT iid, item_id, qn, an, {_grams('q', 'qn')} AS qg, {_grams('a', 'an')} AS ag FROM parts),
 s AS (SELECT greatest({D.LEAST_STRIDE}, max(len(w))) AS stride, count(*) AS n, greatest(avg(len(w)), 1) AS mean FROM i),
 tf AS (SELECT iid, term, count(*) AS tf FROM (SELECT iid, unnest(w) AS term FROM i) GROUP BY iid, term),

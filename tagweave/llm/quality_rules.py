@@ -182,16 +182,18 @@ def references(docs: DataFrame, text_col: str = "text", lang_col: str = "lang")
             ref["words"].append((r["item"], r["n"]))
     for ref in out.values():
         ref["words"].sort(key=lambda x: (-x[1], x[0].encode()))
-    return {k: v for k, v in out.items() if v["total"] >= MIN_REFERENCE}
+    return out
 
 
 def _common(counted: DataFrame) -> DataFrame:
-    """The common words of each language, its word total (null item) and its class counts."""
+    """The common words, word total (null item) and class counts of each language with ``MIN_REFERENCE`` words."""
     order = W.partitionBy("lang").orderBy(F.desc("n"), "item")
     words = counted.where("not is_class")
     top = words.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= COMMON).drop("rank")
-    total = words.groupBy("lang", "is_class").agg(F.lit(None).cast("string").alias("item"), F.sum("n").alias("n"))
-    return top.unionByName(total).unionByName(counted.where("is_class"))
+    total = words.groupBy("lang", "is_class").agg(F.lit(None).cast("string").alias("item"), F.sum("n").alias("n")) \
+        .where(F.col("n") >= MIN_REFERENCE)
+    known = total.select("lang")
+    return top.unionByName(counted.where("is_class")).join(known, "lang", "left_semi").unionByName(total)
 
 
 class Judge:
