@@ -4,6 +4,7 @@ import re
 from collections import Counter
 
 import pyarrow as pa
+import pytest
 
 from tagweave.llm import decontaminate as D
 from tests_llm_rows import SCHEMA, doc_rows, docs, no_docs, prose  # noqa: F401
@@ -82,7 +83,7 @@ def brute(items, rows):
                 continue
             share = []
             for part in parts:
-                n = min(D.N, max(len(part), 1))
+                n = min(D.shingle_words(len(part)), max(len(part), 1))
                 have = grams(plain(text), n)
                 share.append(len(grams(part, n) & have) / len(grams(part, n)) if part else 1)
             if share[0] >= D.MIN_QUESTION and share[1] >= D.MIN_ANSWER:
@@ -114,3 +115,63 @@ def test_empty_tables(spark, docs, no_docs):
     bench = spark.createDataFrame(item_rows(), ITEMS)
     assert D.leaks(docs, none).collect() == [] and D.leaks(no_docs, bench).collect() == []
     assert D.clean(docs, none).count() == docs.count()
+
+
+@pytest.mark.parametrize("kind", ["int", "string", "decimal(10,2)", "date"])
+def test_item_ids_of_any_type(spark, docs, kind):
+    items, rows, held = planted()
+    as_id = {"int": "cast(item_id as int)", "string": "concat('i', item_id)", "decimal(10,2)": "cast(item_id as decimal(10,2))",
+             "date": "date_add(date'2020-01-01', cast(item_id as int))"}[kind]
+    bench = spark.createDataFrame([r for r in items if r[0] is not None], ITEMS).selectExpr(f"{as_id} as item_id", "text")
+    found = D.leaks(spark.createDataFrame(rows, SCHEMA), bench)
+    assert found.schema["item_id"].dataType.simpleString() == kind
+    assert len({(r["doc_id"], r["item_id"]) for r in found.collect()}) == len(brute([r for r in items if r[0] is not None], rows))
+
+
+def test_scores_do_not_depend_on_the_number_of_shards(spark, monkeypatch):
+    """Retrieval alone: the same pairs and scores from one index and from many."""
+    items, rows, _ = planted()
+    bench = spark.createDataFrame(items, ITEMS)
+    for name in ("MIN_QUESTION", "MIN_ANSWER"):
+        monkeypatch.setattr(D, name, 0.0)
+    monkeypatch.setattr(D, "MIN_SCORE", 0.2)
+
+    texts = pa.array([r[1] for r in rows])
+
+    def scores():  # in this process, where the changed thresholds hold
+        found = {(t, str(index.ids[i]), index.parts[i][0][1].tobytes(), round(s, 9))
+                 for index in D.indexes(bench) for t, i, s, *_ in D.search(index, texts)}
+        assert len(found) > 50
+        return found
+
+    whole = scores()
+    monkeypatch.setattr(D, "SHARD_BYTES", 3000)
+    assert len(D.indexes(bench)) > 3 and scores() == whole
+
+
+def test_one_changed_word_of_short_parts(spark):
+    rng = random.Random(12)
+    lone = " ".join(f"w{k}" for k in range(15))  # one line of 15 words
+    pair = " ".join(f"q{k}" for k in range(20)) + "\n" + " ".join(f"a{k}" for k in range(6))
+    items = [(0, lone, 0), (1, pair, 1)] + [(10 + k, prose(rng, 40), 0) for k in range(20)]
+    rows = []
+    for k in range(1, 14):
+        w = lone.split()
+        w[k] = "changed"
+        rows.append((k, prose(rng, 80) + " " + " ".join(w) + " " + prose(rng, 80), "en", "s", 0))
+    for k in range(1, 5):
+        q, a = (x.split() for x in pair.split("\n"))
+        q[9], a[k] = "changed", "changed"
+        rows.append((100 + k, prose(rng, 80) + " " + " ".join(q + a), "en", "s", 0))
+    rows += [(200, " ".join(random.Random(1).sample(lone.split(), 15)), "en", "s", 0), (201, prose(rng, 200), "en", "s", 0)]
+    docs, bench = spark.createDataFrame(rows, SCHEMA), spark.createDataFrame(items, ITEMS)
+    got = {(r["doc_id"], r["item_id"]) for r in D.leaks(docs, bench).collect()}
+    assert got == {(k, 0) for k in range(1, 14)} | {(100 + k, 1) for k in range(1, 5)}
+
+
+def test_clean_by_shards(spark, monkeypatch):
+    items, rows, _ = planted()
+    monkeypatch.setattr(D, "SHARD_BYTES", 4000)
+    docs, bench = spark.createDataFrame(rows, SCHEMA), spark.createDataFrame(items, ITEMS)
+    bad = {d for d, _ in brute(items, rows)}
+    assert sorted(r["doc_id"] or -1 for r in D.clean(docs, bench).collect()) == sorted(r[0] or -1 for r in rows if r[0] not in bad)

@@ -79,7 +79,7 @@ def test_several_levels_and_copies_of_high_nodes(spark, monkeypatch):
     assert any(r[6] for r in found if zlib.crc32(str(r[0]).encode()) % 3 == 0)  # nothing to lower-case
 
 
-@pytest.mark.parametrize("n", [1, 2, 8, 9])
+@pytest.mark.parametrize("n", [1, 9])
 def test_small_trees(spark, n):
     rows = [(k, "A", "en", "s", 1) for k in range(n)]
     found = got(spark.createDataFrame(rows, DOCS))
@@ -98,11 +98,11 @@ def test_hot_repeated_row_empty_and_clashing(spark, no_docs):
 def test_recursion_limit_is_put_back(spark):
     name = "spark.sql.cteRecursionRowLimit"
     before = spark.conf.get(name)
-    spark.conf.set(name, "123")
+    spark.conf.set(name, "12")
     try:
-        rows = [(k, "A b", "en", "s", 1) for k in range(100)]
+        rows = [(k, "A b", "en", "s", 1) for k in range(20)]
         assert got(spark.createDataFrame(rows, DOCS)) == brute(rows)
-        assert spark.conf.get(name) == "123"
+        assert spark.conf.get(name) == "12"
     finally:
         spark.conf.set(name, before)
 

@@ -2,7 +2,6 @@ import random
 
 import numpy as np
 import pyarrow as pa
-import pytest
 
 from tagweave.llm import minhash_dedup as H
 from tests_llm_rows import SCHEMA, doc_rows, docs, no_docs, prose, words  # noqa: F401
@@ -74,11 +73,10 @@ def test_links_at_the_threshold(spark):
     assert not H.similar(np.arange(9), np.arange(7))
 
 
-@pytest.mark.parametrize("leaf, block", [(256, 512), (3, 7)])
-def test_groups_of_near_copies(spark, monkeypatch, leaf, block):
-    """Small limits: every group becomes a hot node, met by pivots and then block by block."""
-    monkeypatch.setattr(H, "LEAF", leaf)
-    monkeypatch.setattr(H, "BLOCK", block)
+def test_groups_of_near_copies(spark, monkeypatch):
+    """Small limits: every group becomes a hot node, met by pivots and then block by block; long sets count more."""
+    for name, value in (("LEAF", 3), ("BLOCK", 7), ("LONG", 50)):
+        monkeypatch.setattr(H, name, value)
     rows = near_copies(60) + near_copies(40, seed=4, start=2000, edits=30) + doc_rows(seed=5)
     assert got(spark, rows) == brute(rows)
 
@@ -100,7 +98,7 @@ def test_pivots_alone_do_not_decide(spark, monkeypatch):
 
 def test_needed_texts_by_exchange(spark, monkeypatch):
     monkeypatch.setattr(H, "bounded_broadcast", lambda df: df)
-    rows = near_copies(20) + [(k, "same text of all rows", "", "", 0) for k in range(50, 90)]
+    rows = near_copies(20, edits=4) + [(k, "same text of all rows", "", "", 0) for k in range(50, 90)]
     assert got(spark, rows) == brute(rows)
 
 
@@ -129,14 +127,6 @@ def test_clashing_names_and_empty(spark, no_docs, docs):
     assert sorted(map(tuple, H.dedup(ids, "name", "body").collect())) == [("a", 2, "a", True), ("b", 2, "a", False)]
 
 
-def test_long_sets_count_more(spark, monkeypatch):
-    monkeypatch.setattr(H, "LONG", 50)
-    monkeypatch.setattr(H, "LEAF", 4)
-    monkeypatch.setattr(H, "BLOCK", 4)
-    rows = near_copies(12) + doc_rows(seed=9, n=30)
-    assert got(spark, rows) == brute(rows)
-
-
 def test_sets_match_the_definition():
     texts = ["a", "a b", "A B a", "", None, " x\ty x y ", "é É"]
     value, size = H.text_sets(pa.array(texts))
