@@ -18,8 +18,7 @@ NOTES = {
                              "table is never shuffled for the match (its shuffle here is the fixture's "
                              "per-key aggregate, combined map-side).",
     "upsert_merge_lineitem": "Merge and upsert in one full outer sort-merge join on the key; the merge is a "
-                             "column expression in the projection; only the key and tag columns are read and "
-                             "the history's date filter is pushed into the scan.",
+                             "column expression in the projection; only the key and tag columns are read.",
     "cells_latest": "One aggregate per row key with a max_by per qualifier; partial_max_by runs before the "
                     "shuffle, so a hot row key shrinks to one row per task.",
     "tagging_job": "End to end: cells pivot -> broadcast rule match -> left outer join with the stored "
@@ -28,6 +27,8 @@ NOTES = {
     "path_upsert": "All levels resolved in one lazy plan; new nodes were numbered once from a reliable "
                    "checkpoint (the scan of the checkpointed rows below), joined with the bounded "
                    "per-partition offsets (broadcast) and once more with themselves to link new parents.",
+    "match_age_range_join": "Ranges from the catalog as an interval index: a projection with a binary search in "
+                            "sorted bounds; no exchange, no join.",
     "model_state": "Latest change per tag with a map-side combined max_by, then a join with the model table; "
                    "model ids come from the parallel id assignment (checkpointed scan).",
 }

@@ -75,7 +75,7 @@ def _age_rule_rows(spark, d):
 
 
 def q_match_age_range_join(spark, d):
-    """The same ranges read from the catalog and matched by a broadcast range join."""
+    """The same ranges read from the catalog and matched by an interval index."""
     return match_ranges(T.users(spark, d), date_digits("birthday"), _age_rule_rows(spark, d))
 
 
