@@ -2,8 +2,10 @@
 
 The model reads character n-grams (3 to 5, digits as ``0``) of host and path, hashed by
 crc32 into ``BUCKETS`` weights, each URL scaled to unit length.  It is trained by gradient
-descent (Adagrad) on a small labelled table of URLs; per step Spark sums the gradient and the driver
-holds the weights (``BUCKETS`` numbers).  Everything is DataFrame functions.
+descent (Adagrad) on a small labelled table of URLs (at most ``MAX_LABELLED`` rows of a larger
+one); per step Spark sums the gradient and the driver holds the weights (``BUCKETS`` numbers).
+Everything is DataFrame functions.  The default table is invented: sites named after topics, or
+after nothing, under the same domains; half of each side's paths are ordinary ones.
 
 Cases: a null url, or one without ``://``, has empty host and path and no n-grams, so the
 bias decides (allow, with the default table); a path without a leading ``/`` fits no rule;
@@ -23,36 +25,64 @@ from tagweave.llm.common import stored
 
 BUCKETS = 1 << 15
 GRAMS = (3, 4, 5)
-STEPS = 15
+STEPS = 30
 RATE = 0.5
 L2 = 0.0001
-BLOCK_SHARE = 0.1  # weight of the blocked class in training
+BLOCK_SHARE = 0.4  # weight of the blocked class in training, chosen on left-out sites
+MAX_LABELLED = 20_000  # rows the model is fitted on: those with the smallest hash of the url
 ADDED = ["host", "path", "rule", "verdict", "block_score"]
 
 # (host, path prefix, verdict)
 RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"),
          ("com", "/fr/", "allow"), ("com", "/de/", "block")]
 
-_BLOCK_WORDS = ("casino poker bets betting slots jackpot pills pharmacy viagra cheap-meds adult xxx porn "
-                "escort sex-chat webcam spam link-farm spam-farm seo-links ads adserver ads-track tracker "
-                "click-track popunder payday-loan crypto-win free-money win-prize free-bets casino-win "
-                "adult-x cheap-pills replica-watch warez torrent-crack keygen malware").split()
-_ALLOW_WORDS = ("news daily-post library museum university school garden recipes travel weather science "
-                "history journal forum wiki docs manual music film books sport cycling football council "
-                "health-service art-review photo kitchen local-times river village city-guide language "
-                "theatre physics chemistry biology software tech-notes").split()
+# topics of the invented labelled table; sites are named after one word, or two of a side
+_BLOCK_WORDS = ("casino poker roulette blackjack betting bets wager jackpot slots bingo lottery pharmacy pills viagra "
+                "cialis xanax tramadol steroids meds diet porn xxx adult sex nude escort webcam singles hookup milf "
+                "spam backlinks seolinks linkfarm adserver ads banner tracker clicktrack popunder doubleclick payday "
+                "loan forex bitcoin prize giveaway winner replica fakewatch warez torrent crack keygen malware phishing "
+                "login-verify botnet").split()
+_BLOCK_TAILS = "online bonus shop free best cheap hot buy tube club deals tips vip live 24 king".split()
+_ALLOW_WORDS = ("news daily post library museum university school garden recipes travel weather science history journal "
+                "forum wiki docs manual music film books sport cycling football council health review photo kitchen "
+                "times river village city guide language theatre physics chemistry biology software notes bakery "
+                "orchestra archive hospital parish railway gallery bookshop farm tractor plumber dentist hiking "
+                "tracking sextant essex middlesex adsorption pilot spammer-watch lobster slot-cars").split()
+_ALLOW_TAILS = "online shop best free club tips live 24 local today club blog house group lab tube".split()
+_SYLLABLES = "ba ce di fo gu ha je ki lo mu na pe ri so tu va we xi yo za bro cli dre sto tri ther ing on al en".split()
 _PREFIXES = ("", "www.", "blog.", "m.")
-_DOMAINS = ("example.com", "example.net", "example.org")
+_DOMAINS = ("com", "net", "org", "info", "example.com", "example.net", "example.org", "co.uk", "de", "fr")
+# ordinary paths occur on both sides, as blocked sites have them too; the others tell
+_PLAIN_PATHS = ("/", "/en/120", "/de/33.html", "/fr/7/", "/es/981", "/index.html", "/about", "/page/4")
+_BLOCK_PATHS = ("/free-spins/bonus", "/signup-bonus.html", "/buy-now/no-prescription", "/discount-meds.html", "/click?id=7",
+                "/redirect/aff/33", "/xxx/videos/12", "/win/claim-prize", "/landing/offer/5", "/banner/popup.js",
+                "/track/pixel.gif", "/download/crack.exe")
+_ALLOW_PATHS = ("/news/2024/05/council-meeting", "/articles/history-of-the-bridge.html", "/docs/install", "/wiki/Main_Page",
+                "/recipes/bread", "/contact", "/products/112", "/blog/2023/11/spring-walk/", "/events/concert",
+                "/library/opening-hours", "/research/papers/8", "/videos/lecture-3")
+
+
+def sites() -> list[tuple[str, int]]:
+    """Invented site names and labels (1: block)."""
+    out = []
+    for label, words, tails in ((1, _BLOCK_WORDS, _BLOCK_TAILS), (0, _ALLOW_WORDS, _ALLOW_TAILS)):
+        for k, word in enumerate(words):
+            tail, other = tails[k % len(tails)], words[(7 * k + 3) % len(words)]
+            out += [(name, label) for name in (word, f"{word}-{tail}", f"{tail}{word}", f"{word}-{other}", f"{other}{word}")]
+    n = len(_SYLLABLES)
+    # clean sites whose names mean nothing
+    out += [("".join(_SYLLABLES[(k * m + j) % n] for j, m in enumerate((1, 7, 11)[:2 + k % 2])), 0) for k in range(3 * n)]
+    return out
 
 
 def labelled_urls(spark: SparkSession) -> DataFrame:
-    """The default labelled table ``(url, block)``: invented hosts, the same paths on both sides."""
+    """The default labelled table ``(url, block)``: invented sites under the same domains on both sides."""
     rows = []
-    paths = ("/en/120", "/de/33.html", "/fr/7/", "/es/981")
-    for label, words in ((1, _BLOCK_WORDS), (0, _ALLOW_WORDS)):
-        for k, word in enumerate(words):
-            for j, prefix in enumerate(_PREFIXES):
-                rows.append((f"https://{prefix}{word}.{_DOMAINS[(k + j) % 3]}{paths[(k + j) % 4]}", label))
+    for k, (name, label) in enumerate(sites()):
+        telling = _BLOCK_PATHS if label else _ALLOW_PATHS
+        for j in range(4):
+            path = _PLAIN_PATHS[(k + j) % 8] if j % 2 else telling[(k + j) % 12]
+            rows.append((f"https://{_PREFIXES[(k + j) % 4]}{name}.{_DOMAINS[(k + 3 * j) % 10]}{path}", label))
     return literal_frame(spark, rows, "url STRING, block INT")
 
 
@@ -92,10 +122,11 @@ def train(labelled: DataFrame, url_col: str = "url", label_col: str = "block") -
 
     Rows with a null label are left out; the blocked ones weigh ``BLOCK_SHARE`` in total.
     """
-    host, path = host_path(F.col(url_col).cast("string"))
-    rows = labelled.where(F.col(label_col).isNotNull()).select(
-        features(host, path).alias("found"), F.col(label_col).cast("double").alias("y"))
-    rows = stored(rows, "url-labelled").coalesce(1)  # a small table: one task, no exchange
+    url = F.col(url_col).cast("string")
+    known = labelled.where(F.col(label_col).isNotNull()).select(url.alias("url"), F.col(label_col).cast("double").alias("y"))
+    host, path = host_path(F.col("url"))
+    rows = known.orderBy(F.xxhash64("url"), "url", "y").limit(MAX_LABELLED).select(features(host, path).alias("found"), "y")
+    rows = stored(rows, "url-labelled").coalesce(1)  # MAX_LABELLED rows: one task, no exchange
     sizes = dict(rows.groupBy("y").agg(F.count(F.lit(1))).collect())
     weights = [0.0] * (BUCKETS + 1)
     if len(sizes) < 2:
