@@ -15,7 +15,8 @@ Three sources of evidence per document:
 document is kept at ``MIN_POSTERIOR`` or more.
 
 Cases: a null or empty text gives the text model zero shares; null sources and languages
-are sites of their own; repeated rows count and are judged each; repeated labels of an id
+are sites of their own; repeated rows count and are judged each; of an id's different texts the
+model is fitted on the one with the smallest features; repeated labels of an id
 count by their mean, labels of unknown ids and null labels not at all; without labels of
 both kinds every text has probability 0.5; an empty table gives no rows; other input
 columns are not read.
@@ -89,7 +90,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
                     [column(piece, "id"), column(piece, "y"), pa.array(list(found), pa.list_(pa.float64()))], names=["id", "y", "x"])
 
     id_type = docs.schema[id_col].dataType.simpleString()
-    found = rows.mapInArrow(run, f"id {id_type}, y double, x array<double>").dropDuplicates(["id"]).orderBy("id").collect()
+    found = rows.mapInArrow(run, f"id {id_type}, y double, x array<double>").groupBy("id").agg(F.min(F.struct("y", "x")).alias("v")).orderBy("id").select("v.*").collect()
     x = np.array([r["x"] for r in found]).reshape(len(found), len(FEATURES))
     return fit(x, np.array([float(r["y"] >= 0.5) for r in found]))
 

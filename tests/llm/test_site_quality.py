@@ -80,3 +80,11 @@ def test_awkward_rows(spark, docs, no_docs):
     assert S.judge(no_docs, none, S.train(no_docs, none)).collect() == []
     labels = spark.createDataFrame([(i, i % 2, "t") for i in range(40)], LABELS)
     assert S.judge(docs, labels, S.train(docs, labels)).count() == len(doc_rows())
+
+
+def test_repeated_ids_whatever_the_order(spark):
+    rows = [r[:5] for r in corpus()]
+    rows += [(r[0], rows[-1 - k][1] + " %%%", *r[2:]) for k, r in enumerate(rows[:150])]  # every id has two texts
+    labels = spark.createDataFrame([(i, int(i % 5 > 0), "t") for i in range(150)], LABELS)
+    models = [S.train(spark.createDataFrame(r, SCHEMA), labels) for r in (rows, rows[::-1])]
+    assert all(np.array_equal(models[0][k], models[1][k]) for k in models[0])
