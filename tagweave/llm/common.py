@@ -144,6 +144,17 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def set_aside(df: DataFrame, helpers: list[str]) -> tuple[DataFrame, dict[str, str]]:
+    """``df`` without columns named like ``helpers`` (they get free names), and the renames that undo it."""
+    taken, back = {c.lower() for c in [*df.columns, *helpers]}, {}
+    for c in df.columns:
+        if c.lower() in {h.lower() for h in helpers}:
+            free = next(f"{c}_{k}" for k in range(len(taken) + 1) if f"{c}_{k}".lower() not in taken)
+            taken.add(free.lower())
+            back[free] = c
+    return df.withColumnsRenamed({c: free for free, c in back.items()}), back
+
+
 def lookup(big: DataFrame, small: DataFrame, keys: list[str], spread: list[str], salts: int = 64) -> DataFrame:
     """``big`` joined with ``small`` (one row per ``keys``) however hot a key is.
 

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import (ArrayType, BinaryType, IntegerType, LongType, StructField, StructType)
 
-from tagweave.llm.common import Words, column, mix64, pieces, shingles, stored
+from tagweave.llm.common import Words, column, mix64, pieces, set_aside, shingles, stored
 
 N = 5
 THRESHOLD = 0.8
@@ -319,5 +319,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     first = classes.where("component is not null").groupBy("component").agg(F.min(key).alias("k")) \
         .select(F.col("k.row").alias("_jj_row"))
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    found = docs.withColumn("_jj_row", F.xxhash64(id_col, text)).join(first, "_jj_row", "left_semi")
-    return found.dropDuplicates(["_jj_row"]).select(docs.columns).unionByName(docs.where(~text.rlike(r"[^\x20\x09-\x0D]")))
+    rows, back = set_aside(docs, ["_jj_row"])  # an input column of that name is kept
+    found = rows.withColumn("_jj_row", F.xxhash64(id_col, text)).join(first, "_jj_row", "left_semi")
+    found = found.dropDuplicates(["_jj_row"]).drop("_jj_row").withColumnsRenamed(back).select(docs.columns)
+    return found.unionByName(docs.where(~text.rlike(r"[^\x20\x09-\x0D]")))

@@ -10,7 +10,7 @@ length are taken is decided by the order of a seeded hash of id and text, so rer
 
 Cases: a null or empty text has size 0 and is never taken; null sources form one source,
 ordered last; repeated rows (same id and text) are taken or left together; an empty table gives no rows; an input column named like an added one
-(``size source_size target copies taken``) is replaced.
+(``size source_size target copies taken``) is replaced, one named like a helper column (``HELPERS``) is kept.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tagweave.llm.common import WORD, stored
+from tagweave.llm.common import WORD, set_aside, stored
 from tagweave.operators.joins import bounded_broadcast
 
 WEIGHTS = (5, 2, 1)
@@ -31,6 +31,7 @@ BUCKET_BITS = 8
 SALTS = 32
 
 ADDED = ["size", "source_size", "target", "copies", "taken"]
+HELPERS = ["_mix_source", "_mix_hash", "_mix_salt", "_p_source", "_p_size", "_p_whole", "_p_last", "_p_salt", "_copy"]
 
 
 def _sums(sizes: np.ndarray, counts: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray, list[tuple[int, int]]]:
@@ -115,6 +116,7 @@ def targets(sources: DataFrame, weights: tuple[float, ...] = WEIGHTS,
 def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, max_repeat: float = MAX_REPEAT, seed: int = 1,
         id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """``docs`` with ``size source_size target copies taken`` (``taken = size * copies``)."""
+    docs, back = set_aside(docs, HELPERS)
     text = F.col(text_col).cast("string")
     base = docs.drop(*ADDED).withColumns({
         "size": F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long"),
@@ -178,9 +180,11 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, max_repeat: float
     copies = F.when(F.col("size") == 0, F.lit(0)).otherwise(
         F.col("_p_whole") + F.coalesce(F.col("_mix_hash") <= F.col("_p_last"), F.lit(False)).cast("long"))
     return out.withColumn("copies", copies.cast("long")).withColumn("taken", F.col("copies") * F.col("size")) \
-        .select(*[c for c in docs.columns if c not in ADDED], *ADDED)
+        .select(*[c for c in docs.columns if c not in ADDED], *ADDED).withColumnsRenamed(back)
 
 
 def expand(mixed: DataFrame, columns: list[str]) -> DataFrame:
     """The mix itself: ``columns`` of each row, repeated ``copies`` times."""
-    return mixed.where("copies > 0").withColumn("_copy", F.explode(F.expr("sequence(1, int(copies))"))).select(*columns)
+    rows, back = set_aside(mixed.where("copies > 0"), HELPERS)
+    rows = rows.withColumn("_copy", F.explode(F.expr("sequence(1, int(copies))"))).drop("_copy")
+    return rows.withColumnsRenamed(back).select(*columns)

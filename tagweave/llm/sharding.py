@@ -12,7 +12,8 @@ row work is DataFrame functions.  The law is ``rows``; ``grown_shard`` is null.
 
 Cases: a null or empty text has size 1 and the crc32 of no bytes (0); null ids are hashed
 like any value; repeated rows (same id and text) are interchangeable; an empty table gives
-no rows; an input column named like an added one is replaced.
+no rows; an input column named like an added one is replaced, one named like a helper
+column (``HELPERS``) is kept.
 """
 
 from __future__ import annotations
@@ -25,12 +26,13 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tagweave.frames import literal_frame
-from tagweave.llm.common import stored
+from tagweave.llm.common import set_aside, stored
 
 SHARDS = 16
 ROWS_PER_PARTITION = 1000
 MAX_PARTITIONS = 1 << 14
 ADDED = ["size", "text_crc32", "law", "shard", "slot", "grown_shard"]
+HELPERS = ["_sh_1", "_sh_2", "_sh_p", "_sh_cuts", "_sh_place", "_sh_sub", "_sh_before", "_sh_in"]
 
 
 def hypergeometric(rng: random.Random, good: int, bad: int, draws: int) -> int:
@@ -83,6 +85,7 @@ def matrix(rows: list[int], shards: int, seed: int) -> list[list[int]]:
 
 def shard(docs: DataFrame, shards: int = SHARDS, seed: int = 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with ``size text_crc32 law shard slot grown_shard``."""
+    docs, back = set_aside(docs, HELPERS)
     text = F.col(text_col).cast("string")
     first = F.xxhash64(F.lit(seed), F.col(id_col), text)
     second = F.xxhash64(F.lit(seed + 1), F.col(id_col), text)
@@ -102,7 +105,7 @@ def shard(docs: DataFrame, shards: int = SHARDS, seed: int = 1, id_col: str = "d
     plan = F.broadcast(literal_frame(docs.sparkSession, cuts, "_sh_p INT, _sh_cuts ARRAY<LONG>"))
 
     def dealt(rows: DataFrame) -> DataFrame:
-        place = F.row_number().over(W.partitionBy("_sh_p").orderBy("_sh_1"))
+        place = F.row_number().over(W.partitionBy("_sh_p").orderBy("_sh_1", "_sh_2"))
         sub = F.shiftrightunsigned("_sh_2", 64 - bits).cast("int") if bits else F.lit(0)
         return (rows.withColumn("_sh_p", pid).withColumn("_sh_place", place).join(plan, "_sh_p", "left")
                 .withColumn("shard", F.size(F.filter("_sh_cuts", lambda c: c < F.col("_sh_place"))))
@@ -119,4 +122,4 @@ def shard(docs: DataFrame, shards: int = SHARDS, seed: int = 1, id_col: str = "d
             .withColumn("_sh_in", inside).join(F.broadcast(offsets), ["shard", "_sh_sub"])
             .withColumns({"slot": (F.col("_sh_before") + F.col("_sh_in") - 1).cast("long"), "law": F.lit("rows"),
                           "grown_shard": F.lit(None).cast("int")})
-            .select(*[c for c in docs.columns if c not in ADDED], *ADDED))
+            .select(*[c for c in docs.columns if c not in ADDED], *ADDED).withColumnsRenamed(back))
