@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tagweave.llm.common import Words, column, pieces, stored
+from tagweave.llm.common import Words, column, lookup, pieces, stored
 from tagweave.llm.quality_rules import CLASSES, base_counts, class_counts
 
 MAX_LABELLED = 20_000
@@ -154,8 +154,9 @@ def judge(docs: DataFrame, labels: DataFrame, model: dict[str, np.ndarray], id_c
     share = min(max((top["s"] or 0.0) / (top["n"] or 1.0), CLIP), 1 - CLIP)
     host_strength, path_strength = _moments(*top), _moments(*low)
     sites = paths.join(hosts.withColumnRenamed("host", "h"), F.col("host").eqNullSafe(F.col("h"))).drop("h")
-    sites = sites.withColumnsRenamed({"host": "s_host", "lang": "s_lang"})
-    out = rows.join(sites, F.col("host").eqNullSafe(F.col("s_host")) & F.col("lang").eqNullSafe(F.col("s_lang")))
+    # a hot site's documents are dealt over salts where the sites are too many to broadcast
+    keys = {k: F.coalesce(F.concat(F.lit("="), F.col(c)), F.lit("")) for k, c in (("k_host", "host"), ("k_lang", "lang"))}
+    out = lookup(rows.withColumns(keys), sites.withColumns(keys).drop("host", "lang"), ["k_host", "k_lang"], ["id", "p"])
     # a document's own evidence is left out of its site's
     host_share = (F.col("host_s") - F.col("e") + host_strength * share) / (F.col("host_n") - 1 + host_strength)
     path_share = (F.col("path_s") - F.col("e") + path_strength * F.col("host_share")) / (F.col("path_n") - 1 + path_strength)

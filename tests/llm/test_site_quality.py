@@ -4,6 +4,7 @@ import random
 import numpy as np
 import pytest
 
+from tagweave.llm import common
 from tagweave.llm import site_quality as S
 from tests_llm_rows import SCHEMA, doc_rows, docs, no_docs, prose  # noqa: F401
 
@@ -88,3 +89,16 @@ def test_repeated_ids_whatever_the_order(spark):
     labels = spark.createDataFrame([(i, int(i % 5 > 0), "t") for i in range(150)], LABELS)
     models = [S.train(spark.createDataFrame(r, SCHEMA), labels) for r in (rows, rows[::-1])]
     assert all(np.array_equal(models[0][k], models[1][k]) for k in models[0])
+
+
+def test_sites_beyond_the_broadcast_bound(spark, monkeypatch):
+    rows = corpus()
+    docs = spark.createDataFrame([r[:5] for r in rows] + [(None, None, None, None, 0)], SCHEMA)
+    labels = spark.createDataFrame([(r[0], r[5], "t") for r in rows[:150]], LABELS)
+    model = S.train(docs, labels)
+    near = sorted(S.judge(docs, labels, model).collect(), key=lambda r: r["doc_id"] if r["doc_id"] is not None else -1)
+    monkeypatch.setattr(common, "bounded_broadcast", lambda df: df)
+    far = sorted(S.judge(docs, labels, model).collect(), key=lambda r: r["doc_id"] if r["doc_id"] is not None else -1)
+    assert len(near) == len(far) == len(rows) + 1
+    for a, b in zip(near, far):
+        assert (a["doc_id"], a["kept"]) == (b["doc_id"], b["kept"]) and abs(a["posterior"] - b["posterior"]) < 1e-9
