@@ -1,20 +1,26 @@
-"""Main text of web pages: markup first, then differencing against the nearest URLs.
+"""Main text of web pages by page differencing against the nearest URLs, checked by markup.
 
-Every page is cut once into lines (blocks of text).  Markup decides what it names: menus,
-headers, footers, sidebars, notices, adverts, forms, scripts, styles and comments go (by
-element, role and class), and where a page marks its article (``article``, ``main`` or the
-like) the article's other lines are the text.  An ``article`` inside an ``article``, or one
-named as a comment or advert, is not the article; beside a ``main`` that holds text, articles
-outside of it are teasers.
-
-For a page that marks none, the method is page differencing: pages are ordered by host and
-path, a page is paired with the one of its ``NEIGHBOURS`` nearest on each side whose path
+Every page is cut once into lines (blocks of text) and differenced: pages are ordered by host
+and path, a page is paired with the one of its ``NEIGHBOURS`` nearest on each side whose path
 shares the longest prefix, the lines of both are aligned by longest common subsequence, and
 the shared lines are deleted.  Lines on more than half of the neighbours say nothing about a
 page; the others are its own.  A neighbour that shares over ``COPY_SHARE`` of the own lines'
 characters is a copy, which says nothing about templates: the next is taken.  A page without
-own lines, or with copies only, keeps its lines.  Only hashes of lines are shuffled for the
-pairing, and only on hosts with such pages.
+own lines, or with copies only, keeps its lines.
+
+An exact check by what the page itself names follows.  Menus, headers, footers, sidebars,
+notices, adverts, forms, scripts, styles and comments go (by element, role and class), also
+where no neighbour repeats them.  Where a page marks its article (``article``, ``main`` or the
+like) its other lines go too, and shared lines of the article are put back: a sentence that
+other pages repeat is still part of the text.  ``lines_shared`` counts the lines that
+differencing deleted, ``lines_back`` those put back.  An ``article`` inside an ``article``, or
+one named as a comment or advert, is not the article; beside a ``main`` that holds text,
+articles outside of it are teasers.
+
+Scale: only the keys (host, path, hash of the page) are sorted and numbered.  Every
+``STRETCH`` of them are a stretch (longer ones beyond ``MOST`` stretches, so the bounds in the
+driver stay few); a page goes to its stretch and, when it is among the ``NEIGHBOURS`` next to
+a bound, also beyond it.  Pages move once; a stretch is read in order, a few pages at a time.
 
 Tags are scanned in one pass: a tag ends at the first ``>`` outside quotes, a quote without
 its partner is a character, and a tag that the page ends in is dropped with what follows.
@@ -22,31 +28,35 @@ its partner is a character, and a tag that the page ends in is dropped with what
 Cases: a null or empty html has no text; a null url has empty host and path; pages equal
 in url and html count as one when pairing; unclosed elements end with their parent, and an
 unclosed comment or script at the end of the page; an empty table gives no rows; an input
-column named like an added one (``text n_chars``) is replaced, other names are free.
+column named like an added one (``ADDED``) is replaced, other names are free.
 """
 
 from __future__ import annotations
 
 import html
 import re
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass, field
+from itertools import groupby
 from typing import NamedTuple
 
-import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, BooleanType, IntegerType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
-from tagweave.llm.common import Words, column, pieces, stored
+from tagweave.llm.common import column, pieces
 from tagweave.llm.url_filter import host_path
 from tagweave.operators.ids import sequential_ids
-from tagweave.operators.joins import bounded_broadcast
 
 COPY_SHARE = 0.5
 NEIGHBOURS = 4  # on each side
-ADDED = ["text", "n_chars"]
+STRETCH = 256  # different pages of a stretch, twice NEIGHBOURS at least
+MOST = 16384  # stretches
+ADDED = ["text", "n_chars", "lines_shared", "lines_back"]
 
 _NAME = re.compile(r"(/?)([a-zA-Z][^\s/>]*)")
 _STOP = re.compile(r"[>\"']")
@@ -234,16 +244,19 @@ def _close(stack: list[tuple[str, str]], name: str, until: set[str]) -> None:
             return
 
 
-def common_lines(a: list[int], b: list[int]) -> list[int]:
+def common_lines(a: list, b: list) -> list[int]:
     """Positions in ``a`` of a longest common subsequence with ``b``.
 
-    Lines that occur in only one of the two are left out first; the rest is the
-    bit-parallel algorithm, one integer of ``len(b)`` bits per line of ``a``.
+    The beginning that both share, and lines that occur in only one of the two, are left out
+    first; the rest is the bit-parallel algorithm, one integer of ``len(b)`` bits per line of ``a``.
     """
-    both = set(a) & set(b)
-    at = [i for i, x in enumerate(a) if x in both]
-    b = [x for x in b if x in both]
-    place: dict[int, int] = {}
+    head = _prefix(a, b)
+    if head in (len(a), len(b)):
+        return [*range(head)]
+    both = set(a[head:]) & set(b[head:])
+    at = [i for i in range(head, len(a)) if a[i] in both]
+    b = [x for x in b[head:] if x in both]
+    place: dict = {}
     for j, x in enumerate(b):
         place[x] = place.get(x, 0) | 1 << j
     full = (1 << len(b)) - 1
@@ -268,14 +281,14 @@ def common_lines(a: list[int], b: list[int]) -> list[int]:
             j -= 1
         out.append(at[i])
         i, j = i - 1, j - 1
-    return out[::-1]
+    return [*range(head), *out[::-1]]
 
 
 def _marked(lines: list[tuple[str, str]]) -> bool:
     return any(kind == "article" for kind, _ in lines)
 
 
-def _prefix(a: str, b: str) -> int:
+def _prefix(a: str | list, b: str | list) -> int:
     n = 0
     for x, y in zip(a, b):
         if x != y:
@@ -284,92 +297,129 @@ def _prefix(a: str, b: str) -> int:
     return n
 
 
-def delete(path: str, lines: list[int], chars: list[int], others: list[tuple[str, list[int]]]) -> list[int]:
-    """Positions of the lines (hashes) that a page shares with its pair among ``others`` (path, lines), nearest first."""
+def delete(path: str, lines: list[str], others: list[tuple[str, list[str]]]) -> list[int]:
+    """Positions of the lines that a page shares with its pair among ``others`` (path, lines), nearest first."""
     held = Counter(x for _, other in others for x in set(other))
     own = {x for x in lines if 2 * held[x] <= len(others)} if len(others) > 1 else set(lines) - set(held)
-    total = sum(n for x, n in zip(lines, chars) if x in own)
+    total = sum(len(x) for x in lines if x in own)
     if total:
         for _, other in sorted(others, key=lambda x: -_prefix(path, x[0])):  # ties: as given
             same = common_lines(lines, other)
-            if sum(chars[i] for i in same if lines[i] in own) <= COPY_SHARE * total:
+            if sum(len(lines[i]) for i in same if lines[i] in own) <= COPY_SHARE * total:
                 return same
     return []
 
 
-def _pairs(parsed: DataFrame) -> DataFrame:
-    """``(pk, shared)``: the line numbers that a page without a marked article shares with its pair."""
-    hosts = parsed.where("not marked").select("host").distinct()
-    table = parsed.join(bounded_broadcast(hosts), "host", "left_semi") \
-        .select("pk", "host", "path", "marked", "hashes", "chars").dropDuplicates(["pk"])
-    ordered = stored(sequential_ids(table, ["host", "path", "pk"], 0, "seq")[0], "pages-ordered")
-    steps = F.array(*[F.lit(k) for d in range(1, NEIGHBOURS + 1) for k in (-d, d)])
-    near = ordered.select(F.posexplode(steps).alias("place", "step"), "seq", "host", "path", "hashes") \
-        .select((F.col("seq") - F.col("step")).alias("seq"), "host", F.struct("place", "path", F.col("hashes").alias("lines")).alias("other"))
-    near = near.groupBy("seq", "host").agg(F.sort_array(F.collect_list("other")).alias("others"))  # 2 * NEIGHBOURS at most
-    pages = ordered.where("not marked").join(near, ["seq", "host"])
+def checked(lines: list[tuple[str, str]], shared: list[int]) -> tuple[str, int]:
+    """The text of a page whose lines ``shared`` were deleted, checked by its markup, and the lines put back."""
+    gone, marked = set(shared), _marked(lines)
+    kept = [t for k, (kind, t) in enumerate(lines) if (kind == "article" if marked else kind != "chrome" and k not in gone)]
+    return " ".join(kept), sum(lines[k][0] == "article" for k in gone)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = batch.to_pylist()
-            found = [delete(r["path"], r["hashes"], r["chars"], [(o["path"], o["lines"]) for o in r["others"]]) for r in rows]
-            yield pa.RecordBatch.from_arrays([pa.array([r["pk"] for r in rows], pa.int64()), pa.array(found, pa.list_(pa.int32()))],
-                                             names=["pk", "shared"])
 
-    return pages.select("pk", "path", "hashes", "chars", "others").mapInArrow(run, "pk long, shared array<int>")
+@dataclass
+class _Page:
+    """A page of a stretch: its place, its lines, and its rows (record batch, row) that belong there."""
+
+    place: tuple
+    lines: list[tuple[str, str]]
+    rows: list[tuple[pa.RecordBatch, int]] = field(default_factory=list)
+
+    def __post_init__(self):
+        self.texts = [t for _, t in self.lines]
+
 
+def _result(near: list[_Page], k: int) -> tuple[str, int, int]:
+    """Text, lines deleted and lines put back of page ``k`` of consecutive pages."""
+    page = near[k]
+    others = [near[k + d] for n in range(1, NEIGHBOURS + 1) for d in (-n, n) if 0 <= k + d < len(near)]
+    others = [(o.place[2], o.texts) for o in others if o.place[:2] == page.place[:2]]
+    shared = delete(page.place[2], page.texts, others)
+    text, back = checked(page.lines, shared)
+    return text, len(shared), back
 
-_PARSED = StructType([
-    StructField("pk", LongType()), StructField("host", StringType()), StructField("path", StringType()),
-    StructField("marked", BooleanType()), StructField("body", StringType()), StructField("lines", ArrayType(StringType())),
-    StructField("chrome", ArrayType(BooleanType())), StructField("hashes", ArrayType(LongType())),
-    StructField("chars", ArrayType(IntegerType()))])
 
+def _differenced(rows: DataFrame, kept: int) -> DataFrame:
+    """The first ``kept`` columns and ``ADDED`` of the rows at home in their stretch; rows come in the order of the pages."""
+    schema = StructType([*rows.schema.fields[:kept], StructField("text", StringType()), *(StructField(c, LongType()) for c in ADDED[1:])])
 
-def _parsed(rows: DataFrame, kept: int) -> DataFrame:
-    """The first ``kept`` columns and what one parse of ``html`` gives: the text of a page that marks its
-    article, else its lines; hashes and lengths of the lines either way."""
-    schema = StructType([*rows.schema.fields[:kept], *_PARSED])
+    def written(done: list[tuple[pa.RecordBatch, int, tuple[str, int, int]]]) -> Iterator[pa.RecordBatch]:
+        for _, part in groupby(done, key=lambda x: id(x[0])):
+            part = [*part]
+            found = part[0][0].take(pa.array([i for _, i, _ in part], pa.int64()))
+            text, shared, back = zip(*(x for _, _, x in part))
+            yield pa.RecordBatch.from_arrays([
+                *found.columns, pa.array(text, pa.string()), pa.array([len(t) for t in text], pa.int64()),
+                pa.array(shared, pa.int64()), pa.array(back, pa.int64())], names=schema.names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        near: list[_Page] = []  # the pages before the first undecided one, and the undecided ones
+        at = 0  # the first undecided page
+
+        def decided(until: int) -> list[tuple[pa.RecordBatch, int, tuple[str, int, int]]]:
+            nonlocal at
+            out = []
+            while at < until:
+                if near[at].rows:
+                    found = _result(near, at)
+                    out += [(batch, i, found) for batch, i in near[at].rows]
+                at += 1
+            if at > NEIGHBOURS:
+                del near[:at - NEIGHBOURS]
+                at = NEIGHBOURS
+            return out
+
         for batch in batches:
             for piece in pieces(batch, "html"):
-                pages = [page_lines(x) for x in column(piece, "html").to_pylist()]
-                marked = [_marked(p) for p in pages]
-                flat = [text.replace(" ", "\u00a0") for p in pages for _, text in p]  # one word each
-                hashes = Words(pa.array(flat, pa.large_string())).hashes().view(np.int64)
-                ends = pa.array(np.cumsum([0, *map(len, pages)]), pa.int32())
-                chars = pa.array([len(text) for p in pages for _, text in p], pa.int32())
-                yield pa.RecordBatch.from_arrays([
-                    *[piece.column(k) for k in range(kept)], column(piece, "pk"), column(piece, "host"), column(piece, "path"),
-                    pa.array(marked, pa.bool_()),
-                    pa.array([" ".join(t for kind, t in p if kind == "article") if m else None for p, m in zip(pages, marked)], pa.string()),
-                    pa.array([None if m else [t for _, t in p] for p, m in zip(pages, marked)], pa.list_(pa.string())),
-                    pa.array([None if m else [kind == "chrome" for kind, _ in p] for p, m in zip(pages, marked)], pa.list_(pa.bool_())),
-                    pa.ListArray.from_arrays(ends, pa.array(hashes)), pa.ListArray.from_arrays(ends, chars)], names=schema.names)
+                done = []
+                held = pa.RecordBatch.from_arrays(piece.columns[:kept], names=piece.schema.names[:kept])
+                places = zip(*(column(piece, c).to_pylist() for c in ("stretch", "host", "path", "pk")))
+                html_, home = column(piece, "html"), column(piece, "home").to_pylist()
+                for i, place in enumerate(places):
+                    if not near or near[-1].place != place:
+                        done += decided(len(near) - NEIGHBOURS)
+                        near.append(_Page(place, page_lines(html_[i].as_py())))
+                    if home[i] == 0:
+                        near[-1].rows.append((held, i))
+                yield from written(done)
+        yield from written(decided(len(near)))
 
     return rows.mapInArrow(run, schema)
 
 
-def extract(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """``pages`` (without the html) with ``text`` and ``n_chars``.
+def _bounds(keys: DataFrame) -> tuple[list[tuple], list[tuple], list[tuple]]:
+    """Of every stretch of the different ``keys``: its first key, the last that the stretch before
+    meets, and the first that the stretch after meets (none for the last stretch)."""
+    ordered, n = sequential_ids(keys.distinct(), ["host", "path", "pk"], 0, "seq")
+    size = max(STRETCH, -(-n // MOST))
+    inside = F.col("seq") % size
+    rows = ordered.where(inside.isin(0, NEIGHBOURS - 1, size - NEIGHBOURS)).orderBy("seq").collect()
+    found = {r["seq"]: (r["host"], r["path"], r["pk"]) for r in rows}
+    firsts = [found[k] for k in range(0, n, size)]
+    heads = [found.get(k + NEIGHBOURS - 1, (chr(0x10FFFF),)) for k in range(0, n, size)]  # a short last stretch is met whole
+    return firsts, heads, [found[k - NEIGHBOURS] for k in range(size, n, size)]
 
-    A page is parsed once.  One that marks its article needs no exchange; only the others meet
-    their shared lines.
-    """
+
+def extract(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
+    """``pages`` (without the html) with the columns ``ADDED``: every page is differenced, then checked."""
     url, page = F.col(url_col).cast("string"), F.col(html_col).cast("string")
     host, path = host_path(url)
     kept = [f.name for f in pages.schema.fields if f.name not in (html_col, *ADDED)]
     # the input's columns go under numbers, so no name can clash
     rows = pages.select(*[F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(kept)], F.xxhash64(url, page).alias("pk"),
                         host.alias("host"), path.alias("path"), page.alias("html"))
-    parsed = stored(_parsed(rows, len(kept)), "pages-parsed")
-    done = parsed.where("marked")
-    if not parsed.where("not marked").isEmpty():
-        shared = _pairs(parsed.select(*_PARSED.names))
-        rest = parsed.where("not marked").join(shared, "pk", "left")
-        left = F.filter(F.transform(F.col("lines"), lambda t, i: F.when(
-            ~F.get("chrome", i) & ~F.array_contains(F.coalesce("shared", F.array().cast("array<int>")), i), t)), lambda t: t.isNotNull())
-        done = done.unionByName(rest.withColumn("body", F.array_join(left, " ")).select(done.columns))
-    return done.select(*[F.col(f"c{k}").alias(c) for k, c in enumerate(kept)], F.col("body").alias("text"),
-                       F.char_length("body").cast("long").alias("n_chars"))
+    firsts, heads, tails = _bounds(rows.select("host", "path", "pk"))
+
+    @F.pandas_udf(ArrayType(IntegerType()))
+    def stretches(host: pd.Series, path: pd.Series, pk: pd.Series) -> pd.Series:
+        """The stretch a page is at home in, then those next to it that meet it."""
+        out = []
+        for key in zip(host, path, map(int, pk)):
+            k = bisect_right(firsts, key) - 1
+            out.append([k, *([k - 1] if k and key <= heads[k] else []), *([k + 1] if k < len(tails) and key >= tails[k] else [])])
+        return pd.Series(out)
+
+    dealt = rows.withColumn("at", stretches("host", "path", "pk"))
+    dealt = dealt.select(*[c for c in dealt.columns if c != "at"], F.posexplode("at").alias("home", "stretch"))
+    dealt = dealt.repartition("stretch").sortWithinPartitions("stretch", "host", "path", "pk")
+    return _differenced(dealt, len(kept)).toDF(*kept, *ADDED)

@@ -188,3 +188,27 @@ def test_long_unmarked_page_and_names_that_clash(spark):
     got = {r["page_id"]: r for r in P.extract(df).collect()}
     assert got[1]["text"].startswith("paragraph 0 ") and got[1]["n_chars"] == len(got[1]["text"]) and got[2]["text"] == "short"
     assert (got[1]["pk"], got[1]["host"], got[1]["body"], got[1]["c0"], got[1]["shared"]) == (1, 2, "y", 3, 5)
+
+
+def test_marked_pages_are_differenced_too(spark):
+    rows = [(k, f"http://h.i/{k}", f"<div>Top</div><nav>Menu</nav><article><p>Said by all</p><p>Story {k} is here</p></article><div>Imprint</div>", None)
+            for k in range(6)]
+    got = {r["page_id"]: r for r in P.extract(spark.createDataFrame(rows, PAGES).repartition(3)).collect()}
+    # the neighbours share all but the story; the article's shared line is put back, the others stay deleted
+    assert {k: (r["text"], r["lines_shared"], r["lines_back"]) for k, r in got.items()} == {
+        k: (f"Said by all Story {k} is here", 4, 1) for k in range(6)}
+    alone = P.extract(spark.createDataFrame(rows[:1], PAGES)).first()
+    assert (alone["text"], alone["lines_shared"], alone["lines_back"]) == ("Said by all Story 0 is here", 0, 0)
+
+
+def test_pages_next_to_the_bounds_of_stretches(spark, monkeypatch):
+    rng = random.Random(9)
+    rows = []
+    for k in range(75):
+        body = [f"line {x}" for x in rng.sample(range(12), 5)] + [f"own {k}"]
+        rows.append((k, f"http://h{k % 30 // 20}.org/{k:03}", "<p>Top</p>" + "".join(f"<p>{x}</p>" for x in body) + "<p>End</p>", None))
+    want = brute(rows)
+    for size in (8, 9, 256):  # 9: the last stretch is shorter than the neighbourhood
+        monkeypatch.setattr(P, "STRETCH", size)
+        got = result(spark, rows)
+        assert all(got[k] == want[u.split("://")[1].split("/")[0], "/" + u.split("/", 3)[3], h] for k, u, h, _ in rows)
