@@ -4,10 +4,12 @@ Each row key becomes one row; each selected qualifier of the family becomes a st
 column holding its latest value (highest ``ts``); a missing cell is null.  As in a
 wide-column table scan, a row key appears even when none of the selected cells exist.
 
-The pivot is one ``groupBy(rowkey)`` with a ``max_by`` per qualifier.  ``max_by`` has a
-partial (map-side) phase, so a row key holding millions of cells is reduced to one row
-per map task before the shuffle; no pivot value discovery job is needed because the
-qualifier list is given.
+The pivot is one ``groupBy(rowkey)`` with a ``max_by`` per qualifier; no pivot value
+discovery job is needed because the qualifier list is given.  ``max_by`` on strings sorts
+the cells of its task, and a task that scans a file may hold tens of millions.  So the
+cells are dealt first, by row key and by one of ``SPREAD`` classes of the time stamp: a
+task sorts one shuffle partition only, cells of one put stay together, and a row key
+holding millions of versions is reduced to ``SPREAD`` rows by many tasks.
 """
 
 from __future__ import annotations
@@ -18,6 +20,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+SPREAD = 32  # tasks that share the versions of one row key
+
 
 def parse_fields(select_fields: str | Sequence[str]) -> list[str]:
     """``"id,job"`` -> ``["id", "job"]`` (empty items dropped)."""
@@ -46,13 +50,14 @@ def read_cells(cells: DataFrame, family: str, select_fields: str | Sequence[str]
     fields = parse_fields(select_fields)
     order = order_by if order_by is not None else F.struct(F.col("ts"), F.col("value"))
     c = cells.where((F.col("family") == F.lit(family)) & F.col("qualifier").isin(fields))
-    c = c.select("rowkey", "family", "qualifier", F.col("value").cast("string").alias("value"),
-                 order.alias("_order"))
+    put = F.pmod(F.xxhash64(F.col("ts") if "ts" in cells.columns else order), F.lit(SPREAD))
+    c = c.select("rowkey", "qualifier", F.col("value").cast("string").alias("value"), order.alias("_order"),
+                 put.alias("_put")).repartition("rowkey", "_put")
     aggs = []
     for f in fields:
         if f == rowkey_as:
             continue
-        hit = (F.col("family") == F.lit(family)) & (F.col("qualifier") == F.lit(f))
+        hit = F.col("qualifier") == F.lit(f)
         aggs.append(F.max_by(F.when(hit, F.col("value")), F.when(hit, F.col("_order"))).alias(f))
     if not aggs:
         wide = (c if only_rows_with_cells else cells).select("rowkey").distinct()

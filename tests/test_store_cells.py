@@ -205,3 +205,17 @@ def test_bucketed_store_join_shuffles_only_new_rows(spark):
     # a reader without the table in its catalog registers the folder again
     spark.sql(f"DROP TABLE {TagStore._table_name(store._path_of(2))}")
     assert dict(rows(TagStore(spark, base).read())) == got
+
+
+def test_cells_are_dealt_before_they_are_sorted(spark):
+    """A task that scans many cells doesn't sort them: max_by on strings sorts what its task holds."""
+    rows = [("hot", "base", "job", str(k), dt.datetime(2019, 9, 1) + dt.timedelta(seconds=k)) for k in range(4000)]
+    rows += [(f"u{k}", "base", "job", None if k % 3 else "x", None if k % 2 else dt.datetime(2019, 9, 1)) for k in range(50)]
+    cells = spark.createDataFrame(rows, "rowkey string, family string, qualifier string, value string, ts timestamp").coalesce(1)
+    wide = read_cells(cells, "base", "job", rowkey_as="id")
+    got = {r["id"]: r["job"] for r in wide.collect()}
+    assert got == {"hot": "3999"} | {f"u{k}": None if k % 3 else "x" for k in range(50)}
+    plan = wide._jdf.queryExecution().sparkPlan().toString()  # before exchanges for the aggregates are added
+    assert "Exchange" in plan or "REPARTITION_BY_COL" in plan
+    under = plan[plan.rindex("SortAggregate" if "SortAggregate" in plan else "Aggregate"):]
+    assert "rowkey" in under and "REPARTITION_BY_COL" in under
